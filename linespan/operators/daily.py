@@ -13,6 +13,7 @@ days expanded, after the rows are already placed by route.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,17 +26,32 @@ MAXIMUM_HORIZON_DAYS = 3660
 WORD_BITS = 64
 
 
+class WindowError(ValueError):
+    """Raised when a publication has no reportable service dates."""
+
+
 @dataclass(frozen=True)
 class Window:
-    """Inclusive reporting window as column expressions."""
+    """Inclusive reporting window."""
+
+    first: date
+    last: date
 
-    start: Column
-    end: Column
-    horizon_days: int
+    @property
+    def start(self) -> Column:
+        return F.lit(self.first)
+
+    @property
+    def end(self) -> Column:
+        return F.lit(self.last)
+
+    @property
+    def days(self) -> int:
+        return (self.last - self.first).days + 1
 
     @property
     def words(self) -> list[str]:
-        return [f"days_{i}" for i in range(-(-self.horizon_days // WORD_BITS))]
+        return [f"days_{i}" for i in range(-(-self.days // WORD_BITS))]
 
     def covers(self, day: Column) -> Column:
         return day.between(self.start, self.end)
@@ -83,13 +99,17 @@ def reporting_window(
     )
 
 
-def as_window(window: DataFrame, horizon_days: int = DEFAULT_HORIZON_DAYS) -> Window:
-    """Use a one-row reporting window as scalar subqueries."""
-    return Window(
-        window.select("reporting_start_date").scalar(),
-        window.select("reporting_end_date").scalar(),
-        horizon_days,
-    )
+def resolve_window(window: DataFrame) -> Window:
+    """Read the one-row reporting window, so that later plans hold literal dates.
+
+    Literal dates prune files and fix how many day words a service needs.
+    """
+    row = window.first()
+    if row is None or row.first_service_date is None:
+        raise WindowError("The publication has no active service dates.")
+    if row.reporting_start_date > row.last_service_date:
+        raise WindowError("The reporting window begins after all service dates.")
+    return Window(row.reporting_start_date, row.reporting_end_date)
 
 
 def window_bridge(bridge: DataFrame, window: Window, snapshot_key: int) -> DataFrame:
@@ -181,11 +201,10 @@ def pair_days(events: DataFrame, days: DataFrame, window: Window) -> DataFrame:
 def _expanded(rows: DataFrame, window: Window) -> DataFrame:
     """One row per set day bit; ``full_date`` replaces the words."""
     kept = [c for c in rows.columns if c not in window.words]
-    length = F.datediff(window.end, window.start)
     packed = rows.select(
         *kept,
         F.array(*window.words).alias("_days"),
-        F.explode(F.sequence(F.lit(0), length)).alias("_offset"),
+        F.explode(F.sequence(F.lit(0), F.lit(window.days - 1))).alias("_offset"),
     )
     word = F.get("_days", F.call_function("div", F.col("_offset"), F.lit(WORD_BITS)).cast("int"))
     bit = F.pmod(F.col("_offset"), F.lit(WORD_BITS))
@@ -200,10 +219,14 @@ def _day_facts(
     """Sum per entity and day: base measures across services, distinct partners.
 
     Both inputs are small pre-aggregates. They are placed by entity once and
-    expanded there, so the expansion itself is never shuffled.
+    expanded there, so the expansion itself is never shuffled. The partition
+    count is given: AQE would otherwise merge partitions by their size before
+    the expansion, which is what the work depends on least.
     """
     partners = pairs.groupBy(entity, *window.words).agg(F.count("*").alias(count_name))
-    rows = base.unionByName(partners, allowMissingColumns=True).repartition(F.col(entity))
+    rows = base.unionByName(partners, allowMissingColumns=True)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartition(tasks, entity)
     measures = [c for c in base.columns if c not in (entity, *window.words)]
     aggregates = [
         F.sum(c).alias(c)
@@ -213,7 +236,7 @@ def _day_facts(
         else F.max(c).alias(c)
         for c in [*measures, count_name]
     ]
-    return _expanded(rows, window).groupBy(entity, "full_date").agg(*aggregates)
+    return _expanded(placed, window).groupBy(entity, "full_date").agg(*aggregates)
 
 
 def _headway() -> Column:

@@ -37,10 +37,12 @@ WAREHOUSE_TABLES = (
 
 
 class PublicationBuild:
-    """Derive one publication's warehouse rows from staged tables.
+    """Derive one publication's warehouse tables from its staged tables.
 
     ``staged`` returns a staged feed table by name. ``previous`` is the build
     of the publication loaded before, whose versions this one continues.
+    ``keep`` receives every table with its name and returns what later steps
+    read: a store returns the written table, the default passes the plan on.
     """
 
     def __init__(
@@ -49,145 +51,174 @@ class PublicationBuild:
         snapshots: DataFrame,
         snapshot_key: int,
         previous: PublicationBuild | None = None,
+        keep: Callable[[str, DataFrame], DataFrame] = lambda name, rows: rows,
+        reporting_start: str | None = None,
         horizon_days: int = daily.DEFAULT_HORIZON_DAYS,
     ) -> None:
         self.staged = staged
         self.snapshots = snapshots
         self.snapshot_key = snapshot_key
         self.previous = previous
+        self.keep = keep
+        self.reporting_start = reporting_start
         self.horizon_days = horizon_days
 
-    @cached_property
+    def _earlier(self, name: str) -> DataFrame | None:
+        return getattr(self.previous, name) if self.previous else None
+
+    @property
     def registry_row(self) -> DataFrame:
         return self.snapshots.where(F.col("snapshot_key") == self.snapshot_key)
 
-    @cached_property
     def date_bounds(self) -> DataFrame:
         return dimensions.date_bounds(
             self.registry_row, self.staged("calendar"), self.staged("calendar_dates")
         )
 
-    @cached_property
     def new_dates(self) -> DataFrame:
-        stored = self.previous.dim_date if self.previous else None
-        return dimensions.dim_date(self.date_bounds, stored)
+        return dimensions.dim_date(self.date_bounds(), self._earlier("dim_date"))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        if self.previous is None:
-            return self.new_dates
-        return self.previous.dim_date.unionByName(self.new_dates)
+        stored = self._earlier("dim_date")
+        rows = self.new_dates() if stored is None else stored.unionByName(self.new_dates())
+        return self.keep("dim_date", rows)
 
-    @cached_property
     def operator_source(self) -> DataFrame:
         return dimensions.operator_source(self.staged("agency"))
 
+    def merged_operators(self) -> DataFrame:
+        return dimensions.scd2_operator(
+            self._earlier("dim_operator"), self.operator_source(), self.snapshot_key
+        )
+
     @cached_property
     def dim_operator(self) -> DataFrame:
-        stored = self.previous.dim_operator if self.previous else None
-        return dimensions.scd2_operator(stored, self.operator_source, self.snapshot_key)
+        return self.keep("dim_operator", self.merged_operators())
 
-    @cached_property
     def route_source(self) -> DataFrame:
         return dimensions.route_source(self.staged("routes"), self.dim_operator)
 
+    def merged_routes(self) -> DataFrame:
+        return dimensions.scd2_route(
+            self._earlier("dim_route"), self.route_source(), self.snapshot_key
+        )
+
     @cached_property
     def dim_route(self) -> DataFrame:
-        stored = self.previous.dim_route if self.previous else None
-        return dimensions.scd2_route(stored, self.route_source, self.snapshot_key)
+        return self.keep("dim_route", self.merged_routes())
 
-    @cached_property
     def stop_source(self) -> DataFrame:
         return dimensions.stop_source(self.staged("stops"))
 
+    def merged_stops(self) -> DataFrame:
+        return dimensions.scd2_stop(
+            self._earlier("dim_stop"), self.stop_source(), self.snapshot_key
+        )
+
     @cached_property
     def dim_stop(self) -> DataFrame:
-        stored = self.previous.dim_stop if self.previous else None
-        return dimensions.scd2_stop(stored, self.stop_source, self.snapshot_key)
+        return self.keep("dim_stop", self.merged_stops())
 
-    @cached_property
     def exceptions(self) -> DataFrame:
         return calendar.exception_source(self.staged("calendar_dates"))
 
-    @cached_property
     def service_source(self) -> DataFrame:
-        return calendar.service_source(self.staged("calendar"), self.exceptions)
+        return calendar.service_source(self.staged("calendar"), self.exceptions())
 
-    @cached_property
-    def services(self) -> DataFrame:
-        """Service rows of this publication alone."""
-        return calendar.dim_service(None, self.service_source, self.snapshot_key)
+    def merged_services(self) -> DataFrame:
+        return calendar.dim_service(
+            self._earlier("dim_service"), self.service_source(), self.snapshot_key
+        )
 
     @cached_property
     def dim_service(self) -> DataFrame:
-        stored = self.previous.dim_service if self.previous else None
-        return calendar.dim_service(stored, self.service_source, self.snapshot_key)
+        return self.keep("dim_service", self.merged_services())
+
+    @property
+    def services(self) -> DataFrame:
+        """Service rows of this publication alone."""
+        return self.dim_service.where(F.col("snapshot_key") == self.snapshot_key)
 
     @cached_property
     def bridge(self) -> DataFrame:
         """Service days of this publication alone."""
-        return calendar.bridge_service_date(self.services, self.exceptions, self.dim_date)
+        return self.keep(
+            "bridge_service_date",
+            calendar.bridge_service_date(self.services, self.exceptions(), self.dim_date),
+        )
 
-    @cached_property
     def route_versions(self) -> DataFrame:
         return versions_by_download(self.dim_route, self.snapshots, self.snapshot_key)
 
-    @cached_property
     def stop_versions(self) -> DataFrame:
         return versions_by_download(self.dim_stop, self.snapshots, self.snapshot_key)
 
-    @cached_property
-    def trips(self) -> DataFrame:
-        """Trip rows of this publication alone."""
+    def trip_source(self) -> DataFrame:
         return dimensions.trip_source(
-            self.staged("trips"), self.route_versions, self.services, self.snapshot_key
+            self.staged("trips"), self.route_versions(), self.services, self.snapshot_key
         )
 
     @cached_property
-    def dim_trip(self) -> DataFrame:
-        if self.previous is None:
-            return self.trips
-        return self.previous.dim_trip.unionByName(self.trips)
+    def trips(self) -> DataFrame:
+        """Trip rows of this publication alone."""
+        return self.keep("dim_trip", self.trip_source())
 
     @cached_property
     def shapes(self) -> DataFrame:
-        return schedule.shape_point(self.staged("shapes"), self.snapshot_key)
+        return self.keep(
+            "shape_point", schedule.shape_point(self.staged("shapes"), self.snapshot_key)
+        )
 
-    @cached_property
-    def events(self) -> DataFrame:
+    def event_source(self) -> DataFrame:
         return schedule.scheduled_stop_event(
-            self.staged("stop_times"), self.trips, self.stop_versions, self.snapshot_key
+            self.staged("stop_times"), self.trips, self.stop_versions(), self.snapshot_key
         )
 
     @cached_property
+    def events(self) -> DataFrame:
+        return self.keep("fact_scheduled_stop_event", self.event_source())
+
     def window_row(self) -> DataFrame:
         return daily.reporting_window(
-            self.bridge, self.snapshots, self.snapshot_key, horizon_days=self.horizon_days
+            self.bridge, self.snapshots, self.snapshot_key, self.reporting_start,
+            self.horizon_days,
         )
 
     @cached_property
     def window(self) -> daily.Window:
-        return daily.as_window(self.window_row, self.horizon_days)
+        return daily.resolve_window(self.window_row())
 
-    @cached_property
     def window_events(self) -> DataFrame:
         services = daily.participating_service(self.bridge, self.window, self.snapshot_key)
         return daily.window_events(self.events, services, self.snapshot_key)
 
-    @cached_property
-    def route_days(self) -> DataFrame:
+    def derived_route_days(self) -> DataFrame:
         return daily.fact_route_service_day(
             self.events, self.bridge, self.dim_route, self.window, self.snapshot_key
         )
 
     @cached_property
-    def stop_days(self) -> DataFrame:
+    def route_days(self) -> DataFrame:
+        return self.keep("fact_route_service_day", self.derived_route_days())
+
+    def derived_stop_days(self) -> DataFrame:
         return daily.fact_stop_service_day(
             self.events, self.bridge, self.window, self.snapshot_key
         )
 
+    @cached_property
+    def stop_days(self) -> DataFrame:
+        return self.keep("fact_stop_service_day", self.derived_stop_days())
+
+    def all_trips(self) -> DataFrame:
+        """Trips of this and every earlier publication."""
+        if self.previous is None:
+            return self.trips
+        return self.previous.all_trips().unionByName(self.trips)
+
     def entity_state(self, snapshot_key: int) -> DataFrame:
         return changes.entity_state(
-            self.dim_operator, self.dim_route, self.dim_stop, self.dim_service, self.dim_trip,
-            snapshot_key,
+            self.dim_operator, self.dim_route, self.dim_stop, self.dim_service,
+            self.all_trips(), snapshot_key,
         )

@@ -233,12 +233,11 @@ def projection_sql(timestamp_type: str, hash_call: str) -> dict[str, str]:
                CAST(d AS {timestamp_type}) AS downloaded_at_utc,
                CAST(NULL AS {timestamp_type}) AS source_last_modified_utc,
                {_NONE} AS source_etag, CONCAT('feed_', CAST(k AS STRING), '.zip') AS file_name,
-               size AS file_size_bytes, {hash_call.format("CONCAT('publication ', CAST(k AS STRING))")} AS sha256,
+               (SELECT COUNT(*) FROM lineitem) AS file_size_bytes, {hash_call.format("CONCAT('publication ', CAST(k AS STRING))")} AS sha256,
                CAST('2024-01-01' AS DATE) AS feed_start_date,
                CAST('2024-04-02' AS DATE) AS feed_end_date,
                CONCAT('v', CAST(k AS STRING)) AS feed_version, 'LOADED' AS snapshot_status
-        FROM (SELECT 1 AS k, '2024-01-01 22:53:08' AS d UNION ALL SELECT 2, '2024-01-08 22:53:08') p,
-             (SELECT COUNT(*) AS size FROM lineitem) n"""
+        FROM (SELECT 1 AS k, '2024-01-01 22:53:08' AS d UNION ALL SELECT 2, '2024-01-08 22:53:08') p"""
     stage_rows = " UNION ALL ".join(
         f"SELECT {snapshot * 10 + i} AS k, {snapshot} AS s, '{stage}' AS p"
         for snapshot in (1, 2)
