@@ -201,15 +201,15 @@ def pair_days(events: DataFrame, days: DataFrame, window: Window) -> DataFrame:
 def _expanded(rows: DataFrame, window: Window) -> DataFrame:
     """One row per set day bit; ``full_date`` replaces the words."""
     kept = [c for c in rows.columns if c not in window.words]
-    packed = rows.select(
-        *kept,
-        F.array(*window.words).alias("_days"),
-        F.explode(F.sequence(F.lit(0), F.lit(window.days - 1))).alias("_offset"),
+    expanded = rows.select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(window.days - 1))).alias("_offset")
     )
-    word = F.get("_days", F.call_function("div", F.col("_offset"), F.lit(WORD_BITS)).cast("int"))
-    bit = F.pmod(F.col("_offset"), F.lit(WORD_BITS))
-    return packed.where(F.getbit(word, bit) == 1).select(
-        *kept, F.date_add(window.start, F.col("_offset")).alias("full_date")
+    offset = F.col("_offset")
+    word = F.lit(None).cast("bigint")
+    for i, name in reversed(list(enumerate(window.words))):
+        word = F.when(offset < (i + 1) * WORD_BITS, F.col(name)).otherwise(word)
+    return expanded.where(F.getbit(word, F.pmod(offset, F.lit(WORD_BITS))) == 1).select(
+        *kept, F.date_add(window.start, offset).alias("full_date")
     )
 
 

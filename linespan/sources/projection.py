@@ -125,12 +125,14 @@ def projection_sql(timestamp_type: str, hash_call: str) -> dict[str, str]:
     sql["p2_calendar_dates"] = _exception_sql("event_type = 'error'")
     sql["p2_trips"] = _trip_columns("T", "CAST(o_orderkey % 2 AS STRING)")
     sql["p2_stop_times"] = f"""
-        SELECT trip_id, {_CALL_TIME.format(s='(s - 30)')} AS arrival_time,
+        SELECT trip_id, {_CALL_TIME.format(s='(s - dwell)')} AS arrival_time,
                {_CALL_TIME.format(s='s')} AS departure_time,
                stop_id, stop_sequence, {_NONE} AS stop_headsign, '' AS pickup_type,
                '0' AS drop_off_type, {_NONE} AS shape_dist_traveled,
                CASE WHEN s % 7 = 0 THEN '0' END AS timepoint
         FROM (SELECT CONCAT('T', CAST(l_orderkey AS STRING)) AS trip_id,
+                     CASE WHEN COUNT(*) OVER (PARTITION BY l_orderkey) > 1 THEN 30 ELSE 0 END
+                         AS dwell,
                      CONCAT('S', CAST(MIN(l_partkey * 7 + l_suppkey * 13)
                          % (SELECT COUNT(*) FROM customer) AS STRING)) AS stop_id,
                      CAST(l_linenumber AS STRING) AS stop_sequence,
