@@ -407,9 +407,12 @@ def _score_ranks(scored: DataFrame, keys: list[str], score: str, output: str) ->
     return scored.select(*keys, score).distinct().withColumn(output, F.dense_rank().over(order))
 
 
-def route_service_intelligence(w: Warehouse) -> DataFrame:
+def route_service_intelligence(w: Warehouse, summary: DataFrame | None = None) -> DataFrame:
+    """Scores and ranks of routes. ``summary`` is a stored route summary, if there is one."""
     score = "scheduled_service_score"
-    scored = _scored(settled(route_summary(w), "route-summary"), ROUTE_WEIGHTS, score)
+    if summary is None:
+        summary = settled(route_summary(w), "route-summary")
+    scored = _scored(summary, ROUTE_WEIGHTS, score)
     network = ["snapshot_key"]
     mode = ["snapshot_key", "transport_mode"]
     headway = F.col("average_headway_minutes")
@@ -440,9 +443,12 @@ def route_service_intelligence(w: Warehouse) -> DataFrame:
     )
 
 
-def stop_service_intelligence(w: Warehouse) -> DataFrame:
+def stop_service_intelligence(w: Warehouse, summary: DataFrame | None = None) -> DataFrame:
+    """Scores and ranks of stops. ``summary`` is a stored stop summary, if there is one."""
     score = "scheduled_activity_score"
-    scored = _scored(settled(stop_summary(w), "stop-summary"), STOP_WEIGHTS, score)
+    if summary is None:
+        summary = settled(stop_summary(w), "stop-summary")
+    scored = _scored(summary, STOP_WEIGHTS, score)
     columns = [
         "snapshot_key", "stop_key", "stop_id", "stop_code", "stop_name", "stop_latitude",
         "stop_longitude", "zone_id", "location_type", "parent_station_id",
@@ -586,9 +592,21 @@ def pipeline_health(w: Warehouse, as_of: str) -> DataFrame:
     )
 
 
-def dashboard_kpis(w: Warehouse, as_of: str) -> DataFrame:
-    """One executive row. Each source view is aggregated once, as one struct."""
-    routes = route_service_intelligence(w).agg(
+def dashboard_kpis(
+    w: Warehouse,
+    as_of: str,
+    routes: DataFrame | None = None,
+    stops: DataFrame | None = None,
+) -> DataFrame:
+    """One executive row. Each source view is aggregated once, as one struct.
+
+    ``routes`` and ``stops`` are stored intelligence views, if there are any.
+    """
+    if routes is None:
+        routes = route_service_intelligence(w)
+    if stops is None:
+        stops = stop_service_intelligence(w)
+    route_figures = routes.agg(
         F.struct(
             F.count_if(F.col("scheduled_service_band").isin("VERY HIGH", "HIGH")).alias("strong"),
             F.count_if(F.col("frequency_band") == "HIGH FREQUENCY").alias("frequent"),
@@ -598,7 +616,7 @@ def dashboard_kpis(w: Warehouse, as_of: str) -> DataFrame:
             ).alias("leading"),
         ).alias("routes")
     ).scalar()
-    stops = stop_service_intelligence(w).agg(
+    stop_figures = stops.agg(
         F.struct(
             F.count_if(F.col("scheduled_activity_band") == "MAJOR HUB").alias("hubs"),
             F.count_if(F.col("accessibility_status") == "Accessible").alias("accessible"),
@@ -621,7 +639,9 @@ def dashboard_kpis(w: Warehouse, as_of: str) -> DataFrame:
     ).scalar()
     return (
         platform_summary(w, as_of)
-        .withColumns({"_routes": routes, "_stops": stops, "_pipelines": pipelines})
+        .withColumns(
+            {"_routes": route_figures, "_stops": stop_figures, "_pipelines": pipelines}
+        )
         .select(
             "snapshot_key", "downloaded_at_utc", "data_age_hours", "freshness_status",
             "reporting_start_date", "reporting_end_date", "operator_count", "route_count",

@@ -41,8 +41,9 @@ class PublicationBuild:
 
     ``staged`` returns a staged feed table by name. ``previous`` is the build
     of the publication loaded before, whose versions this one continues.
-    ``keep`` receives every table with its name and returns what later steps
-    read: a store returns the written table, the default passes the plan on.
+    ``keep`` receives every table's name and a function that makes its plan,
+    and returns what later steps read: a store returns the written table, the
+    default passes the plan on.
     """
 
     def __init__(
@@ -51,7 +52,7 @@ class PublicationBuild:
         snapshots: DataFrame,
         snapshot_key: int,
         previous: PublicationBuild | None = None,
-        keep: Callable[[str, DataFrame], DataFrame] = lambda name, rows: rows,
+        keep: Callable[[str, Callable[[], DataFrame]], DataFrame] = lambda name, make: make(),
         reporting_start: str | None = None,
         horizon_days: int = daily.DEFAULT_HORIZON_DAYS,
     ) -> None:
@@ -78,11 +79,13 @@ class PublicationBuild:
     def new_dates(self) -> DataFrame:
         return dimensions.dim_date(self.date_bounds(), self._earlier("dim_date"))
 
+    def all_dates(self) -> DataFrame:
+        stored = self._earlier("dim_date")
+        return self.new_dates() if stored is None else stored.unionByName(self.new_dates())
+
     @cached_property
     def dim_date(self) -> DataFrame:
-        stored = self._earlier("dim_date")
-        rows = self.new_dates() if stored is None else stored.unionByName(self.new_dates())
-        return self.keep("dim_date", rows)
+        return self.keep("dim_date", self.all_dates)
 
     def operator_source(self) -> DataFrame:
         return dimensions.operator_source(self.staged("agency"))
@@ -94,7 +97,7 @@ class PublicationBuild:
 
     @cached_property
     def dim_operator(self) -> DataFrame:
-        return self.keep("dim_operator", self.merged_operators())
+        return self.keep("dim_operator", self.merged_operators)
 
     def route_source(self) -> DataFrame:
         return dimensions.route_source(self.staged("routes"), self.dim_operator)
@@ -106,7 +109,7 @@ class PublicationBuild:
 
     @cached_property
     def dim_route(self) -> DataFrame:
-        return self.keep("dim_route", self.merged_routes())
+        return self.keep("dim_route", self.merged_routes)
 
     def stop_source(self) -> DataFrame:
         return dimensions.stop_source(self.staged("stops"))
@@ -118,7 +121,7 @@ class PublicationBuild:
 
     @cached_property
     def dim_stop(self) -> DataFrame:
-        return self.keep("dim_stop", self.merged_stops())
+        return self.keep("dim_stop", self.merged_stops)
 
     def exceptions(self) -> DataFrame:
         return calendar.exception_source(self.staged("calendar_dates"))
@@ -133,20 +136,20 @@ class PublicationBuild:
 
     @cached_property
     def dim_service(self) -> DataFrame:
-        return self.keep("dim_service", self.merged_services())
+        return self.keep("dim_service", self.merged_services)
 
     @property
     def services(self) -> DataFrame:
         """Service rows of this publication alone."""
         return self.dim_service.where(F.col("snapshot_key") == self.snapshot_key)
 
+    def service_dates(self) -> DataFrame:
+        return calendar.bridge_service_date(self.services, self.exceptions(), self.dim_date)
+
     @cached_property
     def bridge(self) -> DataFrame:
         """Service days of this publication alone."""
-        return self.keep(
-            "bridge_service_date",
-            calendar.bridge_service_date(self.services, self.exceptions(), self.dim_date),
-        )
+        return self.keep("bridge_service_date", self.service_dates)
 
     def route_versions(self) -> DataFrame:
         return versions_by_download(self.dim_route, self.snapshots, self.snapshot_key)
@@ -162,12 +165,12 @@ class PublicationBuild:
     @cached_property
     def trips(self) -> DataFrame:
         """Trip rows of this publication alone."""
-        return self.keep("dim_trip", self.trip_source())
+        return self.keep("dim_trip", self.trip_source)
 
     @cached_property
     def shapes(self) -> DataFrame:
         return self.keep(
-            "shape_point", schedule.shape_point(self.staged("shapes"), self.snapshot_key)
+            "shape_point", lambda: schedule.shape_point(self.staged("shapes"), self.snapshot_key)
         )
 
     def event_source(self) -> DataFrame:
@@ -177,7 +180,7 @@ class PublicationBuild:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.keep("fact_scheduled_stop_event", self.event_source())
+        return self.keep("fact_scheduled_stop_event", self.event_source)
 
     def window_row(self) -> DataFrame:
         return daily.reporting_window(
@@ -187,7 +190,7 @@ class PublicationBuild:
 
     @cached_property
     def window(self) -> daily.Window:
-        return daily.resolve_window(self.window_row())
+        return daily.resolve_window(self.keep("reporting_window", self.window_row))
 
     def window_events(self) -> DataFrame:
         services = daily.participating_service(self.bridge, self.window, self.snapshot_key)
@@ -200,7 +203,7 @@ class PublicationBuild:
 
     @cached_property
     def route_days(self) -> DataFrame:
-        return self.keep("fact_route_service_day", self.derived_route_days())
+        return self.keep("fact_route_service_day", self.derived_route_days)
 
     def derived_stop_days(self) -> DataFrame:
         return daily.fact_stop_service_day(
@@ -209,7 +212,7 @@ class PublicationBuild:
 
     @cached_property
     def stop_days(self) -> DataFrame:
-        return self.keep("fact_stop_service_day", self.derived_stop_days())
+        return self.keep("fact_stop_service_day", self.derived_stop_days)
 
     def all_trips(self) -> DataFrame:
         """Trips of this and every earlier publication."""

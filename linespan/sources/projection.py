@@ -228,6 +228,102 @@ def projection_sql(timestamp_type: str, hash_call: str) -> dict[str, str]:
                    '2024040{key}' AS feed_end_date, 'v{key}' AS feed_version
             FROM events"""
 
+    # Publication 2 with faults, for the quality rules.
+    sql["bad_agency"] = f"""
+        SELECT * FROM p2_agency
+        UNION ALL
+        SELECT CASE WHEN n_nationkey < 5 THEN ' ' ELSE 'A1' END, n_name, '', '', '', {_NONE},
+               {_NONE}, '', '' FROM nation"""
+    sql["bad_calendar"] = """
+        SELECT service_id, CASE WHEN s_nationkey = 6 THEN '2' ELSE monday END AS monday,
+               tuesday, wednesday, thursday, friday,
+               CASE WHEN s_nationkey = 7 THEN '' ELSE saturday END AS saturday, sunday,
+               CASE WHEN s_nationkey = 8 THEN '2024-01-01' ELSE start_date END AS start_date,
+               CASE WHEN s_nationkey = 10 THEN '20231201' ELSE end_date END AS end_date
+        FROM p2_calendar JOIN supplier ON service_id = CONCAT('V', CAST(s_suppkey AS STRING))
+        UNION ALL
+        SELECT service_id, monday, tuesday, wednesday, thursday, friday, saturday, sunday,
+               start_date, end_date
+        FROM p2_calendar JOIN supplier ON service_id = CONCAT('V', CAST(s_suppkey AS STRING))
+        WHERE s_nationkey = 12"""
+    sql["bad_calendar_dates"] = """
+        SELECT * FROM p2_calendar_dates
+        UNION ALL
+        SELECT CONCAT('VX', CAST(n_nationkey AS STRING)), '20260105',
+               CASE WHEN n_nationkey > 20 THEN '3' ELSE '2' END FROM nation
+        UNION ALL
+        SELECT 'V0', '20240199', '1' FROM region"""
+    sql["bad_routes"] = """
+        SELECT route_id,
+               CASE WHEN route_short_name = 'Brand#4' THEN 'A-none' ELSE agency_id END
+                   AS agency_id,
+               route_short_name, route_long_name, route_desc,
+               CASE WHEN route_short_name = 'Brand#3' THEN '-1'
+                    WHEN route_short_name = 'Brand#9' THEN 'bus' ELSE route_type END
+                   AS route_type,
+               route_url,
+               CASE WHEN route_desc = 'PROMO' AND route_color IS NOT NULL THEN 'ffd40'
+                    ELSE route_color END AS route_color,
+               CASE WHEN route_desc = 'MEDIUM' THEN '12345G' ELSE route_text_color END
+                   AS route_text_color
+        FROM p2_routes
+        UNION ALL
+        SELECT * FROM p2_routes WHERE route_short_name = 'Brand#5'"""
+    sql["bad_stops"] = """
+        SELECT stop_id, stop_code,
+               CASE WHEN stop_code = 'C13' THEN '  ' ELSE stop_name END AS stop_name, stop_desc,
+               CASE WHEN stop_code = 'C11' THEN '95.1' WHEN stop_code = 'C12' THEN '5e1'
+                    ELSE stop_lat END AS stop_lat,
+               CASE WHEN stop_code = 'C14' THEN 'west' ELSE stop_lon END AS stop_lon,
+               zone_id, stop_url,
+               CASE WHEN stop_code = 'C15' THEN '5' ELSE location_type END AS location_type,
+               parent_station,
+               CASE WHEN stop_code = 'C16' THEN 'yes' ELSE wheelchair_boarding END
+                   AS wheelchair_boarding
+        FROM p2_stops
+        UNION ALL
+        SELECT * FROM p2_stops WHERE stop_code = 'C17'"""
+    sql["bad_trips"] = """
+        SELECT CASE WHEN trip_headsign = 'To 5-LOW' AND direction_id = '1' THEN 'R-none'
+                    ELSE route_id END AS route_id,
+               CASE WHEN trip_headsign = 'To 1-URGENT' AND direction_id = '1' THEN 'V-none'
+                    ELSE service_id END AS service_id,
+               CASE WHEN shape_id = 'H1' THEN ' ' ELSE trip_id END AS trip_id, trip_headsign,
+               trip_short_name,
+               CASE WHEN block_id = 'BF' THEN '2' ELSE direction_id END AS direction_id, block_id,
+               CASE WHEN shape_id = 'H2' THEN 'H-none' WHEN shape_id = 'H3' THEN ''
+                    ELSE shape_id END AS shape_id,
+               wheelchair_accessible
+        FROM p2_trips
+        UNION ALL
+        SELECT * FROM p2_trips WHERE shape_id = 'H4'"""
+    sql["bad_stop_times"] = """
+        SELECT CASE WHEN stop_sequence = '6' THEN 'T-none' ELSE trip_id END AS trip_id,
+               CASE WHEN stop_id = 'S1' THEN '' ELSE arrival_time END AS arrival_time,
+               CASE WHEN stop_sequence = '3' THEN '25:61:00' ELSE departure_time END
+                   AS departure_time,
+               CASE WHEN stop_sequence = '5' THEN 'S-none' ELSE stop_id END AS stop_id,
+               stop_sequence, stop_headsign,
+               CASE WHEN stop_id = 'S2' THEN '9' ELSE pickup_type END AS pickup_type,
+               drop_off_type,
+               CASE WHEN stop_id = 'S3' THEN '-1.5' ELSE shape_dist_traveled END
+                   AS shape_dist_traveled,
+               CASE WHEN stop_id = 'S4' THEN '2' ELSE timepoint END AS timepoint
+        FROM p2_stop_times
+        UNION ALL
+        SELECT * FROM p2_stop_times WHERE stop_sequence = '7'"""
+    sql["bad_shapes"] = """
+        SELECT CASE WHEN shape_pt_sequence = '3' THEN '' ELSE shape_id END AS shape_id,
+               CASE WHEN shape_pt_sequence = '4' THEN '91' ELSE shape_pt_lat END AS shape_pt_lat,
+               CASE WHEN shape_pt_sequence = '5' THEN NULL ELSE shape_pt_lon END AS shape_pt_lon,
+               CASE WHEN shape_id = 'H1' THEN '-1' ELSE shape_pt_sequence END
+                   AS shape_pt_sequence,
+               CASE WHEN shape_pt_sequence = '6' THEN 'far' ELSE shape_dist_traveled END
+                   AS shape_dist_traveled
+        FROM p2_shapes
+        UNION ALL
+        SELECT * FROM p2_shapes WHERE shape_id = 'H2'"""
+
     # Governance records.
     sql["source_snapshot"] = f"""
         SELECT CAST(k AS BIGINT) AS snapshot_key, 'Example feed' AS source_name,

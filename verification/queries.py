@@ -275,6 +275,12 @@ def fact_publication_change(w: World) -> DataFrame:
 
 # Analytics views -------------------------------------------------------------
 
+
+def _served(w: World, name: str) -> DataFrame:
+    """A stored view."""
+    return w.view(name, lambda: VIEW_BUILDERS[name](w))
+
+
 VIEW_BUILDERS: dict[str, Callable[[World], DataFrame]] = {
     "platform_summary": lambda w: views.platform_summary(w.warehouse, AS_OF),
     "route_service_daily": lambda w: views.route_service_daily(w.warehouse),
@@ -287,12 +293,19 @@ VIEW_BUILDERS: dict[str, Callable[[World], DataFrame]] = {
     "network_daily_summary": lambda w: views.network_daily_summary(w.warehouse),
     "operator_summary": lambda w: views.operator_summary(w.warehouse),
     "transport_mode_summary": lambda w: views.transport_mode_summary(w.warehouse),
-    "route_service_intelligence": lambda w: views.route_service_intelligence(w.warehouse),
-    "stop_service_intelligence": lambda w: views.stop_service_intelligence(w.warehouse),
+    "route_service_intelligence": lambda w: views.route_service_intelligence(
+        w.warehouse, _served(w, "route_summary")
+    ),
+    "stop_service_intelligence": lambda w: views.stop_service_intelligence(
+        w.warehouse, _served(w, "stop_summary")
+    ),
     "location_summary": lambda w: views.location_summary(w.warehouse),
     "stop_location_changes": lambda w: views.stop_location_changes(w.warehouse),
     "pipeline_health": lambda w: views.pipeline_health(w.warehouse, AS_OF),
-    "dashboard_kpis": lambda w: views.dashboard_kpis(w.warehouse, AS_OF),
+    "dashboard_kpis": lambda w: views.dashboard_kpis(
+        w.warehouse, AS_OF, _served(w, "route_service_intelligence"),
+        _served(w, "stop_service_intelligence"),
+    ),
 }
 
 query("latest_snapshot", "SELECT * FROM latest")(lambda w: views.latest_snapshot(w.snapshots))
@@ -303,10 +316,6 @@ for _name, _make in VIEW_BUILDERS.items():
 # Dashboard reads -------------------------------------------------------------
 
 
-def _served(w: World, name: str) -> DataFrame:
-    return w.view(name, lambda: VIEW_BUILDERS[name](w))
-
-
 def _prefixed(rows: DataFrame, prefix: str) -> list:
     return [F.col(f"{prefix}.{c}").alias(f"{prefix}_{c}") for c in rows.columns]
 
@@ -557,7 +566,14 @@ query(
 )
 
 
+def _register_all() -> None:
+    """Load the modules that register further queries."""
+    import verification.quality_checks  # noqa: F401
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _register_all()
+
     def bound(run: Callable[[World], DataFrame]):
         return lambda spark, folder: plain(run(World(spark, folder)))
 
@@ -565,6 +581,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def checking_sql() -> dict[str, str]:
+    _register_all()
     return {
         name: complete(entry.check) for name, entry in REGISTRY.items() if entry.check is not None
     }

@@ -81,7 +81,7 @@ class World:
             self.snapshots,
             snapshot_key,
             previous,
-            keep=lambda name, rows: self.kept(f"built{snapshot_key}_{name}", lambda: rows),
+            keep=lambda name, make: self.kept(f"built{snapshot_key}_{name}", make),
         )
 
     @cached_property
