@@ -1,11 +1,158 @@
-"""Serving export."""
+"""Serving export: views copied to versioned Parquet, with a manifest."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Mapping
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linespan.operators.governance import counted
+from linespan.plans import views
+from linespan.plans.warehouse import Warehouse
+
 SCHEMA_VERSION = "1"
+MANIFEST = "export_manifest"
+METADATA = "serving_metadata"
+POINTER = "published_versions"
+
+# Serving tables with their lookup columns. Rows are sorted by
+# the first lookup inside each file, so readers skip files by statistics.
+SERVING_LOOKUPS: dict[str, tuple[tuple[str, ...], ...]] = {
+    "dashboard_kpis": (),
+    "platform_summary": (),
+    "network_daily_summary": (("service_date",),),
+    "route_service_daily": (("service_date",), ("route_id", "service_date")),
+    "route_summary": (("route_id",), ("transport_mode",)),
+    "route_service_intelligence": (("network_service_rank",), ("route_id",)),
+    "stop_summary": (("stop_id",), ("zone_id",)),
+    "stop_service_intelligence": (("network_activity_rank",), ("stop_id",)),
+    "operator_summary": (("agency_id",),),
+    "transport_mode_summary": (("transport_mode",),),
+    "location_summary": (("location_group",),),
+    "publication_changes": (("change_type",), ("entity_type",)),
+    "publication_change_summary": (("current_snapshot_key",),),
+    "stop_location_changes": (("current_snapshot_key",), ("stop_id",)),
+    "pipeline_health": (("pipeline_name",), ("pipeline_health_status",)),
+    "recent_pipeline_runs": (("pipeline_name",), ("started_at_utc",)),
+    "data_quality_results": (("check_status",), ("checked_at_utc",)),
+}
+
+# Views that others read come first, so that they are written once and reused.
+EXPORT_ORDER = (
+    "route_summary", "stop_summary", "route_service_intelligence", "stop_service_intelligence",
+    *[name for name in SERVING_LOOKUPS if name not in (
+        "route_summary", "stop_summary", "route_service_intelligence",
+        "stop_service_intelligence",
+    )],
+)
+
+
+def serving_views(
+    w: Warehouse, as_of: str
+) -> dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]]:
+    """Each serving table as a function of the serving tables written before it."""
+    return {
+        "route_summary": lambda done: views.route_summary(w),
+        "stop_summary": lambda done: views.stop_summary(w),
+        "route_service_intelligence": lambda done: views.route_service_intelligence(
+            w, done["route_summary"]
+        ),
+        "stop_service_intelligence": lambda done: views.stop_service_intelligence(
+            w, done["stop_summary"]
+        ),
+        "dashboard_kpis": lambda done: views.dashboard_kpis(
+            w, as_of, done["route_service_intelligence"], done["stop_service_intelligence"]
+        ),
+        "platform_summary": lambda done: views.platform_summary(w, as_of),
+        "network_daily_summary": lambda done: views.network_daily_summary(w),
+        "route_service_daily": lambda done: views.route_service_daily(w),
+        "operator_summary": lambda done: views.operator_summary(w, done["route_summary"]),
+        "transport_mode_summary": lambda done: views.transport_mode_summary(
+            w, done["route_summary"]
+        ),
+        "location_summary": lambda done: views.location_summary(w, done["stop_summary"]),
+        "publication_changes": lambda done: views.publication_changes_view(w),
+        "publication_change_summary": lambda done: views.publication_change_summary(w),
+        "stop_location_changes": lambda done: views.stop_location_changes(w),
+        "pipeline_health": lambda done: views.pipeline_health(w, as_of),
+        "recent_pipeline_runs": lambda done: views.recent_pipeline_runs(w, as_of),
+        "data_quality_results": lambda done: views.data_quality_results(w),
+    }
+
+
+class ExportError(RuntimeError):
+    """Raised when a view does not fit its serving contract."""
+
+
+def check_lookups(rows: DataFrame, table: str) -> None:
+    wanted = {column for lookup in SERVING_LOOKUPS[table] for column in lookup}
+    missing = sorted(wanted - set(rows.columns))
+    if missing:
+        raise ExportError(f"Lookup columns missing from {table}: {missing}")
+
+
+def serving_export(
+    w: Warehouse, spark: SparkSession, root: str, version: str, as_of: str
+) -> DataFrame:
+    """Write every serving table below ``root/version`` and publish the version.
+
+    Readers follow the pointer, whose row is written last, so a failed export
+    leaves the published version as it was. Returns the manifest.
+    """
+    makers = serving_views(w, as_of)
+    done: dict[str, DataFrame] = {}
+    counts = {}
+    for table in EXPORT_ORDER:
+        rows = makers[table](done)
+        check_lookups(rows, table)
+        lookups = SERVING_LOOKUPS[table]
+        ordered = rows.sortWithinPartitions(*lookups[0]) if lookups else rows
+        written, observation = counted(ordered)
+        path = f"{root}/{version}/{table}"
+        written.write.mode("overwrite").parquet(path)
+        counts[table] = observation.get["rows"]
+        done[table] = spark.read.schema(rows.schema).parquet(path)
+    manifest = export_manifest(spark, counts, as_of)
+    manifest.write.mode("overwrite").parquet(f"{root}/{version}/{MANIFEST}")
+    serving_metadata(manifest, as_of).write.mode("overwrite").parquet(
+        f"{root}/{version}/{METADATA}"
+    )
+    pointer = spark.createDataFrame([(version, as_of)], "version STRING, exported_at_utc STRING")
+    pointer.write.mode("append").parquet(f"{root}/{POINTER}")
+    return spark.read.parquet(f"{root}/{version}/{MANIFEST}")
+
+
+def export_manifest(spark: SparkSession, counts: Mapping[str, int], exported_at: str) -> DataFrame:
+    """One row per serving table."""
+    rows = [(table, f"vw_{table}", count, exported_at) for table, count in counts.items()]
+    return spark.createDataFrame(
+        rows, "table_name STRING, source_view STRING, row_count BIGINT, exported_at_utc STRING"
+    )
+
+
+def published_version(spark: SparkSession, root: str) -> str:
+    """Version that readers use."""
+    rows = spark.read.parquet(f"{root}/{POINTER}")
+    return rows.select(F.max_by("version", F.struct("exported_at_utc", "version"))).first()[0]
+
+
+def served(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A serving table of the published version."""
+    return spark.read.parquet(f"{root}/{published_version(spark, root)}/{table}")
+
+
+def served_row_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Rows actually readable per serving table of the published version."""
+    version = published_version(spark, root)
+    parts = [
+        spark.read.parquet(f"{root}/{version}/{table}").agg(
+            F.lit(table).alias("table_name"), F.count("*").alias("row_count")
+        )
+        for table in SERVING_LOOKUPS
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def serving_metadata(manifest: DataFrame, exported_at: str) -> DataFrame:

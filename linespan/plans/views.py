@@ -321,9 +321,9 @@ def _route_rollup() -> list[Column]:
     ]
 
 
-def operator_summary(w: Warehouse) -> DataFrame:
+def operator_summary(w: Warehouse, summary: DataFrame | None = None) -> DataFrame:
     return (
-        route_summary(w)
+        (summary or route_summary(w))
         .groupBy("snapshot_key", "operator_key", "agency_id", "operator_name")
         .agg(
             F.count("*").alias("route_count"),
@@ -334,9 +334,9 @@ def operator_summary(w: Warehouse) -> DataFrame:
     )
 
 
-def transport_mode_summary(w: Warehouse) -> DataFrame:
+def transport_mode_summary(w: Warehouse, summary: DataFrame | None = None) -> DataFrame:
     return (
-        route_summary(w)
+        (summary or route_summary(w))
         .groupBy("snapshot_key", "transport_mode")
         .agg(
             F.count("*").alias("route_count"),
@@ -467,10 +467,10 @@ def stop_service_intelligence(w: Warehouse, summary: DataFrame | None = None) ->
     )
 
 
-def location_summary(w: Warehouse) -> DataFrame:
+def location_summary(w: Warehouse, summary: DataFrame | None = None) -> DataFrame:
     status = F.col("accessibility_status")
     return (
-        stop_summary(w)
+        (summary or stop_summary(w))
         .withColumn("location_group", F.coalesce(cleaned("zone_id"), F.lit("UNASSIGNED")))
         .groupBy("snapshot_key", "location_group")
         .agg(

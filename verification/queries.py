@@ -568,6 +568,7 @@ query(
 
 def _register_all() -> None:
     """Load the modules that register further queries."""
+    import verification.intake_checks  # noqa: F401
     import verification.quality_checks  # noqa: F401
 
 
