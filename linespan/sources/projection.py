@@ -216,7 +216,9 @@ def projection_sql(timestamp_type: str, hash_call: str) -> dict[str, str]:
           AND t.service_id IN (SELECT service_id FROM p1_calendar
                                UNION ALL SELECT service_id FROM p1_calendar_dates)"""
     sql["p1_stop_times"] = """
-        SELECT * FROM p2_stop_times
+        SELECT trip_id, departure_time AS arrival_time, departure_time, stop_id, stop_sequence,
+               stop_headsign, pickup_type, drop_off_type, shape_dist_traveled, timepoint
+        FROM p2_stop_times
         WHERE trip_id IN (SELECT trip_id FROM p1_trips)
           AND stop_id IN (SELECT stop_id FROM p1_stops)"""
     sql["p1_shapes"] = "SELECT * FROM p2_shapes"

@@ -56,12 +56,15 @@ def test_two_publications_from_feed_to_serving(spark, world):
     assert {r.snapshot_status for r in status.collect()} == {"LOADED"}
     assert store.read(refresh.QUALITY).where("check_status = 'FAIL'").count() == 0
 
-    # A forced rerun replaces its own rows and changes nothing else.
-    before = store.read("fact_route_service_day").count()
-    again = {r.table_name: r.row_count for r in run(2, force=True).collect()}
-    assert again == {**second, "recent_pipeline_runs": again["recent_pipeline_runs"],
-                     "data_quality_results": again["data_quality_results"]}
-    assert store.read("fact_route_service_day").count() == before
+    # Staging and core dimensions again: each replaces its own rows only.
+    before = {t: store.read(t).count() for t in ("dim_operator", "dim_date", "staging_trips")}
+    rerun = refresh.Refresh(spark, store, 2, lambda table: world.staged(2, table))
+    rerun.stage_feed()
+    again = rerun.build()
+    assert again.previous is not None and again.previous.snapshot_key == 1
+    assert again.dim_operator.count() + again.previous.dim_operator.count() == before["dim_operator"]
+    again.dim_date.count()
+    assert {t: store.read(t).count() for t in before} == before
 
 
 def test_failed_rule_stops_the_refresh(spark, world):
