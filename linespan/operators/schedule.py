@@ -26,7 +26,9 @@ def scheduled_stop_event(
     """Typed calls resolved to trip and stop version.
 
     The row also carries the trip's route and service key, so the daily facts
-    read events alone and never join the trip table again.
+    read events alone and never join the trip table again. The trip join comes
+    last: a large load is then already placed by trip, its files hold whole
+    trips, and the per-trip aggregates shrink before they shuffle.
     """
     own_trips = trips.where(F.col("snapshot_key") == snapshot_key).select(
         "trip_id", "trip_key", "route_key", "service_key"
@@ -35,8 +37,8 @@ def scheduled_stop_event(
     return (
         stop_times.withColumn("trip_id", trimmed("trip_id"))
         .withColumn("stop_id", trimmed("stop_id"))
-        .join(own_trips, "trip_id")
         .join(stops, "stop_id")
+        .join(own_trips, "trip_id")
         .select(
             F.lit(snapshot_key).cast("bigint").alias("snapshot_key"),
             "trip_key",

@@ -291,13 +291,14 @@ def data_quality_results(w: Warehouse) -> DataFrame:
 
 
 def network_daily_summary(w: Warehouse) -> DataFrame:
-    keys = (
-        "snapshot_key", "service_date", "day_name", "is_weekend", "month_name", "calendar_year",
-        "transport_mode",
+    """Per day and mode. Date text joins after the aggregate, a few rows per day."""
+    modes = w.dim_route.select(
+        "route_key", transport_mode(F.col("route_type")).alias("transport_mode")
     )
-    return (
-        route_service_daily(w)
-        .groupBy(*keys)
+    measures = (
+        w.route_days.where(F.col("snapshot_key") == _latest_key(w.snapshots))
+        .join(modes, "route_key")
+        .groupBy("snapshot_key", "full_date", "transport_mode")
         .agg(
             F.count("*").alias("active_route_count"),
             F.countDistinct("operator_key").alias("active_operator_count"),
@@ -308,6 +309,13 @@ def network_daily_summary(w: Warehouse) -> DataFrame:
             average_2dp("average_headway_minutes").alias("average_headway_minutes"),
         )
     )
+    dates = w.dim_date.select(
+        "full_date", "day_name", "is_weekend", "month_name", "calendar_year"
+    )
+    return measures.join(F.broadcast(dates), "full_date").select(
+        "snapshot_key", F.col("full_date").alias("service_date"), "day_name", "is_weekend",
+        "month_name", "calendar_year", *measures.columns[2:],
+    )
 
 
 def _route_rollup() -> list[Column]:
