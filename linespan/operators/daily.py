@@ -218,25 +218,27 @@ def _day_facts(
 ) -> DataFrame:
     """Sum per entity and day: base measures across services, distinct partners.
 
-    Both inputs are small pre-aggregates. They are placed by entity once and
-    expanded there, so the expansion itself is never shuffled. The partition
-    count is given: AQE would otherwise merge partitions by their size before
-    the expansion, which is what the work depends on least.
+    Both inputs are pre-aggregates: per entity at most one row per service and
+    one per partner. They are placed by entity once; there rows with equal day
+    sets merge, and only the merged rows expand, so the expansion itself is
+    never shuffled. The partition count is given: AQE would otherwise merge
+    partitions by their size before the expansion, which is what the work
+    depends on least.
     """
-    partners = pairs.groupBy(entity, *window.words).agg(F.count("*").alias(count_name))
+    partners = pairs.select(entity, *window.words, F.lit(1).cast("bigint").alias(count_name))
     rows = base.unionByName(partners, allowMissingColumns=True)
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartition(tasks, entity)
-    measures = [c for c in base.columns if c not in (entity, *window.words)]
+    measures = [c for c in rows.columns if c not in (entity, *window.words)]
     aggregates = [
         F.sum(c).alias(c)
         if c.endswith("_count")
         else F.min(c).alias(c)
         if c.startswith("first_")
         else F.max(c).alias(c)
-        for c in [*measures, count_name]
+        for c in measures
     ]
-    return _expanded(placed, window).groupBy(entity, "full_date").agg(*aggregates)
+    same_days = rows.repartition(tasks, entity).groupBy(entity, *window.words).agg(*aggregates)
+    return _expanded(same_days, window).groupBy(entity, "full_date").agg(*aggregates)
 
 
 def _headway() -> Column:
