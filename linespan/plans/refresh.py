@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from linespan import schemas
 from linespan.operators import changes, daily, quality, schedule
-from linespan.operators.governance import latest_runs, now_utc, run_audit
-from linespan.operators.history import insert_if_absent
+from linespan.operators.governance import latest_runs, new_run_key, now_utc, run_audit
+from linespan.operators.history import absent_rows
 from linespan.plans.serving import serving_export
 from linespan.plans.warehouse import PublicationBuild, Warehouse
 from linespan.sources import catalogue
@@ -44,6 +44,7 @@ class Refresh:
         self.snapshot_key = snapshot_key
         self.feed = feed
         self.horizon_days = horizon_days
+        self.run_key: int | None = None
 
     # Registry and logs --------------------------------------------------
 
@@ -65,17 +66,18 @@ class Refresh:
         self.store.append(STATUS_EVENTS, self.spark.createDataFrame(row, schema))
 
     def stage(self, name: str, work: Callable[[], tuple[int, int]]) -> int:
+        self.run_key = new_run_key()
         return run_audit(
             self.spark, lambda row: self.store.append(RUN_EVENTS, row), name,
-            self.snapshot_key, work,
+            self.snapshot_key, work, self.run_key,
         )
 
     def gated(self, results: DataFrame) -> None:
         """Record rule results, then stop the stage when one failed."""
-        number = F.xxhash64(F.lit(self.snapshot_key), "check_name", F.current_timestamp())
+        number = F.xxhash64(F.lit(self.run_key), "check_name", "table_name")
         rows = results.select(
             number.alias("data_quality_result_key"),
-            F.lit(None).cast("bigint").alias("pipeline_run_key"),
+            F.lit(self.run_key).cast("bigint").alias("pipeline_run_key"),
             F.lit(self.snapshot_key).cast("bigint").alias("snapshot_key"),
             "check_name", "check_category", "table_name", "check_status", "records_checked",
             "failed_records",
@@ -291,10 +293,7 @@ class Refresh:
 def register(store: Store, new_rows: DataFrame) -> DataFrame:
     """Add registry rows whose SHA-256 is new and return the registry."""
     stored = store.read(SNAPSHOTS) if store.exists(SNAPSHOTS) else None
-    rows = insert_if_absent(None, new_rows, ("sha256",)) if stored is None else (
-        new_rows.join(stored.select("sha256"), "sha256", "left_anti").select(*stored.columns)
-    )
-    store.append(SNAPSHOTS, rows)
+    store.append(SNAPSHOTS, absent_rows(new_rows, stored, ("sha256",)))
     return store.read(SNAPSHOTS)
 
 

@@ -34,6 +34,7 @@ def test_two_publications_from_feed_to_serving(spark, world):
     assert len(first) == 17 and first["publication_changes"] == 0
     assert run(1) is None
     second = {r.table_name: r.row_count for r in run(2).collect()}
+    assert second["data_quality_results"] > first["data_quality_results"] > 0
     assert serving.published_version(spark, root) is not None
 
     # The stored pipeline gives what the lazily built one gives.
