@@ -28,7 +28,7 @@ WEIGHTS = (5, 2, 1)
 BUDGET_PERCENT = 150
 REPEATS = 2
 BLOCK_WORDS = 16
-SHARD_ROWS = 20_000
+SHARD_ROWS = 4_096
 SEED = "mix-1"
 
 

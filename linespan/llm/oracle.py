@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linespan.llm import mixing, quality_rules, url_filter
+from linespan.llm import line_dedup, mixing, quality_rules, url_filter
 
 WS = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -88,6 +88,21 @@ ranked AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM ranked
 """
 
+OP4 = f"""
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+held AS (
+  SELECT k, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM docs),
+keyed AS (SELECT *, {LOWER.format(f"trim(line, {BLANKS})")} AS key FROM held),
+frequent AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT k) >= {line_dedup.MIN_DOCUMENTS}),
+kept AS (
+  SELECT k, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS text
+  FROM keyed ANTI JOIN frequent USING (key) GROUP BY k)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (k)
+"""
+
 OP9 = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce('h' || source, 'none') AS host, coalesce(text, '') AS text
@@ -181,6 +196,7 @@ FROM placed d JOIN plan p ON p.shard = d.shard AND p.source_key = d.source_key
 ORACLE = {
     "op2_host_reputation": OP2,
     "op3_stream_exact_dedup": OP3,
+    "op4_bloom_line_dedup": OP4,
     "op9_line_frequency_quality": OP9,
     "op10_sainte_lague_mix": OP10,
 }

@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linespan.llm import byte_bpe, exact_dedup, mixing, quality_rules, url_filter
+from linespan.llm import byte_bpe, exact_dedup, line_dedup, mixing, quality_rules, sharding, url_filter
 from linespan.llm.common import documents
 from linespan.llm.oracle import ORACLE
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return sharding.assign(docs, identifier=F.col("doc_id"), text=F.col("text")).select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     """A page's outcome is the label of the document its url numbers."""
     pages = documents(spark, folder, "pages").select("page_id", "url")
@@ -33,6 +41,13 @@ def op3_stream_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return verdicts.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_bloom_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.deduplicate(documents(spark, folder), identifier=F.col("doc_id"), text=F.col("text"))
+    return kept.select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     encoded = byte_bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN)
@@ -63,7 +78,8 @@ def op10_sainte_lague_mix(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op2_host_reputation, op3_stream_exact_dedup, op7_byte_bpe, op9_line_frequency_quality, op10_sainte_lague_mix,
+        op1_differencing_shards, op2_host_reputation, op3_stream_exact_dedup, op4_bloom_line_dedup,
+        op7_byte_bpe, op9_line_frequency_quality, op10_sainte_lague_mix,
     )
 }
 
