@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linespan.llm import byte_bpe, exact_dedup, mixing, quality_rules
+from linespan.llm import byte_bpe, exact_dedup, mixing, near_dedup, quality_rules
 from linespan.llm.common import documents, settle
 from linespan.llm.queries import VOCABULARY
 
@@ -26,6 +26,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.kept_rows(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
+    return near_dedup.kept_rows(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mixed_rows(docs)
@@ -46,6 +51,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality),
     ("exact dedup", exact),
+    ("MinHash near-dedup", near),
     ("mixing to target weights", mixed),
     ("byte-level BPE", tokens),
 ]

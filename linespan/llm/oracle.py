@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linespan.llm import line_dedup, mixing, quality_rules, url_filter
+from linespan.llm import line_dedup, mixing, near_dedup, quality_rules, url_filter
 
 WS = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -103,6 +103,28 @@ SELECT doc_id, len(lines)::BIGINT AS n_lines, len(lines) - coalesce(n, 0) AS n_d
 FROM docs LEFT JOIN kept USING (k)
 """
 
+OP6 = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+-- The text is compared as a whole set: one row per different set.
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+linked AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * shared.n >= {near_dedup.PERCENT} * (a.n + b.n - shared.n)),
+edges AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.other)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id,
+       d.doc_id = min(r.other) AS kept
+FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN reach r USING (doc_id) GROUP BY d.doc_id
+"""
+
 OP9 = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce('h' || source, 'none') AS host, coalesce(text, '') AS text
@@ -197,6 +219,7 @@ ORACLE = {
     "op2_host_reputation": OP2,
     "op3_stream_exact_dedup": OP3,
     "op4_bloom_line_dedup": OP4,
+    "op6_setsketch_near_dedup": OP6,
     "op9_line_frequency_quality": OP9,
     "op10_sainte_lague_mix": OP10,
 }

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linespan.llm import byte_bpe, exact_dedup, line_dedup, mixing, quality_rules, sharding, url_filter
-from linespan.llm.common import documents
+from linespan.llm import byte_bpe, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, sharding, url_filter
+from linespan.llm.common import documents, settle
 from linespan.llm.oracle import ORACLE
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -48,6 +48,19 @@ def op4_bloom_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_setsketch_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    stored = settle(
+        documents(spark, folder).select(
+            F.monotonically_increasing_id().alias("row_key"), F.col("doc_id").alias("id"), "text"
+        ),
+        "near-docs",
+    )
+    groups = near_dedup.near_groups(stored)
+    return groups.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     encoded = byte_bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN)
@@ -79,7 +92,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_differencing_shards, op2_host_reputation, op3_stream_exact_dedup, op4_bloom_line_dedup,
-        op7_byte_bpe, op9_line_frequency_quality, op10_sainte_lague_mix,
+        op6_setsketch_near_dedup, op7_byte_bpe, op9_line_frequency_quality, op10_sainte_lague_mix,
     )
 }
 
