@@ -103,6 +103,23 @@ SELECT doc_id, len(lines)::BIGINT AS n_lines, len(lines) - coalesce(n, 0) AS n_d
 FROM docs LEFT JOIN kept USING (k)
 """
 
+OP5 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+windows AS (
+  SELECT k, doc_id, i, array_to_string(w[i : i + 19], ' ') AS win
+  FROM (SELECT k, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs WHERE len(w) >= 20)),
+later AS (
+  SELECT k, i FROM (SELECT k, i, rank() OVER (PARTITION BY win ORDER BY doc_id NULLS LAST, i) AS r FROM windows)
+  WHERE r > 1),
+gone AS (SELECT DISTINCT k, i + j AS i FROM later, range(20) t(j)),
+words AS (SELECT k, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs),
+kept AS (
+  SELECT k, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (k, i) GROUP BY k)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (k)
+"""
+
 OP6 = f"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{WORD}') AS w FROM documents),
@@ -219,6 +236,7 @@ ORACLE = {
     "op2_host_reputation": OP2,
     "op3_stream_exact_dedup": OP3,
     "op4_bloom_line_dedup": OP4,
+    "op5_block_anchor_dedup": OP5,
     "op6_setsketch_near_dedup": OP6,
     "op9_line_frequency_quality": OP9,
     "op10_sainte_lague_mix": OP10,

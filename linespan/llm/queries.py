@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linespan.llm import byte_bpe, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, sharding, url_filter
+from linespan.llm import byte_bpe, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, sharding, substring_dedup, url_filter
 from linespan.llm.common import documents, settle
 from linespan.llm.oracle import ORACLE
 
@@ -48,6 +48,13 @@ def op4_bloom_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_block_anchor_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.deduplicate(documents(spark, folder), identifier=F.col("doc_id"), text=F.col("text"))
+    return kept.select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op6_setsketch_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     stored = settle(
         documents(spark, folder).select(
@@ -92,7 +99,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_differencing_shards, op2_host_reputation, op3_stream_exact_dedup, op4_bloom_line_dedup,
-        op6_setsketch_near_dedup, op7_byte_bpe, op9_line_frequency_quality, op10_sainte_lague_mix,
+        op5_block_anchor_dedup, op6_setsketch_near_dedup, op7_byte_bpe, op9_line_frequency_quality, op10_sainte_lague_mix,
     )
 }
 
