@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linespan.llm import byte_bpe, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, sharding, substring_dedup, url_filter
+from linespan.llm import (
+    byte_bpe, exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_rules, sharding, substring_dedup,
+    url_filter,
+)
 from linespan.llm.common import documents, settle
 from linespan.llm.oracle import ORACLE
 
@@ -80,6 +83,17 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_ftrl_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Learn where crc32(doc_id) mod 4 is not 2; the language column is a label only."""
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    docs = documents(spark, folder)
+    training = docs.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("doc_id").alias("id"), "text", F.col("lang").alias("label")
+    )
+    rows = docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held_out"))
+    return language_id.predict(rows, language_id.trained(training), key=["doc_id", "held_out"], text=F.col("text"))
+
+
 def op9_line_frequency_quality(spark: SparkSession, folder: str) -> DataFrame:
     rows = documents(spark, folder).select(
         F.struct(F.monotonically_increasing_id().alias("row"), "doc_id").alias("row_key"), "text", "source"
@@ -99,7 +113,8 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_differencing_shards, op2_host_reputation, op3_stream_exact_dedup, op4_bloom_line_dedup,
-        op5_block_anchor_dedup, op6_setsketch_near_dedup, op7_byte_bpe, op9_line_frequency_quality, op10_sainte_lague_mix,
+        op5_block_anchor_dedup, op6_setsketch_near_dedup, op7_byte_bpe, op8_ftrl_language_id,
+        op9_line_frequency_quality, op10_sainte_lague_mix,
     )
 }
 
