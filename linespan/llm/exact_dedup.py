@@ -26,6 +26,8 @@ from linespan.llm.common import CLEANUP, WHITE_CLASS, run_folder, setting, settl
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# An instance preallocates files; closed after its commit, only those at work hold any.
+UNLOAD = "spark.sql.streaming.stateStore.unloadOnCommit"
 BYTES_PER_TRIGGER = 256 << 30
 
 RANK = "struct<shorter: bigint, no_id: boolean, id: {id}, locator: bigint>"
@@ -78,7 +80,7 @@ def digest_state(spark, folder: str, bytes_per_trigger: int = BYTES_PER_TRIGGER)
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{changed}/batch={number}")
 
-    with setting(spark, PROVIDER, ROCKSDB):
+    with setting(spark, PROVIDER, ROCKSDB), setting(spark, UNLOAD, "true"):
         run = (
             state.writeStream.outputMode("update")
             .option("checkpointLocation", run_folder(spark, "exact-checkpoint"))
