@@ -59,13 +59,12 @@ suffixes AS (
   SELECT suffix, sum(labelled) AS labelled, sum(bad) AS bad,
          (SELECT (sum(bad) + 1.0::DOUBLE) / (sum(labelled) + 2.0::DOUBLE) FROM domains) AS m
   FROM domains GROUP BY suffix),
-suffix_share AS (
-  SELECT suffix, (bad + w * m) / (labelled + w) AS share FROM suffixes, (SELECT {_worth("suffixes", "m")} AS w)),
-domain_prior AS (SELECT d.*, s.share AS m FROM domains d JOIN suffix_share s USING (suffix)),
-domain_share AS (
-  SELECT domain, (bad + w * m) / (labelled + w) AS share
-  FROM domain_prior, (SELECT {_worth("domain_prior", "m")} AS w)),
-host_prior AS (SELECT n.*, d.share AS m FROM named n JOIN domain_share d USING (domain)),
+domain_prior AS (
+  SELECT d.*, (s.bad - d.bad + w * s.m) / (s.labelled - d.labelled + w) AS m
+  FROM domains d JOIN suffixes s USING (suffix), (SELECT {_worth("suffixes", "m")} AS w)),
+host_prior AS (
+  SELECT n.*, (d.bad - n.bad + w * d.m) / (d.labelled - n.labelled + w) AS m
+  FROM named n JOIN domain_prior d USING (domain), (SELECT {_worth("domain_prior", "m")} AS w)),
 reputation AS (
   SELECT host, (bad + w * m) / (labelled + w) AS share,
          share - {url_filter.BOUND_Z} * sqrt(share * (1 - share) / (labelled + w + 1)) AS bound

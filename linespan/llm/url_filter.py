@@ -5,7 +5,8 @@ decides. Other urls are judged by the reputation of their host. Labelled page
 outcomes are counted per host. A beta-binomial prior passes from the suffix to
 the registered domain to the host: each level's mean is shrunk to that of the
 level above, with a strength estimated from how much the counts at that level
-spread. A host is blocked when the lower bound of its posterior share of bad
+spread, and always from the labels of the other units, so that no label counts
+twice. A host is blocked when the lower bound of its posterior share of bad
 pages (mean less ``z`` standard deviations of the beta posterior) is above
 ``limit``. Hosts without labels take their domain's or suffix's share as prior.
 
@@ -104,15 +105,18 @@ def strength(counts: DataFrame, mean: str) -> float:
     return (1 - bounded) / bounded
 
 
-def shrunk(counts: DataFrame, mean: str, out: str) -> DataFrame:
-    """Add the posterior mean ``out`` of a level and the ``worth`` of its prior."""
-    worth = F.lit(strength(counts, mean))
-    share = (F.col("bad") + worth * F.col(mean)) / (F.col("labelled") + worth)
-    return counts.withColumn(out, share).withColumn("worth", worth)
+def prior_without_own(whole: str, above: str, worth: float) -> Column:
+    """Posterior mean of a level for one of its units, from the labels of all the others."""
+    labelled = F.col(f"{whole}_labelled") - F.col("labelled")
+    bad = F.col(f"{whole}_bad") - F.col("bad")
+    return (bad + worth * F.col(above)) / (labelled + worth)
 
 
 def host_reputation(hosts: DataFrame, *, z: float = BOUND_Z) -> DataFrame:
-    """Return host, posterior mean, and its lower bound. ``hosts``: host, labelled, bad."""
+    """Return host, posterior mean, and its lower bound. ``hosts``: host, labelled, bad.
+
+    A unit's prior leaves out the unit's own labels, which count once, in its posterior.
+    """
     named = hosts.withColumn("domain", registered_domain(F.col("host"))).withColumn(
         "suffix", suffix_of(F.col("domain"))
     )
@@ -121,13 +125,24 @@ def host_reputation(hosts: DataFrame, *, z: float = BOUND_Z) -> DataFrame:
     total = domains.agg(*sums).first()
     overall = ((total["bad"] or 0) + 1.0) / ((total["labelled"] or 0) + 2.0)
     suffixes = domains.groupBy("suffix").agg(*sums).withColumn("overall", F.lit(overall))
-    of_suffix = shrunk(suffixes, "overall", "suffix_share").select("suffix", "suffix_share")
-    of_domain = shrunk(domains.join(of_suffix, "suffix"), "suffix_share", "domain_share").select(
-        "domain", "domain_share"
+    suffix_worth = strength(suffixes, "overall")
+    of_domain = domains.join(
+        suffixes.select("suffix", "overall", F.col("labelled").alias("suffix_labelled"), F.col("bad").alias("suffix_bad")),
+        "suffix",
+    ).withColumn("domain_prior", prior_without_own("suffix", "overall", suffix_worth))
+    domain_worth = strength(of_domain, "domain_prior")
+    of_host = named.join(
+        of_domain.select(
+            "domain", "domain_prior", F.col("labelled").alias("domain_labelled"), F.col("bad").alias("domain_bad")
+        ),
+        "domain",
+    ).withColumn("host_prior", prior_without_own("domain", "domain_prior", domain_worth))
+    worth = strength(of_host, "host_prior")
+    share = (F.col("bad") + worth * F.col("host_prior")) / (F.col("labelled") + worth)
+    deviation = F.sqrt(F.col("share") * (1 - F.col("share")) / (F.col("labelled") + worth + 1))
+    return of_host.withColumn("share", share).select(
+        "host", "labelled", "share", (F.col("share") - z * deviation).alias("bound")
     )
-    of_host = shrunk(named.join(of_domain, "domain"), "domain_share", "share")
-    deviation = F.sqrt(F.col("share") * (1 - F.col("share")) / (F.col("labelled") + F.col("worth") + 1))
-    return of_host.select("host", "labelled", "share", (F.col("share") - z * deviation).alias("bound"))
 
 
 def judged(
