@@ -1,12 +1,20 @@
 from __future__ import annotations
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry_points
 from verification.compare import compare, connect
+from verification.queries import checking_sql, spark_queries
 
-RUNS = entry_points.queries()
-CHECKS = entry_points.oracle_sql()
+ROOT = Path(entry_points.__file__).resolve().parent
+RUNS = spark_queries()
+CHECKS = checking_sql()
 
 # The operator inventory: every name must be registered.
 INVENTORY = (
@@ -39,6 +47,21 @@ def connection(small):
 def test_inventory_is_registered():
     assert sorted(INVENTORY) == sorted(RUNS)
     assert set(CHECKS) == set(RUNS)
+    assert set(RUNS) <= set(entry_points.queries())
+    assert set(CHECKS) <= set(entry_points.oracle_sql())
+
+
+def test_entry_works_without_the_corpus_operators(tmp_path):
+    """A copy without their folders imports and registers the rest."""
+    for name in ("linespan", "verification"):
+        shutil.copytree(ROOT / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+        env={**os.environ, "PYTHONPATH": ""},
+    )
+    assert done.stdout.split() == [str(len(RUNS)), str(len(CHECKS))], done.stderr
 
 
 def test_flagship_runs(spark):
