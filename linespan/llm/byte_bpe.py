@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NO_PAIR = np.int32(2**31 - 1)
-CACHED_PIECES = 400_000
+CACHED_PIECES = 250_000
 MATRIX_CELLS = 1 << 20
 WIDE = 512
 
@@ -96,16 +96,17 @@ class Encoder:
             self.byte_ids[byte] = ranks.get(bytes([byte]), -1)
         if (self.byte_ids < 0).any():
             raise ValueError("the rank file has no token for some byte")
-        self.known: dict[str, list[int]] = {}
+        # Ids of a piece, packed as 32-bit numbers.
+        self.known: dict[str, bytes] = {}
 
-    def _merge_matrix(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of pieces of like length."""
+    def _merge_matrix(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces of like length, packed as 32-bit numbers."""
         lengths = np.array([len(p) for p in pieces])
         ids = np.full((len(pieces), lengths.max()), -1, np.int32)
         ids[np.arange(ids.shape[1]) < lengths[:, None]] = self.byte_ids[
             np.frombuffer(b"".join(pieces), np.uint8)
         ]
-        results: list[list[int]] = [[]] * len(pieces)
+        results = [b""] * len(pieces)
         rows = np.arange(len(pieces))
         merged = self.pairs.lookup(ids[:, :-1], ids[:, 1:])
         while len(rows):
@@ -113,8 +114,14 @@ class Encoder:
             best = merged[np.arange(len(rows)), at] if merged.shape[1] else np.full(len(rows), NO_PAIR)
             done = best == NO_PAIR
             if done.any():
-                for row, line in zip(rows[done], ids[done], strict=True):
-                    results[row] = line[line >= 0].tolist()
+                ready = ids[done]
+                full = ready >= 0
+                packed = ready[full].tobytes()
+                ends = (np.cumsum(full.sum(axis=1)) * 4).tolist()
+                begin = 0
+                for row, end in zip(rows[done].tolist(), ends, strict=True):
+                    results[row] = packed[begin:end]
+                    begin = end
                 rows, ids, merged, at, best = rows[~done], ids[~done], merged[~done], at[~done], best[~done]
                 if not len(rows):
                     break
@@ -158,7 +165,7 @@ class Encoder:
         for number, piece in enumerate(raw):
             whole = self.ranks.get(piece)
             if whole is not None:
-                self.known[pieces[number]] = [whole]
+                self.known[pieces[number]] = np.int32(whole).tobytes()
             else:
                 # Lengths within an eighth of each other share a bucket.
                 size = len(piece)
@@ -179,14 +186,8 @@ class Encoder:
         new = set().union(*split).difference(self.known)
         if new:
             self._learn(list(new))
-        known = self.known
-        out = []
-        for pieces in split:
-            ids: list[int] = []
-            for piece in pieces:
-                ids += known[piece]
-            out.append(np.array(ids, np.int32))
-        return out
+        packed = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(packed, pieces)), np.int32) for pieces in split]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -244,8 +245,11 @@ def decode(tokens: DataFrame, vocabulary: str, *, ids: str = "ids", drop: tuple[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token_of = {rank: token for token, rank in read_ranks(SparkFiles.get(name)).items()}
         for batch in batches:
-            lists = batch.column(ids).to_pylist()
-            decoded = [b"".join([token_of[i] for i in one or ()]) for one in lists]
+            # One row at a time: the numbers of a whole batch would be large as objects.
+            decoded = [
+                b"".join(map(token_of.__getitem__, row.values.to_pylist())) if row.is_valid else b""
+                for row in batch.column(ids)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in columns), pa.array(decoded, pa.binary())],
                 names=[*columns, "decoded"],
