@@ -136,6 +136,27 @@ def empty_rule(violations: DataFrame, table: str, name: str, category: str) -> D
     )
 
 
+def agrees_rule(
+    stored: DataFrame | None, source: DataFrame, keys: Sequence[str], compare: Sequence[str],
+    table: str, name: str, *, missing_conflicts: bool,
+) -> DataFrame:
+    """Stored rows of a publication must equal its source; nothing stored, nothing joined."""
+    if stored is None:
+        return unchecked_rule(source, table, name, "CONSISTENCY")
+    return empty_rule(
+        conflicting_rows(stored, source, keys, compare, missing_conflicts=missing_conflicts),
+        table, name, "CONSISTENCY",
+    )
+
+
+def unchecked_rule(rows: DataFrame, table: str, name: str, category: str) -> DataFrame:
+    """Rule that had nothing to look at: passed over zero rows."""
+    zero = F.lit(0)
+    return rows.sparkSession.range(1).select(
+        F.inline(F.array(_result(name, category, table, zero, zero)))
+    )
+
+
 def true_rule(row: DataFrame, table: str, name: str, holds: Column, category: str) -> DataFrame:
     """Rule over a one-row frame."""
     bad = F.when(F.coalesce(holds, F.lit(False)), 0).otherwise(1)
@@ -314,7 +335,7 @@ def dq_calendar(
     snapshot_key: int,
     calendar: DataFrame,
     exceptions: DataFrame,
-    stored_services: DataFrame,
+    stored_services: DataFrame | None,
     dates: DataFrame,
 ) -> DataFrame:
     flags = reduce(
@@ -332,7 +353,10 @@ def dq_calendar(
         .union(additions.select("service_id"))
     )
     orphans = typed.join(known, "service_id", "left_anti")
-    own_services = stored_services.where(F.col("snapshot_key") == snapshot_key)
+    own_services = (
+        None if stored_services is None
+        else stored_services.where(F.col("snapshot_key") == snapshot_key)
+    )
     return _all(
         [
             snapshot_loaded(snapshots, snapshot_key, "50201 snapshot is loaded"),
@@ -369,11 +393,9 @@ def dq_calendar(
                 orphans, "gtfs_calendar_dates", "50208 exception-only service has an added date",
                 "REFERENCE",
             ),
-            empty_rule(
-                conflicting_rows(
-                    own_services, source, ("service_id",), ("row_hash",), missing_conflicts=True
-                ),
-                "dim_service", "50209 stored services agree", "CONSISTENCY",
+            agrees_rule(
+                own_services, source, ("service_id",), ("row_hash",), "dim_service",
+                "50209 stored services agree", missing_conflicts=True,
             ),
             empty_rule(
                 typed.join(
@@ -394,7 +416,7 @@ def dq_trips(
     route_versions: DataFrame,
     services: DataFrame,
     shapes: DataFrame,
-    stored_trips: DataFrame,
+    stored_trips: DataFrame | None,
     source_trips: DataFrame,
 ) -> DataFrame:
     own_services = services.where(F.col("snapshot_key") == snapshot_key)
@@ -432,12 +454,11 @@ def dq_trips(
                 trips.where(_given("shape_id")), "gtfs_trips", "50310 shape resolves",
                 trimmed("shape_id"), service_calendar.available_shapes(shapes), "shape_id",
             ),
-            empty_rule(
-                conflicting_rows(
-                    stored_trips.where(F.col("snapshot_key") == snapshot_key),
-                    source_trips, TRIP_KEYS, TRIP_COMPARE, missing_conflicts=True,
-                ),
-                "dim_trip", "50311 stored trips agree", "CONSISTENCY",
+            agrees_rule(
+                None if stored_trips is None
+                else stored_trips.where(F.col("snapshot_key") == snapshot_key),
+                source_trips, TRIP_KEYS, TRIP_COMPARE, "dim_trip", "50311 stored trips agree",
+                missing_conflicts=True,
             ),
         ]
     )
@@ -448,7 +469,7 @@ def dq_shapes(
     runs: DataFrame,
     snapshot_key: int,
     shapes: DataFrame,
-    stored_points: DataFrame,
+    stored_points: DataFrame | None,
     source_points: DataFrame,
     stage: str,
 ) -> DataFrame:
@@ -472,12 +493,9 @@ def dq_shapes(
                 shapes, "gtfs_shapes", "50405 shape point is unique",
                 [trimmed("shape_id"), whole_number("shape_pt_sequence")],
             ),
-            empty_rule(
-                conflicting_rows(
-                    stored_points, source_points, SHAPE_KEYS, SHAPE_COMPARE,
-                    missing_conflicts=False,
-                ),
-                "shape_point", "50408 stored points agree", "CONSISTENCY",
+            agrees_rule(
+                stored_points, source_points, SHAPE_KEYS, SHAPE_COMPARE, "shape_point",
+                "50408 stored points agree", missing_conflicts=False,
             ),
         ]
     )
@@ -490,7 +508,7 @@ def dq_stop_times(
     stop_times: DataFrame,
     trips: DataFrame,
     stop_versions: DataFrame,
-    stored_events: DataFrame,
+    stored_events: DataFrame | None,
     source_events: DataFrame,
 ) -> DataFrame:
     own_trips = trips.where(F.col("snapshot_key") == snapshot_key)
@@ -526,30 +544,36 @@ def dq_stop_times(
                 stop_times, "gtfs_stop_times", "50507 stop version resolves", trimmed("stop_id"),
                 stop_versions, "stop_id",
             ),
-            empty_rule(
-                conflicting_rows(
-                    stored_events, source_events, EVENT_KEYS, EVENT_COMPARE,
-                    missing_conflicts=False,
-                ),
-                "fact_scheduled_stop_event", "50511 stored events agree", "CONSISTENCY",
+            agrees_rule(
+                stored_events, source_events, EVENT_KEYS, EVENT_COMPARE,
+                "fact_scheduled_stop_event", "50511 stored events agree",
+                missing_conflicts=False,
             ),
         ]
     )
 
 
-def dq_daily_facts(
-    bridge: DataFrame,
-    window_row: DataFrame,
-    window: Window,
-    window_events: DataFrame,
-    stored_routes: DataFrame,
-    derived_routes: DataFrame,
-    stored_stops: DataFrame,
-    derived_stops: DataFrame,
-    snapshot_key: int,
-) -> DataFrame:
-    own = F.col("snapshot_key") == snapshot_key
+def dq_window_bounds(window_row: DataFrame) -> DataFrame:
+    """Rules over the one-row reporting window, before a window can be resolved."""
     start = F.col("reporting_start_date")
+    return _all(
+        [
+            true_rule(
+                window_row, "bridge_service_date", "50607 service dates exist",
+                F.col("first_service_date").isNotNull(), "COMPLETENESS",
+            ),
+            true_rule(
+                window_row, "bridge_service_date", "50617 window starts within service dates",
+                start <= F.col("last_service_date"), "VALIDITY",
+            ),
+        ]
+    )
+
+
+def dq_window_content(
+    bridge: DataFrame, window: Window, window_events: DataFrame, snapshot_key: int
+) -> DataFrame:
+    """Rules over what the facts are derived from."""
     inverted = (
         window_events.groupBy("trip_key")
         .agg(
@@ -558,11 +582,45 @@ def dq_daily_facts(
         )
         .where(F.col("last_arrival") < F.col("first_departure"))
     )
+    return _all(
+        [
+            rows_rules(
+                window_events, "fact_scheduled_stop_event", {},
+                present="50606 window has events",
+            ),
+            empty_rule(
+                inverted, "fact_scheduled_stop_event", "50609 trip span is not negative",
+                "VALIDITY",
+            ),
+            rows_rules(
+                window_bridge(bridge, window, snapshot_key), "bridge_service_date", {},
+                present="50618 window has service dates",
+            ),
+        ]
+    )
+
+
+def dq_fact_agreement(
+    window: Window,
+    stored_routes: DataFrame | None,
+    derived_routes: DataFrame,
+    stored_stops: DataFrame | None,
+    derived_stops: DataFrame,
+    snapshot_key: int,
+) -> DataFrame:
+    """Stored facts of the publication against the derived ones."""
+    own = F.col("snapshot_key") == snapshot_key
 
     def fact_rules(
-        stored: DataFrame, derived: DataFrame, keys: Sequence[str], compare: Sequence[str],
-        table: str, codes: Sequence[str],
+        stored: DataFrame | None, derived: DataFrame, keys: Sequence[str],
+        compare: Sequence[str], table: str, codes: Sequence[str],
     ) -> list[DataFrame]:
+        if stored is None:
+            categories = ("CONSISTENCY", "CONSISTENCY", "COMPLETENESS")
+            return [
+                unchecked_rule(derived, table, code, category)
+                for code, category in zip(codes, categories, strict=True)
+            ]
         own_rows = stored.where(own)
         in_window = own_rows.where(window.covers(F.col("full_date")))
         counts = own_rows.agg(F.count("*").alias("_stored")).select(
@@ -584,18 +642,6 @@ def dq_daily_facts(
 
     return _all(
         [
-            rows_rules(
-                window_events, "fact_scheduled_stop_event", {},
-                present="50606 window has events",
-            ),
-            true_rule(
-                window_row, "bridge_service_date", "50607 service dates exist",
-                F.col("first_service_date").isNotNull(), "COMPLETENESS",
-            ),
-            empty_rule(
-                inverted, "fact_scheduled_stop_event", "50609 trip span is not negative",
-                "VALIDITY",
-            ),
             *fact_rules(
                 stored_routes, derived_routes, ROUTE_DAY_KEYS, ROUTE_DAY_COMPARE,
                 "fact_route_service_day",
@@ -612,13 +658,28 @@ def dq_daily_facts(
                     "50615 stop fact count is complete",
                 ),
             ),
-            true_rule(
-                window_row, "bridge_service_date", "50617 window starts within service dates",
-                start <= F.col("last_service_date"), "VALIDITY",
-            ),
-            rows_rules(
-                window_bridge(bridge, window, snapshot_key), "bridge_service_date", {},
-                present="50618 window has service dates",
+        ]
+    )
+
+
+def dq_daily_facts(
+    bridge: DataFrame,
+    window_row: DataFrame,
+    window: Window,
+    window_events: DataFrame,
+    stored_routes: DataFrame | None,
+    derived_routes: DataFrame,
+    stored_stops: DataFrame | None,
+    derived_stops: DataFrame,
+    snapshot_key: int,
+) -> DataFrame:
+    """All rules of the daily facts."""
+    return _all(
+        [
+            dq_window_bounds(window_row),
+            dq_window_content(bridge, window, window_events, snapshot_key),
+            dq_fact_agreement(
+                window, stored_routes, derived_routes, stored_stops, derived_stops, snapshot_key
             ),
         ]
     )
@@ -629,7 +690,7 @@ def dq_changes(
     runs: DataFrame,
     previous_key: int,
     current_key: int,
-    stored: DataFrame,
+    stored: DataFrame | None,
     detected: DataFrame,
 ) -> DataFrame:
     stages = succeeded_entity_stages(runs)
@@ -649,7 +710,7 @@ def dq_changes(
             & F.lit(previous_key < current_key)
         ).alias("_rows")
     )
-    pair = stored.where(
+    pair = None if stored is None else stored.where(
         (F.col("previous_snapshot_key") == previous_key)
         & (F.col("current_snapshot_key") == current_key)
     )
@@ -662,11 +723,9 @@ def dq_changes(
                 F.col("_rows") > 0, "PREREQUISITE",
             ),
             complete(previous_key, "50704 previous entity stages succeeded"),
-            empty_rule(
-                conflicting_rows(
-                    pair, detected, CHANGE_KEYS, CHANGE_COMPARE, missing_conflicts=True
-                ),
-                "fact_publication_change", "50705 stored changes agree", "CONSISTENCY",
+            agrees_rule(
+                pair, detected, CHANGE_KEYS, CHANGE_COMPARE, "fact_publication_change",
+                "50705 stored changes agree", missing_conflicts=True,
             ),
         ]
     )

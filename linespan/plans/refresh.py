@@ -21,7 +21,6 @@ STATUS_EVENTS = "source_snapshot_status"
 RUN_EVENTS = "pipeline_run"
 QUALITY = "data_quality_result"
 CHANGES = "fact_publication_change"
-LOADED_KEYS = "loaded_publication"
 
 
 class Refresh:
@@ -121,16 +120,13 @@ class Refresh:
     # Warehouse -----------------------------------------------------------
 
     def previous_key(self) -> int | None:
-        """Publication whose tables this one continues, by load order."""
-        if not self.store.exists(LOADED_KEYS):
-            return None
-        row = (
-            self.store.read(LOADED_KEYS)
-            .where(F.col("snapshot_key") < self.snapshot_key)
-            .agg(F.max("snapshot_key").alias("key"))
-            .first()
-        )
-        return row.key
+        """The publication this one continues and is compared with.
+
+        One definition for both: the latest earlier loaded publication whose
+        entity stages all succeeded, whatever became of its later stages.
+        """
+        earlier = changes.previous_snapshot(self.snapshots(), self.runs(), self.snapshot_key).first()
+        return None if earlier is None else earlier.snapshot_key
 
     def build(self) -> PublicationBuild:
         snapshots = self.snapshots()
@@ -148,24 +144,27 @@ class Refresh:
     def load_warehouse(self) -> PublicationBuild:
         b = self.build()
         key = self.snapshot_key
-        previous = b.previous
+        stored = lambda table: self.store.stored_load(table, key)
+
+        def newest(table: str, none: DataFrame) -> DataFrame:
+            """History of the newest load, which an older publication must not continue."""
+            rows = self.store.newest_load(table)
+            return none.limit(0) if rows is None else rows
 
         def core() -> tuple[int, int]:
-            older = previous.dim_operator if previous else b.merged_operators().limit(0)
             self.gated(
                 quality.dq_core(
-                    b.snapshots, key, older, self.staged("agency"), self.staged("calendar"),
+                    b.snapshots, key, newest("dim_operator", b.merged_operators()), self.staged("agency"), self.staged("calendar"),
                     self.staged("calendar_dates"), b.date_bounds(),
                 )
             )
             return self.staged("agency").count(), b.dim_date.count() + b.dim_operator.count()
 
         def network() -> tuple[int, int]:
-            older_routes = previous.dim_route if previous else b.merged_routes().limit(0)
-            older_stops = previous.dim_stop if previous else b.merged_stops().limit(0)
             self.gated(
                 quality.dq_network(
-                    b.snapshots, self.runs(), key, b.dim_operator, older_routes, older_stops,
+                    b.snapshots, self.runs(), key, b.dim_operator,
+                    newest("dim_route", b.merged_routes()), newest("dim_stop", b.merged_stops()),
                     self.staged("routes"), self.staged("stops"),
                 )
             )
@@ -176,7 +175,7 @@ class Refresh:
             self.gated(
                 quality.dq_calendar(
                     b.snapshots, self.runs(), key, self.staged("calendar"),
-                    self.staged("calendar_dates"), b.merged_services(), b.dim_date,
+                    self.staged("calendar_dates"), stored("dim_service"), b.dim_date,
                 )
             )
             return self.staged("calendar_dates").count(), b.dim_service.count() + b.bridge.count()
@@ -186,7 +185,7 @@ class Refresh:
             self.gated(
                 quality.dq_trips(
                     b.snapshots, self.runs(), key, self.staged("trips"), b.route_versions(),
-                    b.services, self.staged("shapes"), source, source,
+                    b.services, self.staged("shapes"), stored("dim_trip"), source,
                 )
             )
             return self.staged("trips").count(), b.trips.count()
@@ -195,7 +194,7 @@ class Refresh:
             source = schedule.shape_point(self.staged("shapes"), key)
             self.gated(
                 quality.dq_shapes(
-                    b.snapshots, self.runs(), key, self.staged("shapes"), source, source,
+                    b.snapshots, self.runs(), key, self.staged("shapes"), stored("shape_point"), source,
                     schemas.STAGE_HIGH_VOLUME,
                 )
             )
@@ -206,20 +205,22 @@ class Refresh:
             self.gated(
                 quality.dq_stop_times(
                     b.snapshots, self.runs(), key, self.staged("stop_times"), b.trips,
-                    b.stop_versions(), source, source,
+                    b.stop_versions(), stored("fact_scheduled_stop_event"), source,
                 )
             )
             return self.staged("stop_times").count(), b.events.count()
 
         def daily_fact() -> tuple[int, int]:
-            routes, stops = b.route_days, b.stop_days
+            # What the facts come from is checked before any fact is written.
+            self.gated(quality.dq_window_bounds(b.window_row()))
+            self.gated(quality.dq_window_content(b.bridge, b.window, b.window_events(), key))
+            old = stored("fact_route_service_day"), stored("fact_stop_service_day")
             self.gated(
-                quality.dq_daily_facts(
-                    b.bridge, b.window_row(), b.window, b.window_events(), routes, routes, stops,
-                    stops, key,
+                quality.dq_fact_agreement(
+                    b.window, old[0], b.derived_route_days(), old[1], b.derived_stop_days(), key
                 )
             )
-            return b.events.count(), routes.count() + stops.count()
+            return b.events.count(), b.route_days.count() + b.stop_days.count()
 
         self.stage(schemas.STAGE_CORE, core)
         self.stage(schemas.STAGE_DIM_NETWORK, network)
@@ -229,27 +230,37 @@ class Refresh:
         self.stage(schemas.STAGE_STOP_EVENT, stop_event)
         self.stage(schemas.STAGE_DAILY_FACT, daily_fact)
         self.stage(schemas.STAGE_CHANGE, lambda: self.load_changes(b))
-        marker = self.spark.createDataFrame([(key,)], "snapshot_key BIGINT")
-        self.store.append(LOADED_KEYS, marker)
         return b
 
     def load_changes(self, b: PublicationBuild) -> tuple[int, int]:
-        """Compare with the latest complete earlier publication, if there is one."""
-        earlier = changes.previous_snapshot(b.snapshots, self.runs(), self.snapshot_key).first()
-        current = b.entity_state(self.snapshot_key)
-        if earlier is None or b.previous is None:
-            empty = changes.change_rows(
-                changes.publication_changes(current, current), self.snapshot_key,
-                self.snapshot_key, now_utc().isoformat(),
+        """Compare with the publication the build continues, then check the whole model."""
+        key = self.snapshot_key
+        current = b.entity_state(key)
+        if b.previous is None:
+            schema = changes.change_rows(
+                changes.publication_changes(current, current), key, key, "2000-01-01"
+            ).schema
+            detected = self.spark.createDataFrame([], schema)
+        else:
+            earlier = b.previous.snapshot_key
+            detected = changes.change_rows(
+                changes.publication_changes(b.entity_state(earlier), current),
+                earlier, key, now_utc().isoformat(),
+            )
+            self.gated(
+                quality.dq_changes(
+                    b.snapshots, self.runs(), earlier, key, self.store.stored_load(CHANGES, key),
+                    detected,
+                )
+            )
+        logged = self.store.insert_absent(CHANGES, detected, changes.CHANGE_KEYS, key)
+        self.gated(
+            quality.dq_model(
+                b.snapshots, self.runs(), self.store.read(QUALITY), b.dim_operator, b.dim_route,
+                b.dim_stop, logged,
             )
-            self.store.replace_snapshot(CHANGES, empty, self.snapshot_key)
-            return current.count(), 0
-        detected = changes.change_rows(
-            changes.publication_changes(b.entity_state(earlier.snapshot_key), current),
-            earlier.snapshot_key, self.snapshot_key, now_utc().isoformat(),
         )
-        stored = self.store.replace_snapshot(CHANGES, detected, self.snapshot_key)
-        return current.count(), stored.count()
+        return current.count(), logged.count()
 
     # Serving -------------------------------------------------------------
 

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from linespan.operators.quality import QualityError
 from linespan.plans import refresh, serving
+from linespan.schemas import FEED_COLUMNS
 from linespan.session import run_folder
+from linespan.sources.feed import with_lineage
 from linespan.sources.projection import AS_OF
 from linespan.sources.store import Store
 from verification.world import World
@@ -84,3 +86,92 @@ def test_failed_rule_stops_the_refresh(spark, world):
     assert [r.pipeline_name for r in failed] == ["load_gtfs_core_warehouse"]
     assert "50004" in failed[0].error_message
     assert not store.exists("dim_operator")
+
+
+def third(world):
+    """A publication after the second with the very same feed."""
+    return registry_row(world, 2).withColumns(
+        {
+            "snapshot_key": F.lit(3).cast("bigint"),
+            "sha256": F.sha2(F.lit("third"), 256),
+            "downloaded_at_utc": F.col("downloaded_at_utc") + F.expr("INTERVAL 1 DAY"),
+        }
+    )
+
+
+def relabelled(rows, table, key, **columns):
+    """Rows as another publication holds them, with the hash of their values."""
+    values = rows.select(*FEED_COLUMNS[table]).withColumns(columns)
+    return with_lineage(values, table, key)
+
+
+def feed_of(world):
+    """Publication 3 is the second with other agency names."""
+
+    def staged(key, table):
+        if key < 3:
+            return world.staged(key, table)
+        other = {"agency_name": F.concat("agency_name", F.lit(" Ltd"))} if table == "agency" else {}
+        return relabelled(world.staged(2, table), table, key, **other)
+
+    return staged
+
+
+def test_change_log_after_a_publication_that_failed_late(spark, world):
+    store, root = Store(spark, run_folder(spark, "wh")), run_folder(spark, "serving")
+    feed = feed_of(world)
+
+    def late_departures(key, table):
+        """One trip arrives everywhere before it first leaves."""
+        rows = feed(key, table)
+        if table != "stop_times":
+            return rows
+        own = F.col("trip_id") == rows.select(F.min("trip_id")).first()[0]
+        return relabelled(
+            rows, table, key,
+            arrival_time=F.when(own, "01:00:00").otherwise(F.col("arrival_time")),
+            departure_time=F.when(own, "02:00:00").otherwise(F.col("departure_time")),
+        )
+
+    refresh.run_refresh(spark, store, registry_row(world, 1), feed, root, as_of=AS_OF)
+    with pytest.raises(QualityError, match="50609"):
+        refresh.run_refresh(spark, store, registry_row(world, 2), late_departures, root, as_of=AS_OF)
+    # No fact of the stopped publication was written, and its changes are not logged.
+    assert store.stored_load("fact_route_service_day", 2) is None
+    assert store.stored_load(refresh.CHANGES, 2) is None
+    failed = store.read(refresh.QUALITY).where("check_status = 'FAIL'").select("check_name").collect()
+    assert [r.check_name[:5] for r in failed] == ["50609"]
+
+    refresh.run_refresh(spark, store, third(world), feed, root, as_of=AS_OF)
+    log = store.read_load(refresh.CHANGES, 3)
+    # The third differs from the second, whose entities were all loaded, in operators only.
+    assert {(r.entity_type, r.change_type, r.previous_snapshot_key) for r in log.collect()} == {
+        ("OPERATOR", "MODIFIED", 2)
+    }
+    build = refresh.Refresh(spark, store, 3, lambda table: feed(3, table))
+    assert build.previous_key() == 2
+
+    # The older publication again would continue newer history.
+    with pytest.raises(QualityError, match="50002"):
+        refresh.run_refresh(spark, store, registry_row(world, 2), feed, root, as_of=AS_OF)
+
+
+def test_forced_rerun_with_changed_rows_is_refused(spark, world):
+    store, root = Store(spark, run_folder(spark, "wh")), run_folder(spark, "serving")
+    feed = feed_of(world)
+    refresh.run_refresh(spark, store, registry_row(world, 1), feed, root, as_of=AS_OF)
+    tables = ("dim_trip", "shape_point", "fact_scheduled_stop_event", "fact_route_service_day", refresh.CHANGES)
+    before = {t: store.read(t).count() for t in tables}
+
+    again = refresh.run_refresh(spark, store, registry_row(world, 1), feed, root, force=True, as_of=AS_OF)
+    assert again is not None and {t: store.read(t).count() for t in tables} == before
+
+    def changed(key, table):
+        rows = feed(key, table)
+        return relabelled(rows, table, key, trip_headsign=F.lit("elsewhere")) if table == "trips" else rows
+
+    kept = store.read("dim_trip").collect()
+    with pytest.raises(QualityError, match="50311"):
+        refresh.run_refresh(spark, store, registry_row(world, 1), changed, root, force=True, as_of=AS_OF)
+    assert sorted(store.read("dim_trip").collect()) == sorted(kept)
+    assert {t: store.read(t).count() for t in tables} == before
