@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,11 +72,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def tidy(run):
+    """Wrap a partition function: give freed memory back before the worker waits for its next task."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def documents(spark: SparkSession, folder: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(table_path(folder, table))
 
 
 __all__ = [
     "WHITE", "WHITE_CLASS", "documents", "keyed", "let", "run_folder", "setting", "settle",
-    "whole_rows", "words_of",
+    "tidy", "whole_rows", "words_of",
 ]

@@ -34,13 +34,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linespan.llm.common import keyed, settle, whole_rows
+from linespan.llm import bloom
+from linespan.llm.common import keyed, settle, tidy, whole_rows
 from linespan.llm.components import components
 
 SHINGLE = 5
@@ -49,10 +49,13 @@ ROWS = 5
 BANDS = 32
 # Sketch parameters: base, rate and the largest register value.
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
-DEVIATIONS = 6
+DEVIATIONS = 5
 # Shingles of one block of a bucket.
 BLOCK_SHINGLES = 2_000_000
-REMEMBERED_WORDS = 500_000
+# Registers compared at a time, and probes of the filter of wanted nodes.
+PAIR_CELLS = 4_000_000
+FILTER_PROBES = 4
+REMEMBERED_WORDS = 250_000
 
 _RANDOM = np.random.Generator(np.random.PCG64(20_240_607))
 MULTIPLIERS = _RANDOM.integers(1, 2**63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -169,12 +172,12 @@ def sketched(stored: DataFrame, rows: int, bands: int) -> DataFrame:
             )
 
     return stored.select("row_key", "id", "text").mapInArrow(
-        run, f"row_key long, id {kind}, n_shingles long, set_key binary, sketch binary"
+        tidy(run), f"row_key long, id {kind}, n_shingles long, set_key binary, sketch binary"
     )
 
 
 def banded(representatives: DataFrame, rows: int) -> DataFrame:
-    """One row per band of each representative: band, node, size."""
+    """One row per band of each representative: band, number (of the band), node, size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,13 +187,16 @@ def banded(representatives: DataFrame, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(keys) if keys else [], pa.int64()),
+                    pa.array(np.tile(np.arange(per), len(keys)), pa.int32()),
                     pa.array(np.repeat(batch.column("node").to_numpy(), per)),
                     pa.array(np.repeat(batch.column("size").to_numpy(), per)),
                 ],
-                names=["band", "node", "size"],
+                names=["band", "number", "node", "size"],
             )
 
-    return representatives.select("node", "size", "sketch").mapInArrow(run, "band long, node long, size long")
+    return representatives.select("node", "size", "sketch").mapInArrow(
+        tidy(run), "band long, number int, node long, size long"
+    )
 
 
 def _estimated(pairs: DataFrame, least: float) -> DataFrame:
@@ -209,11 +215,12 @@ def _estimated(pairs: DataFrame, least: float) -> DataFrame:
             keep = pa.array(guess >= least)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("u", "v")], names=["u", "v"])
 
-    return pairs.mapInArrow(run, "u long, v long")
+    return pairs.mapInArrow(tidy(run), "u long, v long")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    shared = len(np.intersect1d(a, b, assume_unique=True))
+    place = np.searchsorted(b, a)
+    shared = int((b[np.minimum(place, len(b) - 1)] == a).sum())
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
@@ -229,7 +236,7 @@ def _verified(pairs: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("u", "v")], names=["u", "v"])
 
-    return pairs.mapInArrow(run, "u long, v long")
+    return pairs.mapInArrow(tidy(run), "u long, v long")
 
 
 def _with_both(pairs: DataFrame, values: DataFrame, names: list[str]) -> DataFrame:
@@ -241,19 +248,36 @@ def _with_both(pairs: DataFrame, values: DataFrame, names: list[str]) -> DataFra
 
 
 def _full_sets(stored: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and its full set, as packed 64-bit hashes."""
+    """node and its full set, as packed 64-bit hashes.
+
+    A Bloom filter of the wanted nodes is tested where the texts are read, so
+    sets are moved and texts are not; the join after it is exact.
+    """
+    wanted = settle(nodes.select("node").distinct(), "near-wanted")
+    bits = bloom.filter_bits(wanted.count() * 16)
+
+    def insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [mixed(batch.column("node").to_numpy().view(np.uint64)) for batch in batches]
+        yield from bloom.seen(found, bits, FILTER_PROBES)
+
+    filters = settle(bloom.merged(wanted.mapInArrow(tidy(insert), bloom.PAYLOAD)), "near-filter")
+    shared = stored.sparkSession.sparkContext.broadcast(bloom.gathered(filters, "once", bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
+            keys = mixed(batch.column("row_key").to_numpy().view(np.uint64))
+            some = batch.filter(pa.array(bloom.contains(shared.value, keys, bits, FILTER_PROBES)))
             sets = [
                 shingle_set(known.of((text or b"").lower().split())).tobytes()
-                for text in batch.column("text").cast(pa.binary()).to_pylist()
+                for text in some.column("text").cast(pa.binary()).to_pylist()
             ]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "set"])
+            yield pa.RecordBatch.from_arrays(
+                [some.column("row_key"), pa.array(sets, pa.binary())], names=["node", "set"]
+            )
 
-    wanted = stored.select(F.col("row_key").alias("node"), "text").join(nodes.select("node").distinct(), "node", "left_semi")
-    return wanted.mapInArrow(run, "node long, set binary")
+    found = stored.select("row_key", "text").mapInArrow(tidy(run), "node long, set binary")
+    return found.join(wanted, "node", "left_semi")
 
 
 class _Union:
@@ -272,32 +296,76 @@ class _Union:
         self.parent[max(a, b)] = min(a, b)
 
 
-def _open_pairs(frame: pd.DataFrame, least: float, rows: int, percent: int) -> Iterator[tuple[int, int]]:
+def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Runs of rows with equal keys, from batches sorted by the keys."""
+    key, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(name).to_numpy() for name in names]
+        changed = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        bounds = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(bounds, bounds[1:], strict=False):
+            own = tuple(c[begin] for c in columns)
+            if own != key and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = own
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _open_pairs(group: pa.Table, least: float, rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of pairs of a block pair that differ in component and may be similar.
 
-    A pair that already met in an earlier band is left to that band.
+    The likeliest pairs come first. A pair that already met in an earlier band
+    is left to that band.
     """
-    sketch = np.stack([np.frombuffer(s, np.uint16) for s in frame["sketch"]])
-    keys = np.stack([band_keys(s, rows) for s in sketch])
-    size, part = frame["size"].to_numpy(), frame["component"].to_numpy()
-    own, low, high = frame["block"].to_numpy(), frame["low"].iloc[0], frame["high"].iloc[0]
-    here = int(np.flatnonzero((keys == frame["band"].iloc[0]).all(axis=0))[0])
-    first = np.flatnonzero(own == low)
-    second = np.flatnonzero(own == high)
-    for i in first:
-        others = second if low != high else second[second > i]
-        others = others[part[others] != part[i]]
-        small, big = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
-        others = others[100 * small >= percent * big]
-        others = others[~(keys[others, :here] == keys[i, :here]).any(axis=1)]
-        if len(others):
-            same = (sketch[others] == sketch[i]).sum(1)
-            more = (sketch[others] < sketch[i]).sum(1)
-            guess = likely_jaccard(
-                same, more, sketch.shape[1] - same - more, np.full(len(others), size[i]), size[others]
-            )
-            for j in others[guess >= least]:
-                yield int(i), int(j)
+    column = lambda name: group.column(name).to_numpy()
+    sketch = np.stack([np.frombuffer(s, np.uint16) for s in group.column("sketch").to_pylist()])
+    size, part, own = column("size"), column("component"), column("block")
+    low, high, number = column("low")[0], column("high")[0], int(column("number")[0])
+    first, second = np.flatnonzero(own == low), np.flatnonzero(own == high)
+    none = np.zeros(0, np.int64)
+    if not len(first) or not len(second):
+        return none, none
+    # Registers agree at least about as often as the sets do.
+    enough = (least - 0.1) * sketch.shape[1]
+    step = max(1, PAIR_CELLS // max(1, sketch.shape[1] * len(second)))
+    found = []
+    for start in range(0, len(first), step):
+        chunk = first[start : start + step]
+        same = (sketch[chunk][:, None, :] == sketch[second][None, :, :]).sum(2)
+        fits = (same >= enough) & (part[chunk][:, None] != part[second][None, :])
+        small = np.minimum(size[chunk][:, None], size[second][None, :])
+        big = np.maximum(size[chunk][:, None], size[second][None, :])
+        fits &= 100 * small >= percent * big
+        if low == high:
+            fits &= chunk[:, None] < second[None, :]
+        i, j = np.nonzero(fits)
+        found.append((chunk[i], second[j], same[i, j]))
+    left, right, same = (np.concatenate(x) for x in zip(*found, strict=True))
+    if number and len(left):
+        before = slice(0, number * rows)
+        met = (sketch[left, before] == sketch[right, before]).reshape(len(left), number, rows).all(2).any(1)
+        left, right, same = left[~met], right[~met], same[~met]
+    if not len(left):
+        return left, right
+    larger = (sketch[left] > sketch[right]).sum(1)
+    guess = likely_jaccard(same, larger, sketch.shape[1] - same - larger, size[left], size[right])
+    order = np.argsort(-guess, kind="stable")
+    order = order[guess[order] >= least]
+    return left[order], right[order]
+
+
+GROUP = ("band", "low", "high")
+MEMBER = "band long, number int, node long, size long, component long, block int, low int, high int"
+MEMBER_NAMES = tuple(x.split()[0] for x in MEMBER.split(", "))
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "node")
 
 
 def _finish(
@@ -306,54 +374,70 @@ def _finish(
 ) -> DataFrame:
     """Links between different components that share a bucket.
 
-    ``buckets``: band, node, size. ``labels``: node, component.
+    ``buckets``: band, number, node, size, leader. ``labels``: node, component.
+    The leader has been compared with every member, so it stays out. Buckets of
+    one member set are looked at once, in their earliest band.
     """
-    named = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_bands = (
+    named = (
+        buckets.where("node <> leader").join(labels, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+    )
+    several = (
         named.groupBy("band")
-        .agg(F.min("component").alias("a"), F.max("component").alias("b"), F.sum("size").alias("shingles"))
+        .agg(
+            F.min("component").alias("a"), F.max("component").alias("b"), F.sum("size").alias("shingles"),
+            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("members"),
+            F.min("number").alias("number"),
+        )
         .where("a <> b")
-        .select("band", F.ceil(F.col("shingles") / block_shingles).cast("int").alias("blocks"))
     )
-    members = named.join(mixed_bands, "band").withColumn(
+    different = several.groupBy("members", "n", "shingles").agg(
+        F.min_by("band", F.struct("number", "band")).alias("band")
+    ).select("band", F.ceil(F.col("shingles") / block_shingles).cast("int").alias("blocks"))
+    members = named.join(different, "band").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     # A member goes to every pair of blocks that has its own block.
     dealt = settle(
         members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "band", "node", "size", "component", "block",
+            "band", "number", "node", "size", "component", "block",
             F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         ),
         "near-blocks",
     )
-    group = ["band", "low", "high"]
-
-    def survivors(frame: pd.DataFrame) -> pd.DataFrame:
-        kept: set[int] = set()
-        for i, j in _open_pairs(frame, least, rows, percent):
-            kept.update((i, j))
-        return frame.iloc[sorted(kept)][["band", "node", "size", "component", "block", "low", "high"]]
-
-    schema = "band long, node long, size long, component long, block int, low int, high int"
-    with_sketch = dealt.join(sketches.select("node", "sketch"), "node")
-    open_members = settle(with_sketch.groupBy(*group).applyInPandas(survivors, schema), "near-open")
-
-    def verify(frame: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(s, np.uint64) for s in frame["set"]]
-        part, node = frame["component"].to_numpy(), frame["node"].to_numpy()
-        merged, links = _Union(), []
-        for i, j in _open_pairs(frame, least, rows, percent):
-            a, b = merged.find(int(part[i])), merged.find(int(part[j]))
-            if a != b and _similar(sets[i], sets[j], percent):
-                merged.join(a, b)
-                links.append((node[i], node[j]))
-        return pd.DataFrame(links, columns=["u", "v"]).astype("int64")
+
+    def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for group in _groups(batches, GROUP):
+            kept = np.unique(np.concatenate(_open_pairs(group, least, rows, percent)))
+            if len(kept):
+                held.append(group.select(MEMBER_NAMES).take(pa.array(kept)))
+            if len(held) >= 500:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held = []
+        if held:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+    own = sketches.select("node", "sketch")
+    open_members = settle(_by_group(dealt.join(own, "node")).mapInArrow(tidy(survivors), MEMBER), "near-open")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links = []
+        for group in _groups(batches, GROUP):
+            sets = [np.frombuffer(s, np.uint64) for s in group.column("set").to_pylist()]
+            part, node = group.column("component").to_pylist(), group.column("node").to_pylist()
+            merged = _Union()
+            for i, j in zip(*(x.tolist() for x in _open_pairs(group, least, rows, percent)), strict=True):
+                a, b = merged.find(part[i]), merged.find(part[j])
+                if a != b and _similar(sets[i], sets[j], percent):
+                    merged.join(a, b)
+                    links.append((node[i], node[j]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["u", "v"]
+        )
 
     sets = settle(_full_sets(stored, open_members), "near-open-sets")
-    return (
-        open_members.join(sketches.select("node", "sketch"), "node").join(sets, "node")
-        .groupBy(*group).applyInPandas(verify, "u long, v long")
-    )
+    return _by_group(open_members.join(own, "node").join(sets, "node")).mapInArrow(tidy(verify), "u long, v long")
 
 
 def near_groups(
@@ -394,7 +478,7 @@ def near_groups(
     labels = settle(components(links), "near-labels")
     more = settle(
         _finish(
-            buckets.drop("leader"), labels, representatives, stored,
+            buckets, labels, representatives, stored,
             least=least, rows=rows, percent=percent, block_shingles=block_shingles,
         ),
         "near-more-links",
