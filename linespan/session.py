@@ -42,8 +42,9 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """Return the folder for written intermediates that every executor can read.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where nothing is set,
-    as in tests, a local folder is made and set for the session.
+    A cluster names it in ``spark.checkpoint.dir``. Only where nothing is set
+    and driver and executors are one process, as in tests, a local folder is
+    made and set for the session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -52,6 +53,8 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not context.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return context.getCheckpointDir().rstrip("/")
 

@@ -122,7 +122,7 @@ def projection_sql(timestamp_type: str, hash_call: str) -> dict[str, str]:
     sql["p2_calendar"] = _calendar_sql(
         "CASE WHEN s_nationkey % 2 = 0 THEN '20240331' ELSE '20240215' END"
     )
-    sql["p2_calendar_dates"] = _exception_sql("event_type = 'error'")
+    sql["p2_calendar_dates"] = _exception_sql("ts IS NOT NULL")
     sql["p2_trips"] = _trip_columns("T", "CAST(o_orderkey % 2 AS STRING)")
     sql["p2_stop_times"] = f"""
         SELECT trip_id, {_CALL_TIME.format(s='(s - dwell)')} AS arrival_time,
@@ -202,7 +202,7 @@ def projection_sql(timestamp_type: str, hash_call: str) -> dict[str, str]:
         "CASE WHEN s_nationkey % 2 = 0 AND s_nationkey > 3 THEN '20240331' ELSE '20240215' END"
     )
     sql["p1_calendar_dates"] = _exception_sql(
-        f"event_type = 'error' AND ts < CAST('2024-01-20 00:00:00' AS {timestamp_type})"
+        f"ts < CAST('2024-01-20 00:00:00' AS {timestamp_type})"
     )
     sql["p1_trips"] = f"""
         SELECT t.route_id, t.service_id, t.trip_id, t.trip_headsign, t.trip_short_name,

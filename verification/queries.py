@@ -209,12 +209,27 @@ query("fact_route_service_day", _ROUTE_FACT)(lambda w: w.latest.derived_route_da
 query("fact_stop_service_day", _STOP_FACT)(lambda w: w.latest.derived_stop_days())
 
 
-@query("fact_insert_if_absent", _ROUTE_FACT)
+@query(
+    "fact_insert_if_absent",
+    f"""
+    SELECT 'route' AS fact, route_key AS entity_key, date_key, scheduled_trip_count FROM ({_ROUTE_FACT}) r
+    UNION ALL SELECT 'stop', stop_key, date_key, scheduled_trip_count FROM ({_STOP_FACT}) s""",
+)
 def fact_insert_if_absent(w: World) -> DataFrame:
-    """Stored rows of the first half of the window, completed by a full derivation."""
-    derived = w.latest.derived_route_days()
-    stored = w.latest.route_days.where(F.col("full_date") < F.lit("2024-02-15").cast("date"))
-    return history.insert_if_absent(stored, derived, daily.ROUTE_DAY_KEYS)
+    """Stored rows of the first half of the window, completed by full derivations."""
+    early = F.col("full_date") < F.lit("2024-02-15").cast("date")
+
+    def completed(fact: str, stored: DataFrame, derived: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        rows = history.insert_if_absent(stored.where(early), derived, keys)
+        return rows.select(
+            F.lit(fact).alias("fact"), F.col(f"{fact}_key").alias("entity_key"), "date_key",
+            "scheduled_trip_count",
+        )
+
+    b = w.latest
+    return completed("route", b.route_days, b.derived_route_days(), daily.ROUTE_DAY_KEYS).unionByName(
+        completed("stop", b.stop_days, b.derived_stop_days(), daily.STOP_DAY_KEYS)
+    )
 
 
 query(
@@ -308,7 +323,34 @@ VIEW_BUILDERS: dict[str, Callable[[World], DataFrame]] = {
     ),
 }
 
-query("latest_snapshot", "SELECT * FROM latest")(lambda w: views.latest_snapshot(w.snapshots))
+
+
+@query(
+    "latest_snapshot",
+    """
+    SELECT snapshot_key, downloaded_at_utc, snapshot_status FROM (
+        SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS snapshot_key,
+               CAST(MAX(o_orderdate) AS TIMESTAMP) AS downloaded_at_utc,
+               CASE WHEN SUM(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) * 3 <= COUNT(*)
+                    THEN 'LOADED' ELSE 'VALIDATED' END AS snapshot_status
+        FROM orders GROUP BY year(o_orderdate) * 100 + month(o_orderdate)) p
+    WHERE snapshot_status = 'LOADED' ORDER BY downloaded_at_utc DESC, snapshot_key DESC LIMIT 1""",
+)
+def latest_snapshot(w: World) -> DataFrame:
+    """One publication per order month; months with many pending orders are not loaded."""
+    month = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("bigint")
+    pending = F.count_if(F.col("o_orderstatus") == "P")
+    publications = (
+        w.spark.read.parquet(f"{w.folder}/orders.parquet")
+        .groupBy(month.alias("snapshot_key"))
+        .agg(
+            F.max("o_orderdate").cast("timestamp_ntz").alias("downloaded_at_utc"),
+            F.when(pending * 3 <= F.count("*"), "LOADED").otherwise("VALIDATED").alias("snapshot_status"),
+        )
+    )
+    return views.latest_snapshot(publications)
+
+
 for _name, _make in VIEW_BUILDERS.items():
     _table = "v_" + _name.removesuffix("_view")
     query(_name, f"SELECT * FROM {_table}")(_make)
