@@ -3,11 +3,13 @@
 The heavy part is counting distinct stops per route and day (and routes per
 stop and day) across services that run on overlapping dates. Expanding every
 (service, route, stop) row by its dates and counting distinct would shuffle
-that expansion. Here a service's dates in the window are packed into 64-bit
+that expansion. Here calls are first rolled up to (service, route, stop), once
+for both facts, and a service's dates in the window are packed into 64-bit
 words. ``bit_or`` over (route, stop) then gives the exact set of days the pair
-is served, with a fixed-size state that combines before the shuffle. Pairs of a
-route with equal day sets collapse into one counted row, and only then are the
-days expanded, after the rows are already placed by route.
+is served, with a fixed-size state that combines before the shuffle. Rows are
+placed by entity and word, so the days of a busy route spread over tasks. There
+equal day sets collapse into one counted row, and only then are the days
+expanded, which is never shuffled.
 """
 
 from __future__ import annotations
@@ -164,6 +166,15 @@ def service_stop_metric(trip_stops: DataFrame) -> DataFrame:
     )
 
 
+def service_route_stop_metric(trip_stops: DataFrame) -> DataFrame:
+    """Roll-up of the calls, from which both facts take pairs and the stop fact its measures."""
+    return trip_stops.groupBy("service_key", "route_key", "stop_key").agg(
+        F.count("*").alias("scheduled_trip_count"),
+        F.min("departure_seconds").alias("first_departure_seconds"),
+        F.max("departure_seconds").alias("last_departure_seconds"),
+    )
+
+
 def service_route_stop(trip_stops: DataFrame) -> DataFrame:
     return trip_stops.select("service_key", "route_key", "stop_key").distinct()
 
@@ -189,27 +200,31 @@ def service_days(bridge: DataFrame, window: Window, snapshot_key: int) -> DataFr
     )
 
 
-def pair_days(events: DataFrame, days: DataFrame, window: Window) -> DataFrame:
+def pair_days(rollup: DataFrame, days: DataFrame, window: Window) -> DataFrame:
     """Per route and stop, the set of days on which some service links them."""
     return (
-        events.join(days, "service_key")
+        rollup.select("service_key", "route_key", "stop_key").join(days, "service_key")
         .groupBy("route_key", "stop_key")
         .agg(*[F.bit_or(name).alias(name) for name in window.words])
     )
 
 
-def _expanded(rows: DataFrame, window: Window) -> DataFrame:
-    """One row per set day bit; ``full_date`` replaces the words."""
+def _by_word(rows: DataFrame, window: Window) -> DataFrame:
+    """One row per non-empty day word: ``_word``, its number, and ``_days``, its bits."""
     kept = [c for c in rows.columns if c not in window.words]
+    words = F.array(*[F.col(name) for name in window.words])
+    return rows.select(*kept, F.posexplode(words).alias("_word", "_days")).where(F.col("_days") != 0)
+
+
+def _expanded(rows: DataFrame, window: Window) -> DataFrame:
+    """One row per set day bit; ``full_date`` replaces the word."""
+    kept = [c for c in rows.columns if c != "_days"]
     expanded = rows.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(window.days - 1))).alias("_offset")
+        "*", F.explode(F.sequence(F.lit(0), F.lit(WORD_BITS - 1))).alias("_offset")
     )
-    offset = F.col("_offset")
-    word = F.lit(None).cast("bigint")
-    for i, name in reversed(list(enumerate(window.words))):
-        word = F.when(offset < (i + 1) * WORD_BITS, F.col(name)).otherwise(word)
-    return expanded.where(F.getbit(word, F.pmod(offset, F.lit(WORD_BITS))) == 1).select(
-        *kept, F.date_add(window.start, offset).alias("full_date")
+    day = F.date_add(window.start, F.col("_word") * WORD_BITS + F.col("_offset"))
+    return expanded.where(F.getbit("_days", F.col("_offset")) == 1).select(
+        *kept, day.alias("full_date")
     )
 
 
@@ -219,16 +234,13 @@ def _day_facts(
     """Sum per entity and day: base measures across services, distinct partners.
 
     Both inputs are pre-aggregates: per entity at most one row per service and
-    one per partner. They are placed by entity once; there rows with equal day
-    sets merge, and only the merged rows expand, so the expansion itself is
-    never shuffled. The partition count is given: AQE would otherwise merge
-    partitions by their size before the expansion, which is what the work
-    depends on least.
+    one per partner. They are placed by entity and word once; there rows with
+    equal day sets merge, and only the merged rows expand, at most 64-fold, so
+    the expansion itself is never shuffled.
     """
     partners = pairs.select(entity, *window.words, F.lit(1).cast("bigint").alias(count_name))
-    rows = base.unionByName(partners, allowMissingColumns=True)
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    measures = [c for c in rows.columns if c not in (entity, *window.words)]
+    rows = _by_word(base.unionByName(partners, allowMissingColumns=True), window)
+    measures = [c for c in rows.columns if c not in (entity, "_word", "_days")]
     aggregates = [
         F.sum(c).alias(c)
         if c.endswith("_count")
@@ -237,8 +249,8 @@ def _day_facts(
         else F.max(c).alias(c)
         for c in measures
     ]
-    same_days = rows.repartition(tasks, entity).groupBy(entity, *window.words).agg(*aggregates)
-    return _expanded(same_days, window).groupBy(entity, "full_date").agg(*aggregates)
+    same_days = rows.repartition(entity, "_word").groupBy(entity, "_word", "_days").agg(*aggregates)
+    return _expanded(same_days, window).groupBy(entity, "_word", "full_date").agg(*aggregates)
 
 
 def _headway() -> Column:
@@ -248,14 +260,20 @@ def _headway() -> Column:
 
 
 def fact_route_service_day(
-    events: DataFrame, bridge: DataFrame, routes: DataFrame, window: Window, snapshot_key: int
+    events: DataFrame, bridge: DataFrame, routes: DataFrame, window: Window, snapshot_key: int,
+    rollup: DataFrame | None = None,
 ) -> DataFrame:
-    """Scheduled service per route and day of the reporting window."""
+    """Scheduled service per route and day of the reporting window.
+
+    ``rollup`` is the stored ``service_route_stop_metric`` of the same events.
+    """
     days = service_days(bridge, window, snapshot_key)
     own = events.where(F.col("snapshot_key") == snapshot_key)
     base = service_route_metric(trip_event_metric(own)).join(days, "service_key").drop("service_key")
+    if rollup is None:
+        rollup = service_route_stop_metric(trip_stop_metric(own))
     facts = _day_facts(
-        base, pair_days(own, days, window), "route_key", "unique_stop_count", window
+        base, pair_days(rollup, days, window), "route_key", "unique_stop_count", window
     )
     operators = routes.select("route_key", "operator_key")
     span = F.col("last_arrival_seconds") - F.col("first_departure_seconds")
@@ -276,14 +294,26 @@ def fact_route_service_day(
 
 
 def fact_stop_service_day(
-    events: DataFrame, bridge: DataFrame, window: Window, snapshot_key: int
+    events: DataFrame, bridge: DataFrame, window: Window, snapshot_key: int,
+    rollup: DataFrame | None = None,
 ) -> DataFrame:
-    """Scheduled service per stop and day of the reporting window."""
+    """Scheduled service per stop and day of the reporting window.
+
+    ``rollup`` is the stored ``service_route_stop_metric`` of the same events.
+    """
     days = service_days(bridge, window, snapshot_key)
-    own = events.where(F.col("snapshot_key") == snapshot_key)
-    base = service_stop_metric(trip_stop_metric(own)).join(days, "service_key").drop("service_key")
+    if rollup is None:
+        own = events.where(F.col("snapshot_key") == snapshot_key)
+        rollup = service_route_stop_metric(trip_stop_metric(own))
+    # A trip has one route, so trips add up over the routes of a stop.
+    by_stop = rollup.groupBy("service_key", "stop_key").agg(
+        F.sum("scheduled_trip_count").alias("scheduled_trip_count"),
+        F.min("first_departure_seconds").alias("first_departure_seconds"),
+        F.max("last_departure_seconds").alias("last_departure_seconds"),
+    )
+    base = by_stop.join(days, "service_key").drop("service_key")
     facts = _day_facts(
-        base, pair_days(own, days, window), "stop_key", "scheduled_route_count", window
+        base, pair_days(rollup, days, window), "stop_key", "scheduled_route_count", window
     )
     span = F.col("last_departure_seconds") - F.col("first_departure_seconds")
     return facts.select(

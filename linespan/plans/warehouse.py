@@ -196,9 +196,18 @@ class PublicationBuild:
         services = daily.participating_service(self.bridge, self.window, self.snapshot_key)
         return daily.window_events(self.events, services, self.snapshot_key)
 
+    def derived_rollup(self) -> DataFrame:
+        own = self.events.where(F.col("snapshot_key") == self.snapshot_key)
+        return daily.service_route_stop_metric(daily.trip_stop_metric(own))
+
+    @cached_property
+    def rollup(self) -> DataFrame:
+        """Calls rolled up to service, route and stop, for both facts."""
+        return self.keep("service_route_stop", self.derived_rollup)
+
     def derived_route_days(self) -> DataFrame:
         return daily.fact_route_service_day(
-            self.events, self.bridge, self.dim_route, self.window, self.snapshot_key
+            self.events, self.bridge, self.dim_route, self.window, self.snapshot_key, self.rollup
         )
 
     @cached_property
@@ -207,7 +216,7 @@ class PublicationBuild:
 
     def derived_stop_days(self) -> DataFrame:
         return daily.fact_stop_service_day(
-            self.events, self.bridge, self.window, self.snapshot_key
+            self.events, self.bridge, self.window, self.snapshot_key, self.rollup
         )
 
     @cached_property

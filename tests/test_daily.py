@@ -137,6 +137,29 @@ def test_expansion_is_not_shuffled(spark):
     assert "CartesianProduct" not in physical and "NestedLoop" not in physical
 
 
+def test_calls_are_rolled_up_before_they_meet_the_days(spark):
+    services, events = make_world(4)
+    frame = spark.createDataFrame(events, EVENT_SCHEMA)
+    bridge = spark.createDataFrame(
+        [(2, key, day) for key, days in services.items() for day in days],
+        "snapshot_key bigint, service_key string, full_date date",
+    )
+    window = daily.Window(dt.date(2024, 1, 1), dt.date(2024, 5, 1))
+    facts = daily.fact_stop_service_day(frame, bridge, window, 2)
+    physical = facts._jdf.queryExecution().executedPlan().toString()
+    # Joins with the days read aggregates, and no exchange has a given number of partitions.
+    for line in physical.split("\n"):
+        assert "REPARTITION_BY_NUM" not in line
+    raw = [x for x in physical.split("\n") if "Exchange hashpartitioning(service_key" in x]
+    assert raw and all("trip_key" not in x for x in raw)
+    # One route holds a third of the trips: its days spread over its words.
+    rows = spark.createDataFrame(
+        [("hot", 1, *[2**62 - 1] * len(window.words)) for _ in range(10)],
+        "stop_key string, scheduled_trip_count bigint, " + ", ".join(f"{w} bigint" for w in window.words),
+    )
+    assert daily._by_word(rows, window).select("_word").distinct().count() == len(window.words) == 2
+
+
 def test_window_bounds(spark):
     bridge = spark.createDataFrame(
         [(2, "2:V", dt.date(2024, 2, 1)), (2, "2:V", dt.date(2024, 3, 1))],
