@@ -18,15 +18,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linespan.llm.common import tidy
+
 NO_PAIR = np.int32(2**31 - 1)
 CACHED_PIECES = 250_000
 MATRIX_CELLS = 1 << 20
 WIDE = 512
+IDS_AT_ONCE = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -190,6 +194,37 @@ class Encoder:
         return [np.frombuffer(b"".join(map(packed, pieces)), np.int32) for pieces in split]
 
 
+class Decoder:
+    """Bytes of token ids, by one table of all tokens' bytes."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        top = max(ranks.values(), default=-1) + 1
+        tokens = [b""] * top
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.table = np.frombuffer(b"".join(tokens), np.uint8)
+        self.length = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def decode(self, lists: pa.ListArray) -> list[bytes]:
+        """Decoded bytes of each row; null rows give none. Many ids are looked up at once."""
+        out, values = [], lists.flatten().to_numpy()
+        sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        row = 0
+        while row < len(sizes):
+            last = max(row + 1, int(np.searchsorted(edges, edges[row] + IDS_AT_ONCE, "right")) - 1)
+            ids = values[edges[row] : edges[last]]
+            length = self.length[ids]
+            ends = np.cumsum(length)
+            place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[ids] - ends + length, length)
+            packed = self.table[place].tobytes()
+            at = np.concatenate([[0], ends])[edges[row : last + 1] - edges[row]].tolist()
+            out += [packed[a:b] for a, b in zip(at, at[1:], strict=False)]
+            row = last
+        return out
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(arrays) + 1, np.int32)
     np.cumsum([len(a) for a in arrays], out=offsets[1:])
@@ -200,7 +235,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 def _slices(batch: pa.RecordBatch, column: str, cells: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of bounded bytes, so that few very long texts are held at once."""
     start, held = 0, 0
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     for number, size in enumerate(sizes):
         if held and held + size > cells:
             yield batch.slice(start, number - start)
@@ -234,7 +269,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text"
                 )
 
     slim = docs.select(*(f"`{c}`" for c in columns))
-    return slim.mapInArrow(run, _schema_with(slim, "ids array<int>"))
+    return slim.mapInArrow(tidy(run), _schema_with(slim, "ids array<int>"))
 
 
 def decode(tokens: DataFrame, vocabulary: str, *, ids: str = "ids", drop: tuple[str, ...] = ()) -> DataFrame:
@@ -243,20 +278,15 @@ def decode(tokens: DataFrame, vocabulary: str, *, ids: str = "ids", drop: tuple[
     columns = [c for c in tokens.columns if c != "decoded" and c not in drop]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_of = {rank: token for token, rank in read_ranks(SparkFiles.get(name)).items()}
+        decoder = Decoder(read_ranks(SparkFiles.get(name)))
         for batch in batches:
-            # One row at a time: the numbers of a whole batch would be large as objects.
-            decoded = [
-                b"".join(map(token_of.__getitem__, row.values.to_pylist())) if row.is_valid else b""
-                for row in batch.column(ids)
-            ]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(decoded, pa.binary())],
+                [*(batch.column(c) for c in columns), pa.array(decoder.decode(batch.column(ids)), pa.binary())],
                 names=[*columns, "decoded"],
             )
 
     slim = tokens.select(*(f"`{c}`" for c in columns))
-    return slim.mapInArrow(run, _schema_with(slim, "decoded binary"))
+    return slim.mapInArrow(tidy(run), _schema_with(slim, "decoded binary"))
 
 
 def _schema_with(rows: DataFrame, extra: str):
