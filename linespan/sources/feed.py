@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linespan.functions.columns import row_hash
 from linespan.schemas import FEED_COLUMNS
+from linespan.session import settled
 
 MALFORMED = "_malformed_record"
 FIRST_DATA_ROW = 2
@@ -27,27 +31,59 @@ def _reader(spark: SparkSession, multi_line: bool):
     )
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a file; only its first line is read."""
-    return [name.lstrip("﻿").strip('"') for name in _reader(spark, False).csv(path).columns]
+def file_shapes(spark: SparkSession, path: str) -> list[tuple[tuple[str, ...], bool, list[str]]]:
+    """Files of a path by their columns and by whether a quoted value spans lines.
+
+    One pass over the lines: a line with an odd number of quotes opens or
+    closes a value of several lines. One small row a file comes back.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    order = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    files = (
+        spark.read.text(path)
+        .select(F.col("_metadata.file_path").alias("file"), "value", quotes.alias("quotes"), order.alias("place"))
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"), F.bool_or(F.col("quotes") % 2 == 1).alias("spans"))
+        .orderBy("file")
+        .collect()
+    )
+    groups: dict[tuple, list[str]] = {}
+    for row in files:
+        names = tuple(next(csv.reader([row.header.lstrip("\ufeff")]), ()))
+        groups.setdefault((names, row.spans), []).append(row.file)
+    return [(names, spans, members) for (names, spans), members in groups.items()]
 
 
-def scan(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All columns as text, plus the raw record where its field count is wrong.
+def scans(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One scan for each kind of file: same columns in the same order, spanning values or not.
 
-    Line-split reading keeps a large file splittable. ``multi_line`` is for
-    small files whose quoted values hold line breaks.
+    All columns are text, with the raw record where its field count is wrong.
+    Files without spanning values are read by lines and stay splittable.
     """
-    names = header_columns(spark, path)
-    fields = ", ".join(f"`{name}` STRING" for name in [*names, MALFORMED])
-    return (
-        _reader(spark, multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .option("columnPruning", False)
-        .schema(fields)
-        .csv(path)
-    )
+    parts = []
+    for names, spans, files in file_shapes(spark, path):
+        fields = ", ".join(f"`{name}` STRING" for name in [*names, MALFORMED])
+        parts.append(
+            _reader(spark, spans)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .option("columnPruning", False)
+            .schema(fields)
+            .csv(files)
+        )
+    if not parts:
+        raise FeedError(f"{path} has no header")
+    return parts
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    """Rows of all scans, columns by name."""
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+
+
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """All files of a path as one table, columns by name."""
+    return _together(scans(spark, path))
 
 
 def malformed_rows(rows: DataFrame) -> DataFrame:
@@ -84,9 +120,10 @@ def declared(rows: DataFrame, table: str) -> DataFrame:
     )
 
 
-def read_feed(spark: SparkSession, folder: str, table: str, multi_line: bool = False) -> DataFrame:
+def read_feed(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One feed table from a landed folder of text files."""
-    return declared(scan(spark, f"{folder}/{table}.txt", multi_line), table)
+    parts = scans(spark, f"{folder}/{table}.txt")
+    return _together([declared(part, table) for part in parts])
 
 
 def with_lineage(rows: DataFrame, table: str, snapshot_key: int) -> DataFrame:
@@ -101,9 +138,11 @@ def with_lineage(rows: DataFrame, table: str, snapshot_key: int) -> DataFrame:
 def with_row_numbers(rows: DataFrame) -> DataFrame:
     """Add ``source_row_number``: the record ordinal in its file, first data row 2.
 
-    Each file split numbers its own records; one small aggregate counts the
-    records per split and turns the counts into offsets. No record is sorted
-    or moved, and the join is on splits, not on records.
+    Each file split numbers its own records; an aggregate counts the records
+    per split and turns the counts into offsets, one small row a split. They
+    are written, so that the join with the records sees their size: AQE sends
+    them to the records, which then are neither sorted nor moved, as long as
+    they are small.
     """
     split = [
         F.col("_metadata.file_path").alias("_file"),
@@ -116,9 +155,12 @@ def with_row_numbers(rows: DataFrame) -> DataFrame:
     before = (
         Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = blocks.select(
-        "_file", "_start", "_first",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
+    offsets = settled(
+        blocks.select(
+            "_file", "_start", "_first",
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
+        ),
+        "row-offsets",
     )
     return numbered.join(offsets, ["_file", "_start"]).select(
         *rows.columns,
@@ -128,16 +170,17 @@ def with_row_numbers(rows: DataFrame) -> DataFrame:
     )
 
 
-def stage(
-    spark: SparkSession, folder: str, table: str, snapshot_key: int, multi_line: bool = False
-) -> DataFrame:
+def stage(spark: SparkSession, folder: str, table: str, snapshot_key: int) -> DataFrame:
     """Staged rows of one feed table: values, row number and hash."""
-    rows = scan(spark, f"{folder}/{table}.txt", multi_line)
-    check_columns(table, rows.columns)
     columns = FEED_COLUMNS[table]
-    return with_row_numbers(rows).select(
-        F.lit(snapshot_key).cast("bigint").alias("snapshot_key"),
-        _well_formed(table, F.col("source_row_number")).alias("source_row_number"),
-        *[_given(name).alias(name) for name in columns],
-        row_hash(columns).alias("row_hash"),
-    )
+
+    def staged(rows: DataFrame) -> DataFrame:
+        check_columns(table, rows.columns)
+        return with_row_numbers(rows).select(
+            F.lit(snapshot_key).cast("bigint").alias("snapshot_key"),
+            _well_formed(table, F.col("source_row_number")).alias("source_row_number"),
+            *[_given(name).alias(name) for name in columns],
+            row_hash(columns).alias("row_hash"),
+        )
+
+    return _together([staged(part) for part in scans(spark, f"{folder}/{table}.txt")])

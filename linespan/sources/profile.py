@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linespan.schemas import FEED_COLUMNS
-from linespan.sources.feed import MALFORMED, scan
+from linespan.sources.feed import MALFORMED, scans
 
 
 def missing_files(names: Iterable[str]) -> list[str]:
@@ -17,17 +17,20 @@ def missing_files(names: Iterable[str]) -> list[str]:
     return sorted({f"{table}.txt" for table in FEED_COLUMNS} - set(names))
 
 
-def profile_table(rows: DataFrame, table: str) -> DataFrame:
-    """Columns, column count, row count, malformed rows and bytes of one scan."""
-    columns = [c for c in rows.columns if c != MALFORMED]
-    # The malformed mark is only available beside a parsed column.
-    first = F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))
-    marked = rows.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("size"),
-        F.concat(first, F.col(MALFORMED)).alias("malformed"),
-    )
-    per_file = marked.groupBy("path").agg(
+def profile_table(parts: list[DataFrame], table: str) -> DataFrame:
+    """Columns, column count, row count, malformed rows and bytes of the scans of one table."""
+    columns = list(dict.fromkeys(c for rows in parts for c in rows.columns if c != MALFORMED))
+
+    def marked(rows: DataFrame) -> DataFrame:
+        # The malformed mark is only available beside a parsed column.
+        first = F.coalesce(F.col(f"`{rows.columns[0]}`"), F.lit(""))
+        return rows.select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("size"),
+            F.concat(first, F.col(MALFORMED)).alias("malformed"),
+        )
+
+    per_file = reduce(DataFrame.unionByName, map(marked, parts)).groupBy("path").agg(
         F.max("size").alias("size"),
         F.count("*").alias("rows"),
         F.count("malformed").alias("malformed"),
@@ -48,7 +51,7 @@ def profile_table(rows: DataFrame, table: str) -> DataFrame:
 
 def profile_structure(spark: SparkSession, folder: str, tables: Iterable[str]) -> DataFrame:
     """One row per feed table."""
-    parts = [profile_table(scan(spark, f"{folder}/{t}.txt"), t) for t in tables]
+    parts = [profile_table(scans(spark, f"{folder}/{t}.txt"), t) for t in tables]
     return reduce(DataFrame.unionByName, parts)
 
 

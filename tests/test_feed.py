@@ -32,6 +32,26 @@ def test_read_by_name_with_bom_extra_and_reordered_columns(spark, tmp_path):
     }
 
 
+def test_quoted_line_break_is_one_record(spark, tmp_path):
+    text = 'service_id,date,exception_type\n"V\n1",20240101,1\nV2,20240102,2\n'
+    folder = write(tmp_path, "calendar_dates", text)
+    rows = feed.stage(spark, folder, "calendar_dates", 7).collect()
+    assert {(r.source_row_number, r.service_id, r.date) for r in rows} == {
+        (2, "V\n1", "20240101"), (3, "V2", "20240102"),
+    }
+
+
+def test_files_of_different_column_order(spark, tmp_path):
+    folder = tmp_path / "calendar_dates.txt"
+    folder.mkdir()
+    (folder / "a.csv").write_text("service_id,date,exception_type\nV1,20240101,1\n")
+    (folder / "b.csv").write_text('exception_type,service_id,date\n2,"V\n2",20240102\n')
+    rows = feed.read_feed(spark, str(tmp_path), "calendar_dates")
+    assert {tuple(r) for r in rows.collect()} == {("V1", "20240101", "1"), ("V\n2", "20240102", "2")}
+    staged = feed.stage(spark, str(tmp_path), "calendar_dates", 1)
+    assert {(r.service_id, r.source_row_number) for r in staged.collect()} == {("V1", 2), ("V\n2", 2)}
+
+
 def test_missing_column_is_an_error(spark, tmp_path):
     folder = write(tmp_path, "calendar_dates", "service_id,date\nV1,20240101\n")
     with pytest.raises(feed.FeedError, match="exception_type"):
