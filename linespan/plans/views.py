@@ -277,10 +277,17 @@ def recent_pipeline_runs(w: Warehouse, as_of: str) -> DataFrame:
 
 
 def data_quality_results(w: Warehouse) -> DataFrame:
+    """Newest results of known runs. The top-k runs before names are joined."""
     runs = w.runs.select("pipeline_run_key", "pipeline_name")
+    order = F.desc("checked_at_utc"), F.desc("data_quality_result_key")
+    newest = (
+        w.quality.join(runs.select("pipeline_run_key"), "pipeline_run_key", "left_semi")
+        .orderBy(*order)
+        .limit(RECENT_RESULTS)
+    )
     return (
-        w.quality.join(runs, "pipeline_run_key")
-        .orderBy(F.desc("checked_at_utc"), F.desc("data_quality_result_key"))
+        newest.join(runs, "pipeline_run_key")
+        .orderBy(*order)
         .limit(RECENT_RESULTS)
         .select(
             "data_quality_result_key", "pipeline_run_key", "snapshot_key", "pipeline_name",
@@ -400,13 +407,19 @@ def _value_ranks(summary: DataFrame, measure: str, output: str) -> DataFrame:
 
 
 def _scored(summary: DataFrame, weights: tuple, score: str) -> DataFrame:
+    """Rows with ranks and score, written once: several branches read them.
+
+    A row without a measure ranks lowest in it, as ``PERCENT_RANK`` has it.
+    """
     ranked = summary
     for measure, output, _ in weights:
-        ranked = ranked.join(
-            _value_ranks(summary, measure, output), ["snapshot_key", measure]
+        ranks = _value_ranks(summary, measure, output).select(
+            F.col("snapshot_key").alias("_key"), F.col(measure).alias("_value"), output
         )
+        same = (F.col("snapshot_key") == F.col("_key")) & F.col(measure).eqNullSafe(F.col("_value"))
+        ranked = ranked.join(ranks, same).drop("_key", "_value")
     weighted = sum((F.lit(weight) * F.col(output) for _, output, weight in weights), F.lit(0.0))
-    return ranked.withColumn(score, score_1dp(F.lit(100.0) * weighted))
+    return settled(ranked.withColumn(score, score_1dp(F.lit(100.0) * weighted)), "scored")
 
 
 def _score_ranks(scored: DataFrame, keys: list[str], score: str, output: str) -> DataFrame:

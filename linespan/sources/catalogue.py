@@ -29,8 +29,8 @@ def snapshot_register(
     """Registry rows for publications whose SHA-256 is not registered yet.
 
     ``landed`` has file identity and sidecar columns, one row per archive. New
-    keys continue after the highest one, in order of download. Only new
-    publications are numbered, a handful per run.
+    keys continue after the highest one, in order of download: publications are
+    numbered within their day, after the count of those of earlier days.
     """
     fresh = landed.join(registered.select("sha256"), "sha256", "left_anti")
     downloaded = utc_moment(F.col("downloaded_at_utc"))
@@ -42,10 +42,18 @@ def snapshot_register(
         .select("sha256", "first.*")
     )
     highest = registered.select(F.coalesce(F.max("snapshot_key"), F.lit(0))).scalar()
-    order = Window.orderBy("downloaded_at_utc", "sha256")
+    dated = rows.withColumn("_day", F.to_date("downloaded_at_utc"))
+    earlier = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        dated.groupBy("_day").agg(F.count("*").alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .select(F.col("_day").alias("_of_day"), "_before")
+    )
+    inside = Window.partitionBy("_day").orderBy("downloaded_at_utc", "sha256")
     return (
-        rows.join(first_feed_info(feed_info), "sha256", "left")
-        .withColumn("snapshot_key", highest + F.row_number().over(order))
+        dated.join(before, F.col("_day").eqNullSafe(F.col("_of_day")))
+        .join(first_feed_info(feed_info), "sha256", "left")
+        .withColumn("snapshot_key", highest + F.col("_before") + F.row_number().over(inside))
         .select(
             F.col("snapshot_key").cast("bigint").alias("snapshot_key"),
             F.lit(source_name).alias("source_name"),
