@@ -170,17 +170,23 @@ def with_row_numbers(rows: DataFrame) -> DataFrame:
     )
 
 
-def stage(spark: SparkSession, folder: str, table: str, snapshot_key: int) -> DataFrame:
-    """Staged rows of one feed table: values, row number and hash."""
+def staged_rows(rows: DataFrame, table: str, snapshot_key: int) -> DataFrame:
+    """Staged form of numbered rows: publication, row number, declared values and hash."""
+    check_columns(table, rows.columns)
     columns = FEED_COLUMNS[table]
+    return rows.select(
+        F.lit(snapshot_key).cast("bigint").alias("snapshot_key"),
+        _well_formed(table, F.col("source_row_number")).alias("source_row_number"),
+        *[_given(name).alias(name) for name in columns],
+        row_hash(columns).alias("row_hash"),
+    )
 
-    def staged(rows: DataFrame) -> DataFrame:
-        check_columns(table, rows.columns)
-        return with_row_numbers(rows).select(
-            F.lit(snapshot_key).cast("bigint").alias("snapshot_key"),
-            _well_formed(table, F.col("source_row_number")).alias("source_row_number"),
-            *[_given(name).alias(name) for name in columns],
-            row_hash(columns).alias("row_hash"),
-        )
 
-    return _together([staged(part) for part in scans(spark, f"{folder}/{table}.txt")])
+def stage(spark: SparkSession, folder: str, table: str, snapshot_key: int) -> DataFrame:
+    """Staged rows of one feed table: values, row number and hash."""
+    return _together(
+        [
+            staged_rows(with_row_numbers(part), table, snapshot_key)
+            for part in scans(spark, f"{folder}/{table}.txt")
+        ]
+    )

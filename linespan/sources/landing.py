@@ -34,27 +34,26 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _member_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Inflate and split each (archive, member) row in bounded batches."""
+    """Inflate and split the feed members of each archive in bounded batches."""
     for batch in batches:
         for row in batch.itertuples(index=False):
             with zipfile.ZipFile(io.BytesIO(row.content)) as archive:
-                member = f"{row.table_name}.txt"
-                if member not in archive.namelist():
-                    continue
-                with archive.open(member) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-                    records: list[tuple] = []
-                    width = None
-                    for number, fields in enumerate(filter(None, csv.reader(text)), start=1):
-                        width = len(fields) if width is None else width
-                        records.append(
-                            (row.path, row.table_name, number, fields, len(fields) != width)
-                        )
-                        if len(records) == BATCH_RECORDS:
+                present = set(archive.namelist())
+                for table in FEED_COLUMNS:
+                    if f"{table}.txt" not in present:
+                        continue
+                    with archive.open(f"{table}.txt") as raw:
+                        text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
+                        records: list[tuple] = []
+                        width = None
+                        for number, fields in enumerate(filter(None, csv.reader(text)), start=1):
+                            width = len(fields) if width is None else width
+                            records.append((row.path, table, number, fields, len(fields) != width))
+                            if len(records) == BATCH_RECORDS:
+                                yield _as_frame(records)
+                                records = []
+                        if records:
                             yield _as_frame(records)
-                            records = []
-                    if records:
-                        yield _as_frame(records)
 
 
 def _as_frame(records: list[tuple]) -> pd.DataFrame:
@@ -66,14 +65,11 @@ def archive_records(spark: SparkSession, path: str) -> DataFrame:
     """Records of every feed member of every archive; the header is record 1.
 
     A compressed member can only be read in order, so the unit of work is one
-    member of one archive. The result is meant to be written once as Parquet;
-    all later work is splittable.
+    archive, read where its bytes are. The result is meant to be written once as
+    Parquet; all later work is splittable. Spark holds an archive in one value of
+    at most 2 GiB: larger feeds land as a folder of text files (``feed.stage``).
     """
-    names = F.array(*[F.lit(table) for table in FEED_COLUMNS])
-    members = archives(spark, path).select(
-        "path", "content", F.explode(names).alias("table_name")
-    )
-    return members.repartition("path", "table_name").mapInPandas(_member_records, RECORD_SCHEMA)
+    return archives(spark, path).select("path", "content").mapInPandas(_member_records, RECORD_SCHEMA)
 
 
 def landed_table(records: DataFrame, path: str, table: str) -> DataFrame:
