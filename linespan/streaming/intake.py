@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linespan.sources.store import Store, insert_partition_rows
@@ -30,16 +32,21 @@ def incremental_intake(
 
     The checkpoint is the cursor: files are taken in bounded batches, each is
     recorded when done, and a rerun continues after the last finished batch. A
-    batch that is repeated after a lost driver inserts nothing twice.
+    batch is written under its number, so one that is repeated after a lost
+    driver replaces itself, and its cost does not depend on what is stored.
+    Once per run the arrived rows are merged: rows whose key is stored already
+    are left out, and the keys of all source rows must be stored in the end.
     """
     staged = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(source)
     )
+    arrived = f"{table}_arrived/{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
 
-    def load(batch: DataFrame, _number: int) -> None:
-        insert_partition_rows(store, table, transform(batch), keys, snapshot_key)
+    def load(batch: DataFrame, number: int) -> None:
+        rows = transform(batch)
+        rows.write.mode("overwrite").parquet(f"{store.path(arrived)}/batch={number}")
 
     run = (
         staged.writeStream.option("checkpointLocation", checkpoint)
@@ -48,7 +55,17 @@ def incremental_intake(
         .start()
     )
     run.awaitTermination()
-    return store.read(table)
+    if store.exists(arrived):
+        rows = spark.read.parquet(store.path(arrived)).drop("batch").dropDuplicates(list(keys))
+        insert_partition_rows(store, table, rows, keys, snapshot_key)
+        # Merged rows are stored; what arrives next starts anew.
+        store.remove(arrived)
+    stored = store.read(table)
+    every = transform(spark.read.schema(schema).parquet(source))
+    check_complete(
+        stored.where(F.col("snapshot_key") == snapshot_key), every.select(*keys).distinct(), table
+    )
+    return stored
 
 
 def check_complete(stored: DataFrame, source: DataFrame, name: str) -> None:

@@ -32,6 +32,7 @@ def test_intake_resumes_and_never_inserts_twice(spark):
     assert stored.count() == 80 and stored.distinct().count() == 80
     # A lost cursor replays every file.
     assert run(spark, source, store, f"{store.root}/other").count() == 80
+    assert not store.exists("points_arrived")
     intake.check_complete(stored, staged(spark, range(80)), "points")
     with pytest.raises(intake.IntakeError, match="80 rows for 81"):
         intake.check_complete(stored, staged(spark, range(81)), "points")
