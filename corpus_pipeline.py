@@ -7,35 +7,64 @@ shared folder one by one, so lost executors cost a re-read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linespan.llm import byte_bpe, exact_dedup, mixing, near_dedup, quality_rules
-from linespan.llm.common import documents, settle
+from linespan.llm.common import collecting, delete_folder, documents, settle
 from linespan.llm.queries import VOCABULARY
 
 
+# Folders of the stage called last. They feed its lazy result, so they stay until the next stage.
+_left: list[str] = []
+
+
+def stage(work: Callable) -> Callable:
+    """Delete what the stage before has left, unless the documents still read from it."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        used = [folder for folder in _left if any(folder.rsplit("/", 1)[-1] in file for file in read)]
+        for folder in set(_left) - set(used):
+            delete_folder(spark, folder)
+        with collecting() as made:
+            rows = work(spark, docs, sf_dir)
+        _left[:] = [*used, *made]
+        return rows
+
+    return run_stage
+
+
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality_rules.kept_rows(docs)
 
 
+@stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.kept_rows(docs)
 
 
+@stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
     return near_dedup.kept_rows(docs)
 
 
+@stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mixed_rows(docs)
 
 
+@stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of the ids and of what they decode to."""
     rows = docs.select("doc_id", "lang", "source", "text")
@@ -62,8 +91,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir)
-    for number, (_, stage) in enumerate(STAGES, 1):
-        rows = stage(spark, rows, sf_dir)
+    for number, (_, work) in enumerate(STAGES, 1):
+        rows = work(spark, rows, sf_dir)
         if number < len(STAGES):
             rows = settle(rows, f"pipeline-{number}")
     return rows

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linespan.session import run_folder, settled, table_path
+from linespan.session import run_folder, table_path
 
 # The white space that separates words, as characters and as a class.
 WHITE = " \t\n\x0b\f\r"
@@ -34,14 +34,53 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
+# Folders made since ``collecting`` began; None where nobody asks.
+_made: list[str] | None = None
+
+
+@contextmanager
+def collecting():
+    """Collect the names of the shared folders made in a block."""
+    global _made
+    before, _made = _made, []
+    try:
+        yield _made
+    finally:
+        _made = before
+
+
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """Name a new folder below the shared folder."""
+    path = run_folder(spark, purpose)
+    if _made is not None:
+        _made.append(path)
+    return path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(rows: DataFrame, purpose: str) -> DataFrame:
     """Write rows to the shared folder and read them back.
 
     The shuffle files of the finished write go at once, so the disk a chain of
     steps needs is that of its largest step.
     """
-    with setting(rows.sparkSession, CLEANUP, "true"):
-        return settled(rows, purpose)
+    spark = rows.sparkSession
+    path = scratch_folder(spark, purpose)
+    with setting(spark, CLEANUP, "true"):
+        rows.write.parquet(path)
+    table = spark.read.schema(rows.schema).parquet(path)
+    table.settled_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that no later step reads."""
+    for table in tables:
+        delete_folder(table.sparkSession, table.settled_path)
 
 
 def keyed(docs: DataFrame, purpose: str, **columns: Column) -> DataFrame:
@@ -90,6 +129,6 @@ def documents(spark: SparkSession, folder: str, table: str = "documents") -> Dat
 
 
 __all__ = [
-    "WHITE", "WHITE_CLASS", "documents", "keyed", "let", "run_folder", "setting", "settle",
-    "tidy", "whole_rows", "words_of",
+    "WHITE", "WHITE_CLASS", "collecting", "delete_folder", "discard", "documents", "keyed", "let", "scratch_folder",
+    "setting", "settle", "tidy", "whole_rows", "words_of",
 ]

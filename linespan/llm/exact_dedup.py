@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linespan.llm.common import CLEANUP, WHITE_CLASS, run_folder, setting, settle
+from linespan.llm.common import WHITE_CLASS, scratch_folder, setting, settle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -54,7 +54,7 @@ def store(docs: DataFrame, digest, *, text: str = "text", identifier: str = "doc
         F.sha2(normalised(content), 256).alias("text_sha256"),
         F.struct("*").alias("doc"),
     )
-    folder = run_folder(docs.sparkSession, "exact-copy")
+    folder = scratch_folder(docs.sparkSession, "exact-copy")
     located.withColumn("digest", digest(normalised(F.col(f"doc.`{text}`")), F.col("text_sha256"))).write.parquet(
         folder
     )
@@ -73,7 +73,7 @@ def digest_state(spark, folder: str, bytes_per_trigger: int = BYTES_PER_TRIGGER)
         spark.readStream.schema(thin.schema).option("maxBytesPerTrigger", str(bytes_per_trigger)).parquet(folder)
     )
     state = arriving.groupBy("digest").agg(F.count(F.lit(1)).alias("seen"), F.min(_rank()).alias("stays"))
-    changed = run_folder(spark, "exact-state")
+    changed = scratch_folder(spark, "exact-state")
     empty = spark.createDataFrame([], state.schema)
     empty.write.parquet(f"{changed}/batch=-1")
 
@@ -83,7 +83,7 @@ def digest_state(spark, folder: str, bytes_per_trigger: int = BYTES_PER_TRIGGER)
     with setting(spark, PROVIDER, ROCKSDB), setting(spark, UNLOAD, "true"):
         run = (
             state.writeStream.outputMode("update")
-            .option("checkpointLocation", run_folder(spark, "exact-checkpoint"))
+            .option("checkpointLocation", scratch_folder(spark, "exact-checkpoint"))
             .trigger(availableNow=True)
             .foreachBatch(keep)
             .start()
@@ -151,4 +151,4 @@ def kept_rows(docs: DataFrame, *, text: str = "text", identifier: str = "doc_id"
     return stored.join(verdicts.where("kept"), "locator", "left_semi").select("doc.*")
 
 
-__all__ = ["CLEANUP", "deduplicate", "digest_state", "kept_rows", "normalised", "sha256_digest", "store"]
+__all__ = ["deduplicate", "digest_state", "kept_rows", "normalised", "sha256_digest", "store"]

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linespan.llm import bloom
-from linespan.llm.common import keyed, settle, tidy, whole_rows
+from linespan.llm.common import discard, keyed, settle, tidy, whole_rows
 from linespan.llm.components import components
 
 SHINGLE = 5
@@ -475,6 +475,7 @@ def near_groups(
     ends = candidates.select(F.col("u").alias("node")).unionByName(candidates.select(F.col("v").alias("node")))
     sets = settle(_full_sets(stored, ends), "near-sets")
     links = settle(_verified(_with_both(candidates, sets, ["set"]), percent), "near-links")
+    discard(candidates, sets)
     labels = settle(components(links), "near-labels")
     more = settle(
         _finish(
