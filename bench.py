@@ -24,7 +24,7 @@ HEADLINE = (
     "fact_route_service_day", "fact_stop_service_day", "publication_changes", "dq_stop_times",
     "route_summary", "stop_summary", "network_daily_summary", "route_service_intelligence",
     "stop_service_intelligence", "stop_location_changes", "platform_summary", "dashboard_kpis",
-    "q_network_trends", "q_modes", "q_routes", "q_map_stops", "q_pipelines", "q_data_quality",
+    "q_overview", "q_network_trends", "q_modes", "q_routes", "q_map_stops", "q_pipelines", "q_data_quality",
 )
 RUNS = 2
 
