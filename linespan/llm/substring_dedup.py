@@ -9,11 +9,13 @@ window of every document probes it, and hits are extended to windows:
    smallest identifier is the document that is searched; later copies repeat it
    whole, so all their words go if it has a window at all.
 2. Block hashes go into a once-seen and a twice-seen Bloom filter.
-3. Rolling windows off the block grid that hit the once filter, and the blocks
-   of the twice filter, are the anchors, a filter of the same size.
-4. Windows of ``WINDOW`` words that hold an anchor are taken with a 128-bit
-   digest of their own words. These are grouped exactly; every occurrence but
-   the first marks its words, and overlapping marks are maximal repeats.
+3. Rolling windows off the block grid that hit the once filter go into a third.
+4. A repeated window holds blocks of its own grid, which the other place probes
+   or repeats as blocks, and a block of the other place's grid, which it probes
+   itself. Only windows for which the filters confirm both are taken, with a
+   128-bit digest of their own words. These are grouped exactly; every
+   occurrence but the first marks its words, and overlapping marks are maximal
+   repeats.
 
 The filters only choose what is compared, and miss nothing; their bounded size
 decides how many windows that do not repeat are sent along.
@@ -35,79 +37,133 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linespan.llm import bloom
-from linespan.llm.common import settle
-from linespan.llm.near_dedup import WordHashes, windows
+from linespan.llm.common import discard, settle, tidy, words_of
+from linespan.llm.near_dedup import mixed, windows
 
 WINDOW = 20
 BLOCK = 10
 PROBES = 5
 # Bits per byte of text: about 60 bytes of text make a block, a block gets 20 bits.
 BITS_PER_BYTE = 1 / 3
+TO_SPACE = bytes.maketrans(b"\t\n\x0b\f\r", b"     ")
+# Powers of an odd number and their inverses, for hashes of the bytes of a word.
+BASE = 0x5851F42D4C957F2D
+POWERS = np.multiply.accumulate(np.full(1 << 16, BASE, np.uint64))
+INVERSES = np.multiply.accumulate(np.full(1 << 16, pow(BASE, -1, 1 << 64), np.uint64))
 
 
-def _words(batch: pa.RecordBatch) -> Iterator[list[bytes]]:
+class Words:
+    """The words of a text, as places in its bytes with one space between words."""
+
+    def __init__(self, text: bytes) -> None:
+        raw = text.translate(TO_SPACE)
+        if b"  " in raw or raw[:1] == b" " or raw[-1:] == b" ":
+            raw = b" ".join(raw.split())
+        self.raw = raw
+        self.bytes = np.frombuffer(raw, np.uint8)
+        gaps = np.flatnonzero(self.bytes == 32)
+        some = 1 if raw else 0
+        self.begin = np.concatenate([np.zeros(some, np.int64), gaps + 1])
+        self.end = np.concatenate([gaps, np.full(some, len(raw), np.int64)])
+
+    def __len__(self) -> int:
+        return len(self.begin)
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hash of each word; only filters depend on it."""
+        parts, low = [], 0
+        while low < len(self):
+            start = self.begin[low]
+            high = int(np.searchsorted(self.end, start + len(POWERS), "right"))
+            if high == low:
+                parts.append(np.array([xxhash.xxh3_64_intdigest(self.text(low, low + 1))], np.uint64))
+                low += 1
+                continue
+            begin, end = self.begin[low:high] - start, self.end[low:high] - start
+            sums = np.zeros(end[-1] + 1, np.uint64)
+            np.cumsum(self.bytes[start : start + end[-1]] * POWERS[: end[-1]], out=sums[1:])
+            parts.append(mixed((sums[end] - sums[begin]) * INVERSES[begin] + (end - begin).astype(np.uint64)))
+            low = high
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+    def text(self, low: int, high: int) -> bytes:
+        """Words ``low`` up to ``high``."""
+        return self.raw[self.begin[low] : self.end[high - 1]]
+
+
+def _words(batch: pa.RecordBatch) -> Iterator[Words]:
     for text in batch.column("text").cast(pa.binary()).to_pylist():
-        yield (text or b"").split()
+        yield Words(text or b"")
 
 
 def block_filters(stored: DataFrame, bits: int) -> DataFrame:
     """Once and twice filters of the aligned blocks."""
 
     def insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, found = WordHashes(), []
+        found = []
         for batch in batches:
             for words in _words(batch):
                 if len(words) >= WINDOW:
-                    found.append(windows(known.of(words), BLOCK)[::BLOCK])
+                    found.append(windows(words.hashes(), BLOCK)[::BLOCK])
         yield from bloom.seen(found, bits, PROBES)
 
-    return bloom.merged(stored.select("text").mapInArrow(insert, bloom.PAYLOAD))
+    return bloom.merged(stored.select("text").mapInArrow(tidy(insert), bloom.PAYLOAD))
 
 
-def anchor_filter(stored: DataFrame, bits: int, once) -> DataFrame:
+def probe_filter(stored: DataFrame, bits: int, once) -> DataFrame:
     """Filter of the rolling windows off the grid that hit an indexed block."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, found = WordHashes(), []
+        found = []
         for batch in batches:
             for words in _words(batch):
                 if len(words) >= WINDOW:
-                    rolled = windows(known.of(words), BLOCK)
+                    rolled = windows(words.hashes(), BLOCK)
                     rolled = rolled[np.arange(len(rolled)) % BLOCK != 0]
                     found.append(rolled[bloom.contains(once.value, rolled, bits, PROBES)])
         if found:
             hits = np.unique(np.concatenate(found))
             yield from bloom.payloads(hits, hits[:0], bits, PROBES)
 
-    return bloom.merged(stored.select("text").mapInArrow(probe, bloom.PAYLOAD))
+    return bloom.merged(stored.select("text").mapInArrow(tidy(probe), bloom.PAYLOAD))
+
+
+def likely_starts(hashes: np.ndarray, twice: np.ndarray, hits: np.ndarray, bits: int) -> np.ndarray:
+    """Starts of the windows that may occur elsewhere, judged by the filters."""
+    rolled = windows(hashes, BLOCK)
+    grid = np.arange(len(rolled)) % BLOCK == 0
+    probed = bloom.contains(hits, rolled, bits, PROBES)
+    repeated = bloom.contains(twice, rolled[grid], bits, PROBES)
+    known = repeated | probed[grid]
+    start = np.arange(len(hashes) - WINDOW + 1)
+    own = -(-start // BLOCK)
+    # A window on the grid holds two blocks of its own, every other window one.
+    second = np.where(start % BLOCK == 0, own + 1, own)
+    before = np.concatenate([[0], np.cumsum(probed & ~grid)])
+    crossed = before[start + WINDOW - BLOCK + 1] > before[start]
+    return np.flatnonzero(known[own] & known[second] & (crossed | repeated[own] | repeated[second]))
 
 
-def candidates(stored: DataFrame, bits: int, anchors) -> DataFrame:
-    """Windows that hold an anchor: h1, h2 (digest of the words), id, row_key, start."""
+def candidates(stored: DataFrame, bits: int, twice, hits) -> DataFrame:
+    """Windows that may occur elsewhere: h1, h2 (digest of the words), id, row_key, start."""
     kind = stored.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
             rows, starts, digests = [], [], []
             for row, words in enumerate(_words(batch)):
                 if len(words) < WINDOW:
                     continue
-                hit = bloom.contains(anchors.value, windows(known.of(words), BLOCK), bits, PROBES)
-                before = np.concatenate([[0], np.cumsum(hit)])
-                reach = WINDOW - BLOCK + 1
-                begin = np.flatnonzero(before[reach:] > before[:-reach])
-                if not len(begin):
-                    continue
-                joined = b" ".join(words)
-                offsets = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])]).tolist()
+                begin = likely_starts(words.hashes(), twice.value, hits.value, bits)
+                raw = words.raw
                 rows.append(np.full(len(begin), row))
                 starts.append(begin)
-                digests.append(
-                    b"".join(
-                        [xxhash.xxh3_128_digest(joined[offsets[i] : offsets[i + WINDOW] - 1]) for i in begin.tolist()]
+                digests += [
+                    xxhash.xxh3_128_digest(raw[low:high])
+                    for low, high in zip(
+                        words.begin[begin].tolist(), words.end[begin + WINDOW - 1].tolist(), strict=True
                     )
-                )
+                ]
             take = pa.array(np.concatenate(rows) if rows else [], pa.int64())
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
@@ -120,7 +176,7 @@ def candidates(stored: DataFrame, bits: int, anchors) -> DataFrame:
             )
 
     return stored.select("id", "row_key", "text").mapInArrow(
-        run, f"h1 long, h2 long, id {kind}, row_key long, start int"
+        tidy(run), f"h1 long, h2 long, id {kind}, row_key long, start int"
     )
 
 
@@ -142,28 +198,31 @@ def _cut(stored: DataFrame, starts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             totals, gone, kept = [], [], []
-            for words, begins in zip(_words(batch), batch.column("starts").to_pylist(), strict=True):
+            for words, begins in zip(_words(batch), batch.column("starts"), strict=True):
                 totals.append(len(words))
-                if begins:
-                    step = np.zeros(len(words) + 1, np.int64)
-                    at = np.array(begins)
-                    np.add.at(step, at, 1)
-                    np.add.at(step, at + WINDOW, -1)
-                    stays = np.cumsum(step)[:-1] == 0
-                    words = [words[i] for i in np.flatnonzero(stays)]
-                gone.append(totals[-1] - len(words))
-                kept.append(b" ".join(words))
+                if not begins.is_valid:
+                    gone.append(0)
+                    kept.append(words.raw)
+                    continue
+                at = begins.values.to_numpy()
+                step = np.zeros(len(words) + 1, np.int64)
+                np.add.at(step, at, 1)
+                np.add.at(step, at + WINDOW, -1)
+                stays = np.concatenate([[False], np.cumsum(step)[:-1] == 0, [False]])
+                edges = np.flatnonzero(stays[1:] != stays[:-1]).reshape(-1, 2).tolist()
+                gone.append(len(words) - sum(high - low for low, high in edges))
+                kept.append(b" ".join([words.text(low, high) for low, high in edges]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"), batch.column("digest"), pa.array(totals, pa.int64()),
+                    batch.column("id"), pa.array(totals, pa.int64()),
                     pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()),
                 ],
-                names=["id", "digest", "n_words", "n_removed", "kept_text"],
+                names=["id", "n_words", "n_removed", "kept_text"],
             )
 
     return (
-        stored.join(starts, "row_key", "left").select("id", "digest", "text", "starts")
-        .mapInArrow(run, f"id {kind}, digest string, n_words long, n_removed long, kept_text string")
+        stored.join(starts, "row_key", "left").select("id", "text", "starts")
+        .mapInArrow(tidy(run), f"id {kind}, n_words long, n_removed long, kept_text string")
     )
 
 
@@ -185,15 +244,22 @@ def deduplicate(docs: DataFrame, *, identifier: Column, text: Column) -> DataFra
     bits = bloom.filter_bits(size * BITS_PER_BYTE)
     blocks = settle(block_filters(stored, bits), "passage-blocks")
     once = spark.sparkContext.broadcast(bloom.gathered(blocks, "once", bits))
-    hits = settle(anchor_filter(stored, bits, once), "passage-hits")
-    once.unpersist()
-    anchors = spark.sparkContext.broadcast(bloom.gathered(blocks, "twice", bits) | bloom.gathered(hits, "once", bits))
-    found = settle(candidates(stored, bits, anchors), "passage-windows")
-    anchors.unpersist()
-    cut = settle(_cut(stored, settle(repeated_starts(found), "passage-starts")), "passage-kept")
+    probed = settle(probe_filter(stored, bits, once), "passage-hits")
+    once.destroy()
+    twice = spark.sparkContext.broadcast(bloom.gathered(blocks, "twice", bits))
+    hits = spark.sparkContext.broadcast(bloom.gathered(probed, "once", bits))
+    discard(blocks, probed)
+    found = settle(candidates(stored, bits, twice, hits), "passage-windows")
+    twice.destroy()
+    hits.destroy()
+    starts = settle(repeated_starts(found), "passage-starts")
+    discard(found)
+    cut = _cut(stored, starts).select("id", "n_words", "n_removed", "kept_text")
     # Later copies repeat their head from the first word to the last.
-    of_class = cut.select(
-        "digest", "n_words", F.when(F.col("n_words") < WINDOW, F.col("kept_text")).otherwise("").alias("short_text")
+    words = words_of(F.col("text"))
+    short = F.when(F.size(words) < WINDOW, F.array_join(words, " ")).otherwise("")
+    of_class = settle(
+        stored.select("digest", F.size(words).cast("long").alias("n_words"), short.alias("short_text")), "passage-classes"
     ).dropDuplicates(["digest"])
     later = named.select("id", "digest").join(heads, "digest").where(~F.col("id").eqNullSafe(F.col("head")))
     copies = later.join(of_class, "digest").select(
@@ -201,4 +267,4 @@ def deduplicate(docs: DataFrame, *, identifier: Column, text: Column) -> DataFra
         F.when(F.col("n_words") < WINDOW, 0).otherwise(F.col("n_words")).cast("long").alias("n_removed"),
         F.col("short_text").alias("kept_text"),
     )
-    return cut.select("id", "n_words", "n_removed", "kept_text").unionByName(copies)
+    return cut.unionByName(copies)
