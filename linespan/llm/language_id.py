@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linespan.llm.common import settle
+from linespan.llm.common import settle, tidy
 
 BUCKETS = 1 << 15
 PER_LANGUAGE = 1500
@@ -71,7 +71,7 @@ def document_frequency(training: DataFrame) -> tuple[np.ndarray, int]:
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["bucket", "n"])
 
-    sums = training.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    sums = training.select("text").mapInArrow(tidy(run), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     frequency = np.zeros(BUCKETS + 1, np.int64)
     for bucket, n in sums.collect():  # at most one row a bucket
         frequency[bucket] = n
@@ -81,10 +81,13 @@ def document_frequency(training: DataFrame) -> tuple[np.ndarray, int]:
 def bounded_sample(training: DataFrame, per_language: int) -> DataFrame:
     """At most ``per_language`` rows of each language, chosen by hash: label, text, draw."""
     drawn = training.withColumn("draw", F.xxhash64("id", "text"))
-    counts = drawn.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    # Twice the rows wanted on average before the exact choice, so little text moves.
-    share = F.least(F.lit(1.0), F.lit(2.0 * per_language) / F.col("n"))
-    near = drawn.join(counts, "label").where(F.abs(F.col("draw").cast("double")) <= share * 2.0**63)
+    # One row a language: the model has one, too.
+    counts = drawn.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
+        return drawn.select("label", "text", "draw")
+    # Twice the rows wanted on average, chosen where they are read, before the exact choice.
+    share = F.create_map(*(F.lit(x) for row in counts for x in (row["label"], min(1.0, 2.0 * per_language / row["n"]))))
+    near = drawn.where(F.abs(F.col("draw").cast("double")) <= share[F.col("label")] * 2.0**63)
     order = Window.partitionBy("label").orderBy("draw", "id")
     return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language).select(
         "label", "text", "draw"
@@ -205,4 +208,4 @@ def predict(docs: DataFrame, model, *, key: list[str], text: Column) -> DataFram
     rows = docs.select(*key, text.alias("_text"))
     schema = rows.select(*key).schema
     extra = rows.sparkSession.createDataFrame([], "lang_pred string, score double").schema
-    return rows.mapInArrow(run, type(schema)([*schema.fields, *extra.fields]))
+    return rows.mapInArrow(tidy(run), type(schema)([*schema.fields, *extra.fields]))
