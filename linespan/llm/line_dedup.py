@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linespan.llm import bloom
-from linespan.llm.common import settle
+from linespan.llm.common import settle, tidy
 
 MIN_DOCUMENTS = 10
 BITS_PER_LINE = 16
@@ -62,7 +62,7 @@ def suspects(stored: DataFrame) -> DataFrame:
         found = [_hashes(line_keys(text)) for batch in batches for text in _texts(batch)]
         yield from bloom.seen(found, bits, PROBES)
 
-    filters = settle(bloom.merged(stored.select("text").mapInArrow(insert, bloom.PAYLOAD)), "line-filters")
+    filters = settle(bloom.merged(stored.select("text").mapInArrow(tidy(insert), bloom.PAYLOAD)), "line-filters")
     twice = spark.sparkContext.broadcast(bloom.gathered(filters, "twice", bits))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +87,7 @@ def suspects(stored: DataFrame) -> DataFrame:
     kind = stored.schema["id"].dataType.simpleString()
     return settle(
         stored.select("row_key", "id", "text").mapInArrow(
-            probe, f"row_key long, id {kind}, key binary, lines array<int>"
+            tidy(probe), f"row_key long, id {kind}, key binary, lines array<int>"
         ),
         "line-suspects",
     )
@@ -147,5 +147,5 @@ def deduplicate(
             )
 
     return stored.join(gone, "row_key", "left").select("id", "n_lines", "text", "gone").mapInArrow(
-        cut, f"id {kind}, n_lines long, n_dropped long, kept_text string"
+        tidy(cut), f"id {kind}, n_lines long, n_dropped long, kept_text string"
     )
