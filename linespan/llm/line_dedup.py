@@ -95,14 +95,16 @@ def suspects(stored: DataFrame) -> DataFrame:
 
 def dropped_lines(suspected: DataFrame, min_documents: int, keep: str) -> DataFrame:
     """Line numbers to drop per row, after exact confirmation."""
-    confirmed = (
+    # Written, so that the join after it has shuffles of its own and a hot key can be split.
+    confirmed = settle(
         suspected.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("documents"),
             F.min(F.struct(F.col("id").isNull(), "id", "row_key")).getField("row_key").alias("first_row"),
         )
         .where(F.col("documents") >= min_documents)
-        .select("key", "first_row")
+        .select("key", "first_row"),
+        "line-confirmed",
     )
     numbers = F.col("lines")
     if keep == "first":
