@@ -183,10 +183,12 @@ def candidates(stored: DataFrame, bits: int, twice, hits) -> DataFrame:
 def repeated_starts(found: DataFrame) -> DataFrame:
     """Starts of the windows, per row, whose words also start earlier."""
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "start")
-    first = (
+    # Written, so that the join after it has shuffles of its own and a hot passage can be split.
+    first = settle(
         found.groupBy("h1", "h2")
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select("h1", "h2", "first")
+        .where("n > 1").select("h1", "h2", "first"),
+        "passage-first",
     )
     later = found.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("row_key").agg(F.collect_list("start").alias("starts"))
