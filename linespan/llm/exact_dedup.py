@@ -111,10 +111,13 @@ def deduplicate(
     folder = store(docs, digest, text=text, identifier=identifier)
     stored = spark.read.parquet(folder)
     state = digest_state(spark, folder, bytes_per_trigger)
-    hits = state.where("seen > 1").select("digest", F.col("stays.locator").alias("head_locator"))
+    # Written, as the groups below, so that the joins have shuffles of their own and hot digests can be split.
+    hits = settle(
+        state.where("seen > 1").select("digest", F.col("stays.locator").alias("head_locator")), "exact-heads"
+    )
     members = settle(
         stored.select("digest", "locator", "id", "points", normalised(F.col(f"doc.`{text}`")).alias("content"))
-        .join(hits, "digest"),
+        .join(hits.hint("merge"), "digest"),
         "exact-hits",
     )
     heads = members.where("locator = head_locator").select("digest", F.col("content").alias("head_content"))
@@ -125,11 +128,14 @@ def deduplicate(
         ),
         "exact-checked",
     )
-    groups = checked.groupBy("digest", "variant").agg(
-        F.count(F.lit(1)).alias("group_size"), F.min(_rank()).alias("stays")
+    groups = settle(
+        checked.groupBy("digest", "variant").agg(
+            F.count(F.lit(1)).alias("group_size"), F.min(_rank()).alias("stays")
+        ),
+        "exact-groups",
     )
     same = checked["digest"].eqNullSafe(groups["digest"]) & checked["variant"].eqNullSafe(groups["variant"])
-    assigned = checked.join(groups, same).select(
+    assigned = checked.join(groups.hint("merge"), same).select(
         checked["locator"], "group_size",
         F.col("stays.id").alias("keep_id"), F.col("stays.locator").alias("keep_locator"),
     )
