@@ -319,6 +319,20 @@ def test_frequent_lines_go_and_depleted_documents_fail(spark):
     assert cleaned[200] == made[22][1]
 
 
+def test_lines_of_a_tenth_of_a_large_host_are_frequent(spark):
+    """Boilerplate in 20 of 201 texts goes; a line in 11 of 2,001 texts of a larger host is chance and stays."""
+    shared = "this very line is found on every tenth page of the host"
+    own = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(2000)]
+    made = [(i, f"{shared}\n{own[i]}" if i < 19 else own[i], "h") for i in range(200)]
+    made += [(3000 + i, f"{shared}\n{own[i]}" if i < 10 else own[i], "large") for i in range(2000)]
+    made += [(9000, f"{shared}\nonly a few own words", "h"), (9001, f"{shared}\nonly a few own words", "large")]
+    frame = spark.createDataFrame(made, "doc_id long, text string, source string")
+    verdicts = quality_rules.judged(frame, key="doc_id", text=F.col("text"), host=F.col("source")).collect()
+    lost = {r["doc_id"]: r["words_lost"] for r in verdicts if r["words_lost"]}
+    assert lost == dict.fromkeys([*range(19), 9000], len(shared.split()))
+    assert {r["doc_id"] for r in verdicts if not r["kept"]} == {9000}
+
+
 def test_mixing_edges(docs, nothing, rows):
     def run(frame, **options):
         return mixing.mix(
