@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +13,8 @@ import tiktoken
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from linespan.llm import byte_bpe
+from linespan.llm import byte_bpe, mixing
+from linespan.llm.common import settle
 from linespan.llm.queries import ORACLE, QUERIES, VOCABULARY
 from verification.compare import compare, connect
 
@@ -124,3 +127,58 @@ def test_pipeline_equals_its_operators_by_brute_force(spark, small):
         assert list(row["ids"]) == encoding.encode_ordinary(texts[row["doc_id"]])
     near = corpus_pipeline.near(spark, spark.createDataFrame(unique, docs.schema), small)
     assert {r["doc_id"] for r in near.collect()} == groups
+
+
+def mixed_by_hand(rows):
+    """Copies of each document by plain Python: targets, quotas by highest quotients, seeded runs, whole documents."""
+    white = re.compile("[ \t\n\x0b\f\r]+")
+    first = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
+    shards = max(1, -(-len(rows) // mixing.SHARD_ROWS))
+    streams, sizes = defaultdict(list), Counter()
+    for r in rows:
+        size = len([w for w in white.split(r["text"] or "") if w])
+        draw = hashlib.md5(f"{mixing.SEED}:{r['doc_id']}:{r['text'] or ''}".encode()).hexdigest()
+        streams[(int(draw[:8], 16) % shards, r["source"])].append((draw, size, r["doc_id"]))
+        sizes[r["source"]] += size
+    place = {source: i for i, source in enumerate(sorted(sizes))}
+    weight = {source: mixing.WEIGHTS[i % len(mixing.WEIGHTS)] for source, i in place.items()}
+    # A target is full at its cap; what is left is shared by weight again until no other target passes its cap.
+    cap = {source: size * mixing.REPEATS for source, size in sizes.items()}
+    budget, full = sum(sizes.values()) * mixing.BUDGET_PERCENT / 100, set()
+    while True:
+        left = set(sizes) - full
+        level = (budget - sum(cap[s] for s in full)) / sum(weight[s] for s in left) if left else 0
+        over = {s for s in left if cap[s] <= weight[s] * level}
+        if not over:
+            break
+        full |= over
+    target = {s: cap[s] if s in full else weight[s] * level for s in sizes}
+    copies = Counter()
+    for shard in range(shards):
+        supply = {s: sum(size for _, size, _ in d) for (k, s), d in streams.items() if k == shard}
+        share = {s: target[s] * n / sizes[s] / mixing.BLOCK_WORDS for s, n in supply.items() if n}
+        quota = Counter()
+        for _ in range((sum(int(x * 1000) for x in share.values()) + 500) // 1000):
+            quota[min(share, key=lambda s: (-share[s] / (2 * quota[s] + 1), place[s]))] += 1
+        for s in share:
+            n = supply[s]
+            passes, run = divmod(min(quota[s] * mixing.BLOCK_WORDS, n * mixing.REPEATS), n)
+            start = first(f"{mixing.SEED}:s{s}:{shard}") % -(-n // mixing.BLOCK_WORDS) * mixing.BLOCK_WORDS
+            inside = np.full(n, passes)
+            inside[np.arange(start, start + run) % n] += 1
+            at = 0
+            for _, size, doc_id in sorted(streams[(shard, s)]):
+                if size:
+                    taken = int(inside[at : at + size].sum())
+                    copies[doc_id] += (2 * taken + size) // (2 * size)
+                at += size
+    return +copies
+
+
+def test_pipeline_mixes_as_often_as_by_hand(spark, small):
+    rows = spark.read.parquet(f"{small}/documents.parquet")
+    for _, work in corpus_pipeline.STAGES[:3]:
+        rows = settle(work(spark, rows, small), "mix-test")
+    want = mixed_by_hand(rows.collect())
+    assert want and max(want.values()) > 1
+    assert Counter(r["doc_id"] for r in corpus_pipeline.run(spark, small).collect()) == want
