@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linespan.llm import (
-    byte_bpe, exact_dedup, language_id, line_dedup, mixing, near_dedup, quality_rules, sharding, substring_dedup,
-    url_filter,
+    byte_bpe, exact_dedup, importance, language_id, line_dedup, mixing, near_dedup, quality_rules, sharding,
+    substring_dedup, token_files, url_filter, whitening,
 )
 from linespan.llm.common import documents, settle
 from linespan.llm.oracle import ORACLE
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 2
 
 
 def op1_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,12 +111,38 @@ def op10_sainte_lague_mix(spark: SparkSession, folder: str) -> DataFrame:
     ).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_lanczos_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Deviations beyond a long, which need vectors far from any usual scale, are null."""
+    vectors = documents(spark, folder, "embeddings")
+    return whitening.whitened(vectors, key=["vec_id"], vector=F.col("embedding")).withColumn(
+        "deviation", F.expr("try_cast(deviation AS BIGINT)")
+    )
+
+
+def op12_plane_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = token_files.write(
+        documents(spark, folder), identifier=F.col("doc_id"), text=F.col("text"), tokenizer=WORD_TOKENIZER,
+        end_id=END_ID, drops_white=True,
+    )
+    return token_files.read(files).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def op13_importance_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(
+        documents(spark, folder), documents(spark, folder, "benchmark"), key=["doc_id"],
+        identifier=F.col("doc_id"), text=F.col("text"), target_text=F.col("text"),
+    ).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_differencing_shards, op2_host_reputation, op3_stream_exact_dedup, op4_bloom_line_dedup,
         op5_block_anchor_dedup, op6_setsketch_near_dedup, op7_byte_bpe, op8_ftrl_language_id,
-        op9_line_frequency_quality, op10_sainte_lague_mix,
+        op9_line_frequency_quality, op10_sainte_lague_mix, op11_lanczos_whitening, op12_plane_token_files,
+        op13_importance_resample,
     )
 }
 

@@ -26,7 +26,7 @@ def connection(small):
 
 def test_all_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(ORACLE) <= set(QUERIES)
 
