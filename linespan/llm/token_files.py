@@ -19,8 +19,8 @@ that succeeded: what a lost task left is in no table. Starts are sums over that
 Null texts count as empty; an empty text has the end id only. Null identifiers come
 last. Rows with equal identifiers follow in the order of their texts' digests; repeated
 rows are written each, and a repeated identifier is spread over ranges. An empty table
-gives a table of no files and no rows. Very long texts are used whole: where the
-tokenizer drops white space they are tokenised in pieces cut at white space. Only the
+gives a table of no files and no rows. Very long texts are used whole; where the
+tokenizer drops white space they are taken apart in pieces cut at white space. Only the
 named columns are read, so further columns cannot clash.
 """
 
@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from linespan.llm.common import scratch_folder, settle, tidy
+from linespan.llm.common import WHITE, scratch_folder, settle, tidy
 
 MAGIC = b"IDPLANE1"
 CHUNK = 1 << 16
@@ -52,8 +52,11 @@ PLANES = {"byte": 4, "bit": 32}
 # Footer: kind of planes, lengths of the compressed document table and chunk index, documents, chunks, ids.
 FOOTER = "<B7xQQQQQ"
 KINDS = tuple(PLANES)
-# Characters tokenised at a time, and of one piece of a long text.
-BATCH_CHARACTERS = 400_000
+# White space is cut as bytes, which leaves other characters whole.
+WHITE_BYTES = frozenset(WHITE.encode())
+PIECE_BYTES = 1 << 20
+# Words whose ids a task keeps, and the longest of them.
+REMEMBERED, REMEMBERED_BYTES = 200_000, 64
 FILES = "path string, part int, number int, n_docs long, n_ids long"
 
 
@@ -196,56 +199,60 @@ class PlaneReader:
             held, n_held, start = [every[count:]], len(every) - count, start + count
 
 
-def pieces(text: str, length: int) -> Iterator[str]:
-    """Cut a long text at white space, about every ``length`` characters."""
+def pieces(text: bytes, length: int) -> Iterator[bytes]:
+    """Cut a long text at white space, about every ``length`` bytes; a word stays whole."""
     start = 0
     while len(text) - start > length:
-        cuts = [at for c in " \n\t" if (at := text.rfind(c, start + 1, start + length)) > 0]
-        if not cuts:
-            cuts = [at for c in " \n\t" if (at := text.find(c, start + length)) > 0]
-            if not cuts:
-                break
-            cuts = [min(cuts)]
-        yield text[start : max(cuts)]
-        start = max(cuts)
+        cut = next((at for at in range(start + length, start, -1) if text[at] in WHITE_BYTES), 0)
+        cut = cut or next((at for at in range(start + length, len(text)) if text[at] in WHITE_BYTES), 0)
+        if not cut:
+            break
+        yield text[start:cut]
+        start = cut
     yield text[start:]
 
 
+class Words(dict):
+    """Packed ids of a word; forgets all words when it has grown large."""
+
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        packed = np.array(ids, "<u4").tobytes()
+        if len(word) <= REMEMBERED_BYTES:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = packed
+        return packed
+
+
 class Encoder:
-    """Ids of texts; bounded batches, since a library's result is much larger than its ids."""
+    """Ids of texts, from the tokenizers library.
+
+    A tokenizer that drops white space gives a text the ids of its words one after the
+    other, so a word's ids are asked for once and then looked up.
+    """
 
     def __init__(self, definition: str, end_id: int, drops_white: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
+        self.words = Words(self.tokenizer)
         self.end, self.drops_white = np.array([end_id], "<u4"), drops_white
 
-    def _flush(self, texts: list[str], owners: list[int], parts: list[list[np.ndarray]]) -> None:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for owner, encoding in zip(owners, found, strict=True):
-            parts[owner].append(np.array(encoding.ids, "<u4"))
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        held, owners, characters, parts, done = [], [], 0, [], 0
-        for text in texts:
-            content = text or ""
-            parts.append([])
-            for piece in pieces(content, BATCH_CHARACTERS) if self.drops_white else (content,):
-                held.append(piece)
-                owners.append(len(parts) - 1)
-                characters += len(piece)
-                if characters >= BATCH_CHARACTERS:
-                    self._flush(held, owners, parts)
-                    held, owners, characters = [], [], 0
-                    # All but the text just begun are complete.
-                    for complete in range(done, len(parts) - 1):
-                        yield np.concatenate([*parts[complete], self.end])
-                        parts[complete] = []
-                    done = len(parts) - 1
-        if held:
-            self._flush(held, owners, parts)
-        for complete in range(done, len(parts)):
-            yield np.concatenate([*parts[complete], self.end])
+    def encode(self, text: bytes | None) -> np.ndarray:
+        content = text or b""
+        if self.drops_white:
+            packed = b"".join(
+                b"".join(map(self.words.__getitem__, piece.split())) for piece in pieces(content, PIECE_BYTES)
+            )
+            ids = np.frombuffer(packed, "<u4")
+        else:
+            ids = np.array(self.tokenizer.encode(content.decode(), add_special_tokens=False).ids, "<u4")
+        return np.concatenate((ids, self.end))
 
 
 def write(
@@ -274,12 +281,12 @@ def write(
             if encoder is None and batch.num_rows:
                 encoder = Encoder(definition.value, end_id, drops_white)
                 files.create_dir(root, recursive=True)
-            identifiers = batch.column("id").to_pylist()
-            for number, ids in enumerate(encoder.encode(batch.column("text").to_pylist()) if batch.num_rows else ()):
+            texts = batch.column("text").cast(pa.binary())
+            for identifier, text in zip(batch.column("id").to_pylist(), texts, strict=True):
                 if writer is None:
                     path = f"{part:08d}-{len(rows):04d}-{uuid.uuid4().hex}.idp"
                     writer = PlaneWriter(files, f"{root}/{path}", planes)
-                writer.add(identifiers[number], ids)
+                writer.add(identifier, encoder.encode(text.as_py()))
                 if writer.n_ids >= file_ids:
                     close()
                     writer = None

@@ -149,15 +149,19 @@ def test_files_round_trip_and_ranges(tmp_path):
             token_files.PlaneReader(files, str(tmp_path / "cut"))
 
 
-def test_long_texts_are_cut_at_white_space():
+def test_ids_of_words_are_the_ids_of_the_text():
     rng = random.Random(4)
-    text = "".join(rng.choice(["word", "Ünï", " ", "\n", "'s", "12", "…", "x" * 90, "é"]) for _ in range(4000))
-    parts = list(token_files.pieces(text, 100))
-    assert "".join(parts) == text and len(parts) > 50
+    parts = ["word", "Ünï", " ", "\n", "'s", "12", "…", "x" * 90, "é", "e\u0301", "\u0301", "\x1c", "\x0b", "\x85", "\u3000", "İ", "ΑΣ"]
+    text = "".join(rng.choice(parts) for _ in range(6000))
     encoder = token_files.Encoder(open(WORD_TOKENIZER, encoding="utf-8").read(), END_ID, True)
-    cut = [i for p in parts for i in encoder.tokenizer.encode(p, add_special_tokens=False).ids]
-    assert [*cut, END_ID] == tokens_by_hand([text])[0]
-    assert list(token_files.pieces("y" * 500, 100)) == ["y" * 500]
+    assert encoder.encode(text.encode()).tolist() == tokens_by_hand([text])[0]
+    whole = token_files.Encoder(open(WORD_TOKENIZER, encoding="utf-8").read(), END_ID, False)
+    assert whole.encode(text.encode()).tolist() == tokens_by_hand([text])[0]
+    assert encoder.encode(None).tolist() == [END_ID]
+    cut = list(token_files.pieces(text.encode(), 100))
+    assert b"".join(cut) == text.encode() and len(cut) > 50
+    assert [w for p in cut for w in p.split()] == text.encode().split()
+    assert list(token_files.pieces(b"y" * 500, 100)) == [b"y" * 500]
 
 
 def test_token_files_of_odd_rows(spark):
