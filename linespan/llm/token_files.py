@@ -26,12 +26,16 @@ named columns are read, so further columns cannot clash.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +59,12 @@ KINDS = tuple(PLANES)
 # White space is cut as bytes, which leaves other characters whole.
 WHITE_BYTES = frozenset(WHITE.encode())
 PIECE_BYTES = 1 << 20
-# Words whose ids a task keeps, and the longest of them.
-REMEMBERED, REMEMBERED_BYTES = 200_000, 64
+# Words whose ids a worker keeps, and words tokenised at once.
+REMEMBERED, WORDS_AT_ONCE = 800_000, 500
+# Words that are one piece: letters without combining marks, or marks. A border lies between the two.
+PLAIN_WORD = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[.,;:!?]+")
+MARK_AFTER_LETTER = re.compile(rb"(?<=[A-Za-z])(?=[.,;:!?])")
+KEPT_MODULE = "token_words_of_this_worker"
 FILES = "path string, part int, number int, n_docs long, n_ids long"
 
 
@@ -212,47 +220,84 @@ def pieces(text: bytes, length: int) -> Iterator[bytes]:
     yield text[start:]
 
 
-class Words(dict):
-    """Packed ids of a word; forgets all words when it has grown large."""
-
-    def __init__(self, tokenizer: Tokenizer) -> None:
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        packed = np.array(ids, "<u4").tobytes()
-        if len(word) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = packed
-        return packed
+def remembered_words(definition: str) -> dict[bytes, bytes]:
+    """Ids of words known to this worker process; it serves several tasks."""
+    holder = sys.modules.setdefault(KEPT_MODULE, ModuleType(KEPT_MODULE))
+    name = f"words_{zlib.crc32(definition.encode())}"
+    if not hasattr(holder, name):
+        setattr(holder, name, {})
+    return getattr(holder, name)
 
 
 class Encoder:
     """Ids of texts, from the tokenizers library.
 
     A tokenizer that drops white space gives a text the ids of its words one after the
-    other, so a word's ids are asked for once and then looked up.
+    other. Then words not met before are tokenised many at a time and looked up
+    afterwards. Words of plain letters, or of plain marks, are one piece with one
+    end-of-word token, which tells their ids apart; other words are tokenised alone.
     """
 
     def __init__(self, definition: str, end_id: int, drops_white: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.words = Words(self.tokenizer)
         self.end, self.drops_white = np.array([end_id], "<u4"), drops_white
-
-    def encode(self, text: bytes | None) -> np.ndarray:
-        content = text or b""
-        if self.drops_white:
-            packed = b"".join(
-                b"".join(map(self.words.__getitem__, piece.split())) for piece in pieces(content, PIECE_BYTES)
-            )
-            ids = np.frombuffer(packed, "<u4")
-        else:
-            ids = np.array(self.tokenizer.encode(content.decode(), add_special_tokens=False).ids, "<u4")
-        return np.concatenate((ids, self.end))
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.closes[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.known = remembered_words(definition)
+
+    def whole(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, words: list[bytes]) -> None:
+        together = self.closes.any()
+        plain = [w for w in words if together and PLAIN_WORD.fullmatch(w)]
+        for start in range(0, len(plain), WORDS_AT_ONCE):
+            part = plain[start : start + WORDS_AT_ONCE]
+            ids = self.whole(b" ".join(part))
+            ends = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+            if len(ends) != len(part):
+                raise ValueError("a word has several end-of-word tokens")
+            packed = ids.tobytes()
+            self.known.update(zip(part, map(packed.__getitem__, map(slice, [0, *ends], ends)), strict=True))
+        for word in words:
+            if word not in self.known:
+                self.known[word] = self.whole(word).tobytes()
+
+    def _packed(self, texts: list[bytes]) -> list[bytes]:
+        lists = [MARK_AFTER_LETTER.sub(b" ", text).split() for text in texts]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        self._learn(list(set().union(*lists).difference(self.known)))
+        return [b"".join(map(self.known.__getitem__, words)) for words in lists]
+
+    def encode(self, texts: Iterator[bytes | None]) -> Iterator[np.ndarray]:
+        """Ids of each text with the end id; about ``PIECE_BYTES`` of texts are looked up together."""
+        held: list[bytes] = []
+        n_held = 0
+        for text in texts:
+            content = text or b""
+            if not self.drops_white:
+                yield np.concatenate((self.whole(content), self.end))
+            elif len(content) > PIECE_BYTES:
+                yield from self._flush(held)
+                held, n_held = [], 0
+                parts = [self._packed([piece])[0] for piece in pieces(content, PIECE_BYTES)]
+                yield np.concatenate((np.frombuffer(b"".join(parts), "<u4"), self.end))
+            else:
+                held.append(content)
+                n_held += len(content)
+                if n_held > PIECE_BYTES:
+                    yield from self._flush(held)
+                    held, n_held = [], 0
+        yield from self._flush(held)
+
+    def _flush(self, held: list[bytes]) -> Iterator[np.ndarray]:
+        for packed in self._packed(held):
+            yield np.concatenate((np.frombuffer(packed, "<u4"), self.end))
 
 
 def write(
@@ -281,12 +326,13 @@ def write(
             if encoder is None and batch.num_rows:
                 encoder = Encoder(definition.value, end_id, drops_white)
                 files.create_dir(root, recursive=True)
-            texts = batch.column("text").cast(pa.binary())
-            for identifier, text in zip(batch.column("id").to_pylist(), texts, strict=True):
+            texts = (text.as_py() for text in batch.column("text").cast(pa.binary()))
+            found = encoder.encode(texts) if batch.num_rows else ()
+            for identifier, ids in zip(batch.column("id").to_pylist(), found, strict=True):
                 if writer is None:
                     path = f"{part:08d}-{len(rows):04d}-{uuid.uuid4().hex}.idp"
                     writer = PlaneWriter(files, f"{root}/{path}", planes)
-                writer.add(identifier, encoder.encode(text.as_py()))
+                writer.add(identifier, ids)
                 if writer.n_ids >= file_ids:
                     close()
                     writer = None

@@ -151,13 +151,14 @@ def test_files_round_trip_and_ranges(tmp_path):
 
 def test_ids_of_words_are_the_ids_of_the_text():
     rng = random.Random(4)
-    parts = ["word", "Ünï", " ", "\n", "'s", "12", "…", "x" * 90, "é", "e\u0301", "\u0301", "\x1c", "\x0b", "\x85", "\u3000", "İ", "ΑΣ"]
+    parts = ["word", "Ünï", " ", "\n", "'s", "12", "…", "x" * 90, "é", "e\u0301", "\u0301", "\x1c", "\x0b", "\x85", "\u3000", "İ", "ΑΣ", "<|endoftext|>", "H\u0331", "Word.", "ÀB!?", "x).", "it's,", "\u017f", "ª", "µ", "×", "K"]
     text = "".join(rng.choice(parts) for _ in range(6000))
     encoder = token_files.Encoder(open(WORD_TOKENIZER, encoding="utf-8").read(), END_ID, True)
-    assert encoder.encode(text.encode()).tolist() == tokens_by_hand([text])[0]
+    texts = [None, text, "", text[:50], "a" * 2_000_000, text * 200, " ", "H\u0331.T"]
+    got = list(encoder.encode(t if t is None else t.encode() for t in texts))
+    assert [g.tolist() for g in got] == tokens_by_hand(texts)
     whole = token_files.Encoder(open(WORD_TOKENIZER, encoding="utf-8").read(), END_ID, False)
-    assert whole.encode(text.encode()).tolist() == tokens_by_hand([text])[0]
-    assert encoder.encode(None).tolist() == [END_ID]
+    assert [g.tolist() for g in whole.encode([text.encode(), None])] == tokens_by_hand([text, None])
     cut = list(token_files.pieces(text.encode(), 100))
     assert b"".join(cut) == text.encode() and len(cut) > 50
     assert [w for p in cut for w in p.split()] == text.encode().split()
