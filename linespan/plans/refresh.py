@@ -220,7 +220,14 @@ class Refresh:
                     b.window, old[0], b.derived_route_days(), old[1], b.derived_stop_days(), key
                 )
             )
-            return b.events.count(), b.route_days.count() + b.stop_days.count()
+            written = self.store.insert_batches(
+                {
+                    "fact_route_service_day": (b.derived_route_days(), daily.ROUTE_DAY_KEYS),
+                    "fact_stop_service_day": (b.derived_stop_days(), daily.STOP_DAY_KEYS),
+                },
+                key,
+            )
+            return b.events.count(), sum(written.values())
 
         self.stage(schemas.STAGE_CORE, core)
         self.stage(schemas.STAGE_DIM_NETWORK, network)

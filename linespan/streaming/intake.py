@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linespan.sources.store import Store, insert_partition_rows
+from linespan.sources.store import Store
 
 
 class IntakeError(RuntimeError):
@@ -57,7 +57,7 @@ def incremental_intake(
     run.awaitTermination()
     if store.exists(arrived):
         rows = spark.read.parquet(store.path(arrived)).drop("batch").dropDuplicates(list(keys))
-        insert_partition_rows(store, table, rows, keys, snapshot_key)
+        store.insert_absent(table, rows, keys, snapshot_key)
         # Merged rows are stored; what arrives next starts anew.
         store.remove(arrived)
     stored = store.read(table)
