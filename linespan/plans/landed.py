@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linespan import schemas
-from linespan.plans.refresh import SNAPSHOTS, run_refresh
+from linespan.operators.governance import latest_runs
+from linespan.plans.refresh import RUN_EVENTS, SNAPSHOTS, run_refresh
 from linespan.session import settled
 from linespan.sources import catalogue, feed, landing, profile
 from linespan.sources.store import Store
 
 PROFILES = "feed_profile"
+# Text files of the members unpacked so far: a log of the store, kept by archive hash.
+MEMBERS = "landed_member"
 
 
 class LandingError(ValueError):
@@ -23,7 +26,7 @@ class LandingError(ValueError):
 
 def landed_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Identity of every archive with the metadata written beside it."""
-    identity = catalogue.file_identity(landing.archives(spark, f"{folder}/*.zip"))
+    identity = landing.archive_identity(spark, f"{folder}/*.zip")
     sidecars = landing.sidecars(spark, f"{folder}/*.json").drop("file_name", "file_size_bytes")
     landed = settled(identity.join(sidecars, "sha256", "left"), "landed")
     missing = [r.file_name for r in landed.where("downloaded_at_utc IS NULL").select("file_name").collect()]
@@ -32,12 +35,27 @@ def landed_archives(spark: SparkSession, folder: str) -> DataFrame:
     return landed
 
 
-def column_profiles(records: DataFrame, path: str, snapshot_key: int) -> DataFrame:
-    """Column profile of every table of one archive."""
-    parts = [
-        profile.profile_columns(landing.landed_table(records, path, table).drop("source_row_number"), table)
-        for table in schemas.FEED_COLUMNS
-    ]
+def stored_or_none(store: Store, table: str, schema: str) -> DataFrame:
+    return store.read(table) if store.exists(table) else store.spark.createDataFrame([], schema)
+
+
+def member_paths(store: Store, archives: DataFrame) -> dict[tuple[str, str], str]:
+    """Text file of each member of the archives, by hash and table; those not unpacked yet are.
+
+    ``archives`` are those about to be refreshed. One short row a member comes back.
+    """
+    spark = store.spark
+    known = stored_or_none(store, MEMBERS, landing.MEMBER_SCHEMA)
+    fresh = settled(archives.join(known.select("sha256"), "sha256", "left_anti"), "to-unpack")
+    if not fresh.isEmpty():
+        store.append(MEMBERS, landing.unpacked(spark, fresh, store.path("landed_text")))
+    held = store.read(MEMBERS).join(archives.select("sha256").distinct(), "sha256", "left_semi")
+    return {(r.sha256, r.table_name): r.text_path for r in held.collect()}
+
+
+def column_profiles(spark: SparkSession, paths: dict[str, str], snapshot_key: int) -> DataFrame:
+    """Column profile of every table of one publication; ``paths`` by table."""
+    parts = [profile.profile_columns(feed.scan(spark, path), table) for table, path in sorted(paths.items())]
     return reduce(DataFrame.unionByName, parts).withColumn("snapshot_key", F.lit(snapshot_key).cast("bigint"))
 
 
@@ -53,45 +71,46 @@ def refresh_landed(
 ) -> dict[int, DataFrame | None]:
     """Refresh every landed publication in the order of download.
 
-    Archives with a registered hash keep their key. Returns per publication
-    what ``refresh`` returned, which is None when it was skipped.
+    The gate comes before any work on contents: archives whose export succeeded are
+    hashed and not opened further. Of the others each member is unpacked once, and a
+    resumed refresh reads the text files of the run before. Archives
+    with a registered hash keep their key. A publication is profiled before it is
+    loaded. Returns per publication what ``refresh`` returned, None when it was skipped.
     """
     landed = landed_archives(spark, folder)
-    records = settled(landing.archive_records(spark, f"{folder}/*.zip"), "records")
+    known = settled(stored_or_none(store, SNAPSHOTS, schemas.SNAPSHOT_SCHEMA), "known")
+    runs = latest_runs(stored_or_none(store, RUN_EVENTS, schemas.RUN_SCHEMA))
+    gate = catalogue.snapshot_gate(landed.select("sha256").distinct(), known, runs, force)
     # One small row an archive; archives are few.
-    archives = landed.groupBy("sha256").agg(F.min("path").alias("path")).collect()
-    for row in archives:
-        held = records.where(F.col("path") == row.path).select("table_name").distinct().collect()
-        absent = profile.missing_files(f"{r.table_name}.txt" for r in held)
+    actions = {row.sha256: row for row in gate.collect()}
+    done: dict[int, DataFrame | None] = {
+        row.snapshot_key: None for row in actions.values() if row.action == "SKIP"
+    }
+    open_hashes = [sha256 for sha256, row in actions.items() if row.action != "SKIP"]
+    if not open_hashes:
+        return dict(sorted(done.items()))
+    due = settled(landed.where(F.col("sha256").isin(open_hashes)), "due")
+    for row in due.select("path", "tables").collect():
+        absent = profile.missing_files(f"{table}.txt" for table in row.tables)
         if absent:
             raise LandingError(f"{row.path} lacks {', '.join(absent)}")
-    info = reduce(
-        DataFrame.unionByName,
-        [
-            landing.landed_table(records, row.path, "feed_info").withColumn("sha256", F.lit(row.sha256))
-            for row in archives
-        ],
-    )
-    known = (
-        store.read(SNAPSHOTS) if store.exists(SNAPSHOTS)
-        else spark.createDataFrame([], schemas.SNAPSHOT_SCHEMA)
-    )
-    fresh = catalogue.snapshot_register(landed, info, known, source_name)
-    own = known.join(landed.select("sha256").distinct(), "sha256", "left_semi")
-    registry = settled(own.unionByName(fresh), "registry")
-    path_of = {row.sha256: row.path for row in archives}
-    done: dict[int, DataFrame | None] = {}
+    paths = member_paths(store, due)
+    new = [sha256 for sha256 in open_hashes if actions[sha256].action == "NEW"]
+    infos = [
+        feed.stage_path(spark, paths[sha256, "feed_info"], "feed_info", 0).withColumn("sha256", F.lit(sha256))
+        for sha256 in new
+    ]
+    own = known.join(due.select("sha256").distinct(), "sha256", "left_semi")
+    if infos:
+        info = reduce(DataFrame.unionByName, infos)
+        own = own.unionByName(catalogue.snapshot_register(due, info, known, source_name))
+    registry = settled(own, "registry")
     for row in registry.orderBy("downloaded_at_utc", "snapshot_key").select("snapshot_key", "sha256").collect():
-        path = path_of[row.sha256]
+        tables = {table: path for (sha256, table), path in paths.items() if sha256 == row.sha256}
+        store.replace_snapshot(PROFILES, column_profiles(spark, tables, row.snapshot_key), row.snapshot_key)
         done[row.snapshot_key] = refresh(
             spark, store, registry.where(F.col("sha256") == row.sha256),
-            lambda key, table, path=path: feed.staged_rows(
-                landing.landed_table(records, path, table), table, key
-            ),
+            lambda key, table, tables=tables: feed.stage_path(spark, tables[table], table, key),
             serving_root, force=force, as_of=as_of,
         )
-        if done[row.snapshot_key] is not None:
-            store.replace_snapshot(
-                PROFILES, column_profiles(records, path, row.snapshot_key), row.snapshot_key
-            )
-    return done
+    return dict(sorted(done.items()))

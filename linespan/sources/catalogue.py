@@ -11,16 +11,6 @@ from linespan.sources.landing import first_feed_info, utc_moment
 RECEIVED, VALIDATED, LOADED = "RECEIVED", "VALIDATED", "LOADED"
 
 
-def file_identity(archives: DataFrame) -> DataFrame:
-    """Path, name, size and SHA-256 of each landed archive, from its bytes."""
-    return archives.select(
-        "path",
-        F.substring_index("path", "/", -1).alias("file_name"),
-        F.length("content").cast("bigint").alias("file_size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
-    )
-
-
 def snapshot_register(
     landed: DataFrame,
     feed_info: DataFrame,

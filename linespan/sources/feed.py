@@ -138,35 +138,38 @@ def with_lineage(rows: DataFrame, table: str, snapshot_key: int) -> DataFrame:
 def with_row_numbers(rows: DataFrame) -> DataFrame:
     """Add ``source_row_number``: the record ordinal in its file, first data row 2.
 
-    Each file split numbers its own records; an aggregate counts the records
-    per split and turns the counts into offsets, one small row a split. They
-    are written, so that the join with the records sees their size: AQE sends
-    them to the records, which then are neither sorted nor moved, as long as
-    they are small.
+    The rows are written once, each with its file, the start of the split it was read in
+    and its place there. Counts of the written rows per split, one small row a
+    split, become offsets that join the same written rows. So numbers belong to
+    the splits of that one pass, however files are split before or after it, and
+    a split without an offset is an error.
     """
-    split = [
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-    ]
-    numbered = rows.select("*", *split, F.monotonically_increasing_id().alias("_position"))
-    blocks = numbered.groupBy("_file", "_start").agg(
+    placed = settled(
+        rows.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_position"),
+        ),
+        "records",
+    )
+    splits = placed.groupBy("_file", "_start").agg(
         F.count("*").alias("_rows"), F.min("_position").alias("_first")
     )
     before = (
         Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = settled(
-        blocks.select(
+        splits.select(
             "_file", "_start", "_first",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
         ),
         "row-offsets",
     )
-    return numbered.join(offsets, ["_file", "_start"]).select(
-        *rows.columns,
-        (F.col("_offset") + F.col("_position") - F.col("_first") + FIRST_DATA_ROW).alias(
-            "source_row_number"
-        ),
+    number = F.col("_offset") + F.col("_position") - F.col("_first") + FIRST_DATA_ROW
+    lost = F.raise_error(F.concat(F.lit("no offset for a split of "), F.col("_file"))).cast("bigint")
+    return placed.join(offsets, ["_file", "_start"], "left").select(
+        *rows.columns, F.coalesce(number, lost).alias("source_row_number")
     )
 
 
@@ -182,11 +185,13 @@ def staged_rows(rows: DataFrame, table: str, snapshot_key: int) -> DataFrame:
     )
 
 
-def stage(spark: SparkSession, folder: str, table: str, snapshot_key: int) -> DataFrame:
-    """Staged rows of one feed table: values, row number and hash."""
+def stage_path(spark: SparkSession, path: str, table: str, snapshot_key: int) -> DataFrame:
+    """Staged rows of one feed table at a path: values, row number and hash."""
     return _together(
-        [
-            staged_rows(with_row_numbers(part), table, snapshot_key)
-            for part in scans(spark, f"{folder}/{table}.txt")
-        ]
+        [staged_rows(with_row_numbers(part), table, snapshot_key) for part in scans(spark, path)]
     )
+
+
+def stage(spark: SparkSession, folder: str, table: str, snapshot_key: int) -> DataFrame:
+    """Staged rows of one feed table of a folder of text files."""
+    return stage_path(spark, f"{folder}/{table}.txt", table, snapshot_key)

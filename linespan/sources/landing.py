@@ -1,25 +1,33 @@
-"""Landing publications: archive members to rows, sidecar metadata."""
+"""Landing publications: identity of archives, members as text files, sidecar metadata.
+
+Archives are opened by tasks where they lie, as streams: neither an archive nor a
+member is ever held as one value, so their size is not limited. The unit of work is
+one archive for its identity and one member for its text; after that Spark's
+CSV reader splits the text files.
+"""
 
 from __future__ import annotations
 
-import csv
-import io
+import hashlib
+import shutil
+import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linespan.functions.columns import feed_date
 from linespan.schemas import FEED_COLUMNS
-from linespan.sources.feed import MALFORMED
 
-BATCH_RECORDS = 10_000
-RECORD_SCHEMA = (
-    "path STRING, table_name STRING, record_number BIGINT, fields ARRAY<STRING>, "
-    "field_count_differs BOOLEAN"
+BLOCK = 1 << 20
+IDENTITY_SCHEMA = (
+    "path STRING, file_name STRING, file_size_bytes BIGINT, sha256 STRING, tables ARRAY<STRING>"
 )
+MEMBER_SCHEMA = "sha256 STRING, table_name STRING, text_path STRING, text_bytes BIGINT"
 SIDECAR_SCHEMA = (
     "source_url STRING, downloaded_at_utc STRING, file_name STRING, file_size_bytes BIGINT, "
     "sha256 STRING, last_modified STRING, etag STRING"
@@ -28,64 +36,75 @@ HTTP_DATE = "dd MMM yyyy HH:mm:ss z"
 HAS_OFFSET = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
-def archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed archive with its bytes."""
-    return spark.read.format("binaryFile").load(path)
-
-
-def _member_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Inflate and split the feed members of each archive in bounded batches."""
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            with zipfile.ZipFile(io.BytesIO(row.content)) as archive:
-                present = set(archive.namelist())
-                for table in FEED_COLUMNS:
-                    if f"{table}.txt" not in present:
-                        continue
-                    with archive.open(f"{table}.txt") as raw:
-                        text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-                        records: list[tuple] = []
-                        width = None
-                        for number, fields in enumerate(filter(None, csv.reader(text)), start=1):
-                            width = len(fields) if width is None else width
-                            records.append((row.path, table, number, fields, len(fields) != width))
-                            if len(records) == BATCH_RECORDS:
-                                yield _as_frame(records)
-                                records = []
-                        if records:
-                            yield _as_frame(records)
-
-
-def _as_frame(records: list[tuple]) -> pd.DataFrame:
-    names = ["path", "table_name", "record_number", "fields", "field_count_differs"]
-    return pd.DataFrame(records, columns=names)
-
-
-def archive_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records of every feed member of every archive; the header is record 1.
-
-    A compressed member can only be read in order, so the unit of work is one
-    archive, read where its bytes are. The result is meant to be written once as
-    Parquet; all later work is splittable. Spark holds an archive in one value of
-    at most 2 GiB: larger feeds land as a folder of text files (``feed.stage``).
-    """
-    return archives(spark, path).select("path", "content").mapInPandas(_member_records, RECORD_SCHEMA)
+def _place(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """File system and place of a path as Spark names it."""
+    if path.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if path.startswith("/"):
+        return pyarrow.fs.LocalFileSystem(), path
+    return pyarrow.fs.FileSystem.from_uri(path)
+
+
+def _opened(path: str) -> pa.NativeFile:
+    files, place = _place(path)
+    return files.open_input_file(place)
 
 
-def landed_table(records: DataFrame, path: str, table: str) -> DataFrame:
-    """One member's rows by column name, with row numbers and malformed marks.
+def archive_identity(spark: SparkSession, path: str) -> DataFrame:
+    """Path, name, size, SHA-256 and feed tables of each landed archive.
 
-    Only the header record is read to learn the column positions.
+    Bytes are hashed in blocks; the tables come from the archive's directory.
     """
-    own = records.where((F.col("path") == path) & (F.col("table_name") == table))
-    header = own.where(F.col("record_number") == 1).select("fields").first()
-    names = list(header.fields) if header else []
-    columns = [F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(names)]
-    return own.where(F.col("record_number") > 1).select(
-        F.col("record_number").alias("source_row_number"),
-        *columns,
-        F.when(F.col("field_count_differs"), F.concat_ws(",", "fields")).alias(MALFORMED),
+
+    def identified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for name in batch["path"]:
+                digest, size = hashlib.sha256(), 0
+                with _opened(name) as source:
+                    while block := source.read(BLOCK):
+                        digest.update(block)
+                        size += len(block)
+                    source.seek(0)
+                    with zipfile.ZipFile(source) as archive:
+                        members = set(archive.namelist())
+                tables = [table for table in FEED_COLUMNS if f"{table}.txt" in members]
+                rows.append((name, name.rsplit("/", 1)[-1], size, digest.hexdigest(), tables))
+            yield pd.DataFrame(rows, columns=["path", "file_name", "file_size_bytes", "sha256", "tables"])
+
+    # Without its content column the source lists files and reads none.
+    listed = spark.read.format("binaryFile").load(path).select("path")
+    return listed.mapInPandas(identified, IDENTITY_SCHEMA)
+
+
+def unpacked(spark: SparkSession, archives: DataFrame, folder: str) -> DataFrame:
+    """Inflate every feed member of the archives to a text file below ``folder``.
+
+    ``archives``: sha256, path, tables. Each member is one task. A member is inflated
+    block by block, and its checksum is verified at its end. Names are new in
+    every attempt; the rows returned, once written, name the files of those that succeeded.
+    """
+
+    def inflated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, root = _place(folder)
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                own = f"{row.sha256}/{row.table_name}-{uuid.uuid4().hex}.txt"
+                files.create_dir(f"{root}/{row.sha256}", recursive=True)
+                with _opened(row.path) as source, zipfile.ZipFile(source) as archive:
+                    with archive.open(f"{row.table_name}.txt") as member:
+                        with files.open_output_stream(f"{root}/{own}") as target:
+                            shutil.copyfileobj(member, target, BLOCK)
+                    size = archive.getinfo(f"{row.table_name}.txt").file_size
+                rows.append((row.sha256, row.table_name, f"{folder}/{own}", size))
+            yield pd.DataFrame(rows, columns=["sha256", "table_name", "text_path", "text_bytes"])
+
+    members = archives.groupBy("sha256").agg(F.min_by(F.struct("path", "tables"), "path").alias("first")).select(
+        "sha256", "first.path", F.explode("first.tables").alias("table_name")
     )
+    # A few short rows; as many tasks as members.
+    return members.repartition(max(1, members.count())).mapInPandas(inflated, MEMBER_SCHEMA)
 
 
 def sidecars(spark: SparkSession, path: str) -> DataFrame:

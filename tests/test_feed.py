@@ -95,6 +95,28 @@ def test_row_numbers_across_file_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_row_numbers_do_not_depend_on_later_splits(spark, tmp_path):
+    """Files are split otherwise between planning and reading; an aggregate of numbers alone works."""
+    lines = [f"V{i},20240101,1" for i in range(30000)]
+    folder = write(tmp_path, "calendar_dates", "service_id,date,exception_type\n" + "\n".join(lines))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "70000")
+        rows = feed.stage(spark, folder, "calendar_dates", 1)
+        spark.conf.set(key, "31000")
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "3")
+        numbers = rows.agg(
+            F.count("source_row_number"), F.min("source_row_number"), F.max("source_row_number"),
+            F.count_distinct("source_row_number"),
+        ).first()
+        assert tuple(numbers) == (30000, 2, 30001, 30000)
+        assert rows.where(F.col("source_row_number") != F.substring("service_id", 2, 9).cast("int") + 2).count() == 0
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
 def test_column_profile(spark, tmp_path):
     folder = write(tmp_path, "calendar_dates", EXCEPTIONS + "V333,20240103, \n")
     scanned = feed.scan(spark, f"{folder}/calendar_dates.txt")
@@ -130,18 +152,21 @@ def test_archives_land_as_rows_and_register_once(spark, tmp_path):
                "last_modified": "Mon, 01 Jan 2024 22:53:08 GMT", "etag": '"abc"'}
     (tmp_path / "feed_1.json").write_text(json.dumps(sidecar))
 
-    records = landing.archive_records(spark, f"{tmp_path}/*.zip").cache()
-    where = records.select("path").first().path
-    table = landing.landed_table(records, where, "calendar_dates")
+    identity = landing.archive_identity(spark, f"{tmp_path}/*.zip")
+    assert identity.first().sha256 == digest and identity.first().file_size_bytes == os.path.getsize(path)
+    assert identity.first().tables == ["calendar_dates", "feed_info"]
+    members = landing.unpacked(spark, identity, f"{tmp_path}/text").collect()
+    paths = {r.table_name: r.text_path for r in members}
+    assert sorted(paths) == ["calendar_dates", "feed_info"]
+    table = feed.stage_path(spark, paths["calendar_dates"], "calendar_dates", 1)
     assert table.count() == 25000
     assert table.agg(F.max("source_row_number")).first()[0] == 25001
-    assert feed.declared(table, "calendar_dates").where("exception_type = '1'").count() == 25000
-    assert records.select("table_name").distinct().count() == 2
+    assert table.where("exception_type = '1'").count() == 25000
+    names = {r.text_path: r.text_bytes for r in members}
+    assert names[paths["calendar_dates"]] == os.path.getsize(paths["calendar_dates"])
 
-    identity = catalogue.file_identity(landing.archives(spark, f"{tmp_path}/*.zip"))
-    assert identity.first().sha256 == digest
     meta = landing.sidecars(spark, f"{tmp_path}/*.json").drop("file_name", "file_size_bytes")
-    info_rows = landing.landed_table(records, where, "feed_info").withColumn("sha256", F.lit(digest))
+    info_rows = feed.stage_path(spark, paths["feed_info"], "feed_info", 0).withColumn("sha256", F.lit(digest))
     registered = spark.createDataFrame([(41, "other")], "snapshot_key bigint, sha256 string")
     landed = identity.join(meta, "sha256")
     row = catalogue.snapshot_register(landed, info_rows, registered, "Example").first()

@@ -11,7 +11,7 @@ from linespan.operators.governance import now_utc
 from linespan.plans import landed, refresh
 from linespan.schemas import FEED_COLUMNS, RUN_SCHEMA, STAGE_EXPORT
 from linespan.session import run_folder
-from linespan.sources import catalogue
+from linespan.sources import catalogue, feed, landing
 from linespan.sources.store import Store
 
 
@@ -31,19 +31,27 @@ def land(folder, name, day, route):
     (folder / f"{name}.json").write_text(json.dumps(sidecar))
 
 
-def test_landed_archives_are_refreshed_in_order_and_skipped_when_done(spark, tmp_path):
-    store, calls = Store(spark, run_folder(spark, "wh")), []
+def test_landed_archives_are_refreshed_in_order_and_skipped_when_done(spark, tmp_path, monkeypatch):
+    store, calls, unpacked, scanned = Store(spark, run_folder(spark, "wh")), [], [], []
+    inflate, scans = landing.unpacked, feed.scans
+
+    def counted(spark, archives, folder):
+        unpacked.append(archives.count())
+        return inflate(spark, archives, folder)
+
+    monkeypatch.setattr(landing, "unpacked", counted)
+    monkeypatch.setattr(feed, "scans", lambda spark, path: scanned.append(path) or scans(spark, path))
 
     def exported(spark, store, snapshot, feed, root, force=False, as_of=None):
         """Gate and registry of the real refresh; the export is recorded, not made."""
         registered = refresh.register(store, snapshot)
         key = snapshot.first().snapshot_key
-        runs = store.read("runs") if store.exists("runs") else spark.createDataFrame([], RUN_SCHEMA)
+        runs = store.read(refresh.RUN_EVENTS) if store.exists(refresh.RUN_EVENTS) else spark.createDataFrame([], RUN_SCHEMA)
         if catalogue.snapshot_gate(snapshot.select("sha256"), registered, runs, force).first().action == "SKIP":
             return None
         calls.append((key, feed(key, "routes").select("route_id", "source_row_number").collect()))
         row = [(len(calls), key, STAGE_EXPORT, "Spark", None, "SUCCEEDED", now_utc(), now_utc(), 1, 1, 0, None)]
-        store.append("runs", spark.createDataFrame(row, RUN_SCHEMA))
+        store.append(refresh.RUN_EVENTS, spark.createDataFrame(row, RUN_SCHEMA))
         return snapshot
 
     def run(**options):
@@ -58,14 +66,28 @@ def test_landed_archives_are_refreshed_in_order_and_skipped_when_done(spark, tmp
     profiles = store.read(landed.PROFILES)
     assert profiles.count() == 2 * sum(map(len, FEED_COLUMNS.values()))
 
-    # Nothing new: both are skipped. A third archive is the only one that runs.
+    # Nothing new: both are skipped, and no file is unpacked or read. A third archive is the only one that runs.
+    assert unpacked == [2]
+    scanned.clear()
     assert run() == {1: None, 2: None} and len(calls) == 2
+    assert unpacked == [2] and scanned == []
     land(tmp_path, "third", 20, "R20")
     done = run()
     assert [k for k, v in done.items() if v is not None] == [3] and len(calls) == 3
     assert store.read(refresh.SNAPSHOTS).select("snapshot_key").distinct().count() == 3
     run(force=True)
     assert [k for k, _ in calls[3:]] == [1, 2, 3]
+    assert unpacked == [2, 1]
+    # Without its export a publication resumes from the files unpacked before.
+    store.remove(refresh.RUN_EVENTS)
+    assert all(v is not None for v in run().values()) and unpacked == [2, 1]
+
+
+def test_members_of_one_archive_are_separate_tasks(spark, tmp_path):
+    land(tmp_path, "feed", 2, "R1")
+    members = landing.unpacked(spark, landing.archive_identity(spark, f"{tmp_path}/*.zip"), str(tmp_path / "text"))
+    tasks = members.select("table_name", F.spark_partition_id().alias("task")).collect()
+    assert len(tasks) == len(FEED_COLUMNS) and len({r.task for r in tasks}) > len(FEED_COLUMNS) // 2
 
 
 def test_archives_without_metadata_or_members_are_refused(spark, tmp_path):
