@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linespan.functions.columns import (
@@ -136,6 +136,11 @@ def bridge_service_date(services: DataFrame, exceptions: DataFrame, dates: DataF
     )
 
 
+def bridge_batch(date: Column) -> Column:
+    """The month of a service day, by which the stored bridge is cut."""
+    return F.date_format(date, "yyyy-MM")
+
+
 def bridge_sync(stored: DataFrame, desired: DataFrame) -> DataFrame:
     """Per service day, what must happen to make the stored bridge equal the desired one.
 
@@ -163,6 +168,13 @@ def bridge_sync_counts(actions: DataFrame) -> DataFrame:
     )
 
 
+def changed_batches(actions: DataFrame) -> list[str]:
+    """Batches that hold a service day to insert, delete or replace; one value a month."""
+    day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
+    rows = actions.where("sync_action <> 'KEEP'").select(bridge_batch(day).alias("batch")).distinct()
+    return sorted(row.batch for row in rows.collect())
+
+
 def available_shapes(shapes: DataFrame) -> DataFrame:
     return shapes.select(cleaned("shape_id").alias("shape_id")).where(
         "shape_id IS NOT NULL"

@@ -8,19 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linespan import schemas
-from linespan.operators import changes, daily, quality, schedule
+from linespan.operators import calendar, changes, daily, quality, schedule
 from linespan.operators.governance import latest_runs, new_run_key, now_utc, run_audit
 from linespan.operators.history import absent_rows
 from linespan.plans.serving import serving_export
 from linespan.plans.warehouse import PublicationBuild, Warehouse
+from linespan.session import settled
 from linespan.sources import catalogue
-from linespan.sources.store import Store
+from linespan.sources.store import SYNCED, Store
 
 SNAPSHOTS = "source_snapshot"
 STATUS_EVENTS = "source_snapshot_status"
 RUN_EVENTS = "pipeline_run"
 QUALITY = "data_quality_result"
 CHANGES = "fact_publication_change"
+# Service days derived, inserted and deleted by each run of the service stage.
+SYNC_COUNTS = "service_date_sync"
 
 
 class Refresh:
@@ -178,7 +181,8 @@ class Refresh:
                     self.staged("calendar_dates"), stored("dim_service"), b.dim_date,
                 )
             )
-            return self.staged("calendar_dates").count(), b.dim_service.count() + b.bridge.count()
+            changed = self.sync_bridge(b)
+            return self.staged("calendar_dates").count(), b.services.count() + changed
 
         def trip() -> tuple[int, int]:
             source = b.trip_source()
@@ -239,6 +243,30 @@ class Refresh:
         self.stage(schemas.STAGE_CHANGE, lambda: self.load_changes(b))
         return b
 
+    def sync_bridge(self, b: PublicationBuild) -> int:
+        """Make the stored bridge equal the derived one; log the counts, return the rows inserted.
+
+        Only months with a difference are written.
+        """
+        derived = settled(b.service_dates(), "service-dates")
+        stored = self.store.stored_load(SYNCED, self.snapshot_key)
+        actions = settled(
+            calendar.bridge_sync(derived.limit(0) if stored is None else stored, derived), "bridge-actions"
+        )
+        counts = calendar.bridge_sync_counts(actions)
+        month = calendar.bridge_batch(F.col("full_date"))
+        self.store.replace_batches(
+            SYNCED, derived, self.snapshot_key, month, calendar.changed_batches(actions)
+        )
+        self.store.append(
+            SYNC_COUNTS,
+            counts.select(
+                F.lit(self.run_key).cast("bigint").alias("pipeline_run_key"),
+                F.lit(self.snapshot_key).cast("bigint").alias("snapshot_key"), "*",
+            ),
+        )
+        return counts.first().service_date_rows_inserted
+
     def load_changes(self, b: PublicationBuild) -> tuple[int, int]:
         """Compare with the publication the build continues, then check the whole model."""
         key = self.snapshot_key
@@ -282,7 +310,7 @@ class Refresh:
                 "dim_operator": lambda: b.dim_operator,
                 "dim_route": lambda: b.dim_route,
                 "dim_stop": lambda: b.dim_stop,
-                "dim_service": lambda: b.dim_service,
+                "dim_service": lambda: read("dim_service"),
                 "dim_trip": lambda: read("dim_trip"),
                 "bridge": lambda: b.bridge,
                 "events": lambda: b.events,
@@ -305,6 +333,8 @@ class Refresh:
             return total, total
 
         self.stage(schemas.STAGE_EXPORT, work)
+        for table in schemas.ROLLING_TABLES:
+            self.store.vacuum(f"staging_{table}")
         return exported[0]
 
 

@@ -135,13 +135,18 @@ class PublicationBuild:
         )
 
     @cached_property
-    def dim_service(self) -> DataFrame:
-        return self.keep("dim_service", self.merged_services)
-
-    @property
     def services(self) -> DataFrame:
-        """Service rows of this publication alone."""
-        return self.dim_service.where(F.col("snapshot_key") == self.snapshot_key)
+        """Service rows of this publication alone; each publication's are stored once."""
+        return self.keep(
+            "dim_service",
+            lambda: calendar.dim_service(None, self.service_source(), self.snapshot_key),
+        )
+
+    @cached_property
+    def dim_service(self) -> DataFrame:
+        """Service rows of this and every earlier publication of the build."""
+        earlier = self._earlier("dim_service")
+        return self.services if earlier is None else earlier.unionByName(self.services)
 
     def service_dates(self) -> DataFrame:
         return calendar.bridge_service_date(self.services, self.exceptions(), self.dim_date)

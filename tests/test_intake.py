@@ -33,9 +33,32 @@ def test_intake_resumes_and_never_inserts_twice(spark):
     # A lost cursor replays every file.
     assert run(spark, source, store, f"{store.root}/other").count() == 80
     assert not store.exists("points_arrived")
-    intake.check_complete(stored, staged(spark, range(80)), "points")
+    keys = ("snapshot_key", "shape_id", "n")
+    intake.check_complete(stored, staged(spark, range(80)), keys, "points")
     with pytest.raises(intake.IntakeError, match="80 rows for 81"):
-        intake.check_complete(stored, staged(spark, range(81)), "points")
+        intake.check_complete(stored, staged(spark, range(81)), keys, "points")
+    files = store.read("points_files")
+    assert files.agg(F.sum("row_count")).first()[0] == 50 + 40 + 90
+
+
+def test_intake_refuses_rows_that_disagree(spark):
+    source, store = run_folder(spark, "source"), Store(spark, run_folder(spark, "store"))
+    one = spark.createDataFrame([(2, "H1", 1), (2, "H2", 1)], "snapshot_key bigint, shape_id string, n int")
+
+    def run_keyed(cursor):
+        return intake.incremental_intake(
+            spark, source, one.schema, store, "points", ("snapshot_key", "shape_id"), 2, lambda batch: batch,
+            f"{store.root}/{cursor}",
+        )
+
+    one.write.parquet(source)
+    assert run_keyed("a").count() == 2
+    one.withColumn("n", F.lit(2)).limit(1).write.mode("append").parquet(source)
+    with pytest.raises(intake.IntakeError, match="holds other rows"):
+        run_keyed("a")
+    with pytest.raises(intake.IntakeError, match="rows that disagree"):
+        run_keyed("b")
+    assert store.read("points").count() == 2
 
 
 def test_store_partitions(spark):

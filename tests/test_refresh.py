@@ -8,7 +8,7 @@ from linespan.plans import refresh, serving
 from linespan.schemas import FEED_COLUMNS
 from linespan.session import run_folder
 from linespan.sources.feed import with_lineage
-from linespan.sources.projection import AS_OF
+from verification.projection import AS_OF
 from linespan.sources.store import Store
 from verification.world import World
 

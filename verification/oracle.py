@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from linespan.schemas import ENTITY_STAGES, FEED_COLUMNS
-from linespan.sources.projection import AS_OF, projection_sql, with_clause
+from verification.projection import AS_OF, projection_sql, with_clause
 
 HASH_CALL = "sha256({})"
 

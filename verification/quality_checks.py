@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linespan.operators import quality
 from linespan.schemas import STAGE_HIGH_VOLUME
 from linespan.sources.feed import with_lineage
-from linespan.sources.projection import LATEST_SNAPSHOT, OLDER_SNAPSHOT, projected
+from verification.projection import LATEST_SNAPSHOT, OLDER_SNAPSHOT, projected
 from verification.oracle import STAGE_LIST
 from verification.queries import query
 from verification.world import World

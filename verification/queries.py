@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from linespan.functions.columns import call_seconds
 from linespan.operators import calendar, changes, daily, history, schedule
 from linespan.plans import dashboard, views
-from linespan.sources.projection import AS_OF, LATEST_SNAPSHOT, OLDER_SNAPSHOT
+from linespan.session import run_folder
+from linespan.sources.store import Store
 from verification.oracle import STAGE_LIST, complete
+from verification.projection import AS_OF, LATEST_SNAPSHOT, OLDER_SNAPSHOT
 from verification.world import World, plain
 
 
@@ -216,20 +218,31 @@ query("fact_stop_service_day", _STOP_FACT)(lambda w: w.latest.derived_stop_days(
     UNION ALL SELECT 'stop', stop_key, date_key, scheduled_trip_count FROM ({_STOP_FACT}) s""",
 )
 def fact_insert_if_absent(w: World) -> DataFrame:
-    """Stored rows of the first half of the window, completed by full derivations."""
-    early = F.col("full_date") < F.lit("2024-02-15").cast("date")
-
-    def completed(fact: str, stored: DataFrame, derived: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-        rows = history.insert_if_absent(stored.where(early), derived, keys)
-        return rows.select(
-            F.lit(fact).alias("fact"), F.col(f"{fact}_key").alias("entity_key"), "date_key",
-            "scheduled_trip_count",
+    """Both facts in batches of days: a load stopped in its second batch, completed by a second load."""
+    b, store = w.latest, Store(w.spark, run_folder(w.spark, "facts"))
+    facts = {
+        "fact_route_service_day": (b.route_days, daily.ROUTE_DAY_KEYS),
+        "fact_stop_service_day": (b.stop_days, daily.STOP_DAY_KEYS),
+    }
+    begun: list[str] = []
+
+    def second_batch(batch: str) -> None:
+        begun.append(batch)
+        if len(begun) == 2:
+            raise InterruptedError(batch)
+
+    try:
+        store.insert_batches(facts, LATEST_SNAPSHOT, before_commit=second_batch)
+    except InterruptedError:
+        pass
+    store.insert_batches(facts, LATEST_SNAPSHOT)
+    route, stop = (
+        store.read(f"fact_{name}_service_day").select(
+            F.lit(name).alias("fact"), F.col(f"{name}_key").alias("entity_key"), "date_key", "scheduled_trip_count"
         )
-
-    b = w.latest
-    return completed("route", b.route_days, b.derived_route_days(), daily.ROUTE_DAY_KEYS).unionByName(
-        completed("stop", b.stop_days, b.derived_stop_days(), daily.STOP_DAY_KEYS)
+        for name in ("route", "stop")
     )
+    return route.unionByName(stop)
 
 
 query(

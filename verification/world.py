@@ -12,7 +12,7 @@ from linespan.operators import changes
 from linespan.plans.warehouse import PublicationBuild, Warehouse
 from linespan.session import settled
 from linespan.sources.feed import with_lineage
-from linespan.sources.projection import AS_OF, LATEST_SNAPSHOT, OLDER_SNAPSHOT, projected
+from verification.projection import AS_OF, LATEST_SNAPSHOT, OLDER_SNAPSHOT, projected
 
 
 def plain(rows: DataFrame) -> DataFrame:
