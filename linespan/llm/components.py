@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linespan.llm.common import settle
+from linespan.llm.common import discard, settle
 
 ROUNDS = 60
 
@@ -36,9 +36,15 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before or not mark[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            labels = settle(
+                now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+                    now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+                ),
+                "labels",
             )
-        before = mark
-        now = settle(_small_star(_large_star(now)), "links")
+            discard(now)
+            return labels
+        before, last = mark, now
+        now = settle(_small_star(_large_star(last)), "links")
+        discard(last)
     raise RuntimeError(f"components did not settle in {ROUNDS} rounds")

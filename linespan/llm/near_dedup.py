@@ -6,7 +6,8 @@ truncated to 16 bits; the maximum of two sketches is the sketch of the union.
 
 1. Documents with equal sets form a class, counted before the shuffle; one
    representative goes on, so groups of copies cost nothing further.
-2. Bands of registers are hashed. Each band bucket links its members to the
+2. Bands of registers are hashed. A filter of the hashes seen twice leaves out most
+   bands that stand alone before any is moved. Each band bucket links its members to the
    bucket's first member by a fixed random order: as many candidates as members.
 3. A joint likelihood estimate from the registers (how many are larger,
    smaller, equal, with both set sizes known) drops candidates that are
@@ -32,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,8 @@ BLOCK_SHINGLES = 2_000_000
 # Registers compared at a time, and probes of the filter of wanted nodes.
 PAIR_CELLS = 4_000_000
 FILTER_PROBES = 4
+# Filter of band keys: with these, 1.4 % of the keys that stand alone pass.
+BAND_PROBES, BITS_PER_BAND = 2, 16
 REMEMBERED_WORDS = 250_000
 
 _RANDOM = np.random.Generator(np.random.PCG64(20_240_607))
@@ -176,27 +180,57 @@ def sketched(stored: DataFrame, rows: int, bands: int) -> DataFrame:
     )
 
 
-def banded(representatives: DataFrame, rows: int) -> DataFrame:
-    """One row per band of each representative: band, number (of the band), node, size."""
+def _keys_by_band(batch: pa.RecordBatch, rows: int, numbers: range) -> np.ndarray:
+    """Band keys of a batch of representatives, one row each, for the bands ``numbers``."""
+    sketches = [np.frombuffer(s, np.uint16) for s in batch.column("sketch").to_pylist()]
+    keys = [band_keys(s, rows)[numbers.start : numbers.stop] for s in sketches]
+    return np.stack(keys) if keys else np.zeros((0, len(numbers)), np.int64)
+
+
+def _repeated(representatives: DataFrame, rows: int, numbers: range, bits: int) -> DataFrame:
+    """Band rows whose key was perhaps seen twice: band, number (of the band), node, size."""
+
+    def insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [mixed(_keys_by_band(batch, rows, numbers).view(np.uint64).ravel()) for batch in batches]
+        yield from bloom.seen(found, bits, BAND_PROBES)
+
+    view = representatives.select("node", "size", "sketch")
+    filters = settle(bloom.merged(view.mapInArrow(tidy(insert), bloom.PAYLOAD)), "near-band-filter")
+    twice = representatives.sparkSession.sparkContext.broadcast(bloom.gathered(filters, "twice", bits))
+    discard(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sketches = batch.column("sketch").to_pylist()
-            keys = [band_keys(np.frombuffer(s, np.uint16), rows) for s in sketches]
-            per = len(keys[0]) if keys else 0
+            keys = _keys_by_band(batch, rows, numbers)
+            hit = bloom.contains(twice.value, mixed(keys.view(np.uint64).ravel()), bits, BAND_PROBES)
+            at, place = np.nonzero(hit.reshape(keys.shape))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(keys) if keys else [], pa.int64()),
-                    pa.array(np.tile(np.arange(per), len(keys)), pa.int32()),
-                    pa.array(np.repeat(batch.column("node").to_numpy(), per)),
-                    pa.array(np.repeat(batch.column("size").to_numpy(), per)),
+                    pa.array(keys[at, place], pa.int64()), pa.array(place + numbers.start, pa.int32()),
+                    batch.column("node").take(pa.array(at)), batch.column("size").take(pa.array(at)),
                 ],
                 names=["band", "number", "node", "size"],
             )
 
-    return representatives.select("node", "size", "sketch").mapInArrow(
-        tidy(run), "band long, number int, node long, size long"
-    )
+    return settle(view.mapInArrow(tidy(run), "band long, number int, node long, size long"), "near-bands")
+
+
+def repeated_bands(representatives: DataFrame, rows: int, bands: int, most_bits: int = bloom.MOST_BITS) -> list[DataFrame]:
+    """Band rows that may share their bucket with another representative, in written tables.
+
+    A filter of band keys seen twice keeps the others, nearly all, from being moved. When
+    one filter of ``most_bits`` cannot hold the keys of all bands, bands are worked
+    through in ranges, one filter after the other.
+    """
+    wanted = max(1, representatives.count()) * BITS_PER_BAND
+    at_once = max(1, min(bands, most_bits // wanted))
+    return [
+        _repeated(
+            representatives, rows, range(first, min(first + at_once, bands)),
+            bloom.filter_bits(wanted * min(at_once, bands - first)),
+        )
+        for first in range(0, bands, at_once)
+    ]
 
 
 def _estimated(pairs: DataFrame, least: float) -> DataFrame:
@@ -247,37 +281,69 @@ def _with_both(pairs: DataFrame, values: DataFrame, names: list[str]) -> DataFra
     return pairs
 
 
-def _full_sets(stored: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and its full set, as packed 64-bit hashes.
+class _Nodes:
+    """A set of nodes, tested by a Bloom filter where rows are read and exactly by a join after it."""
 
-    A Bloom filter of the wanted nodes is tested where the texts are read, so
-    sets are moved and texts are not; the join after it is exact.
-    """
-    wanted = settle(nodes.select("node").distinct(), "near-wanted")
-    bits = bloom.filter_bits(wanted.count() * 16)
+    def __init__(self, nodes: DataFrame) -> None:
+        self.wanted = settle(nodes.select("node").distinct(), "near-wanted")
+        self.bits = bits = bloom.filter_bits(self.wanted.count() * 16)
 
-    def insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [mixed(batch.column("node").to_numpy().view(np.uint64)) for batch in batches]
-        yield from bloom.seen(found, bits, FILTER_PROBES)
+        def insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = [mixed(batch.column("node").to_numpy().view(np.uint64)) for batch in batches]
+            yield from bloom.seen(found, bits, FILTER_PROBES)
 
-    filters = settle(bloom.merged(wanted.mapInArrow(tidy(insert), bloom.PAYLOAD)), "near-filter")
-    shared = stored.sparkSession.sparkContext.broadcast(bloom.gathered(filters, "once", bits))
+        filters = settle(bloom.merged(self.wanted.mapInArrow(tidy(insert), bloom.PAYLOAD)), "near-filter")
+        self.filter = nodes.sparkSession.sparkContext.broadcast(bloom.gathered(filters, "once", bits))
+        discard(filters)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(self, table: DataFrame, column: str, make, schema: str, purpose: str) -> DataFrame:
+        """Write what ``make`` gives for the batches of rows of ``table`` whose node is in the set."""
+        shared, bits = self.filter, self.bits
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = make()
+            for batch in batches:
+                keys = mixed(batch.column(column).to_numpy().view(np.uint64))
+                yield held(batch.filter(pa.array(bloom.contains(shared.value, keys, bits, FILTER_PROBES))))
+
+        found = settle(
+            table.mapInArrow(tidy(run), schema).join(self.wanted, "node", "left_semi"), purpose
+        )
+        return found
+
+
+def _sketches(representatives: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, size and sketch of some nodes, so that the sketches of the others are not moved."""
+    members = _Nodes(nodes)
+    found = members.rows(
+        representatives.select("node", "size", "sketch"), "node", lambda: lambda batch: batch,
+        "node long, size long, sketch binary", "near-some-sketches",
+    )
+    discard(members.wanted)
+    return found
+
+
+def _full_sets(stored: DataFrame, nodes: DataFrame, purpose: str) -> DataFrame:
+    """node and its full set, as packed 64-bit hashes: sets are moved and texts are not."""
+    members = _Nodes(nodes)
+
+    def make():
         known = WordHashes()
-        for batch in batches:
-            keys = mixed(batch.column("row_key").to_numpy().view(np.uint64))
-            some = batch.filter(pa.array(bloom.contains(shared.value, keys, bits, FILTER_PROBES)))
-            sets = [
+
+        def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+            packed = [
                 shingle_set(known.of((text or b"").lower().split())).tobytes()
-                for text in some.column("text").cast(pa.binary()).to_pylist()
+                for text in batch.column("text").cast(pa.binary()).to_pylist()
             ]
-            yield pa.RecordBatch.from_arrays(
-                [some.column("row_key"), pa.array(sets, pa.binary())], names=["node", "set"]
+            return pa.RecordBatch.from_arrays(
+                [batch.column("row_key"), pa.array(packed, pa.binary())], names=["node", "set"]
             )
 
-    found = stored.select("row_key", "text").mapInArrow(tidy(run), "node long, set binary")
-    return found.join(wanted, "node", "left_semi")
+        return sets
+
+    found = members.rows(stored.select("row_key", "text"), "row_key", make, "node long, set binary", purpose)
+    discard(members.wanted)
+    return found
 
 
 class _Union:
@@ -418,8 +484,10 @@ def _finish(
         if held:
             yield from pa.concat_tables(held).combine_chunks().to_batches()
 
-    own = sketches.select("node", "sketch")
+    some = _sketches(sketches, dealt)
+    own = some.select("node", "sketch")
     open_members = settle(_by_group(dealt.join(own, "node")).mapInArrow(tidy(survivors), MEMBER), "near-open")
+    discard(dealt)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = []
@@ -436,13 +504,18 @@ def _finish(
             [pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["u", "v"]
         )
 
-    sets = settle(_full_sets(stored, open_members), "near-open-sets")
-    return _by_group(open_members.join(own, "node").join(sets, "node")).mapInArrow(tidy(verify), "u long, v long")
+    sets = _full_sets(stored, open_members, "near-open-sets")
+    links = settle(
+        _by_group(open_members.join(own, "node").join(sets, "node")).mapInArrow(tidy(verify), "u long, v long"),
+        "near-more-links",
+    )
+    discard(open_members, sets, some)
+    return links
 
 
 def near_groups(
     stored: DataFrame, *, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS,
-    block_shingles: int = BLOCK_SHINGLES,
+    block_shingles: int = BLOCK_SHINGLES, most_bits: int = bloom.MOST_BITS,
 ) -> DataFrame:
     """Return row_key, id, n_shingles, component_id, head (the row that names the component).
 
@@ -462,7 +535,8 @@ def near_groups(
         ),
         "near-representatives",
     )
-    bucketed = banded(representatives, rows)
+    band_tables = repeated_bands(representatives, rows, bands, most_bits)
+    bucketed = reduce(DataFrame.unionByName, band_tables)
     order = F.struct(F.xxhash64("node").alias("draw"), F.col("node").alias("leader"))
     leaders = (
         bucketed.groupBy("band")
@@ -470,24 +544,29 @@ def near_groups(
         .where("n > 1").select("band", "leader")
     )
     buckets = settle(bucketed.join(leaders, "band"), "near-buckets")
-    pairs = buckets.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
-    candidates = settle(_estimated(_with_both(pairs, representatives, ["size", "sketch"]), least), "near-candidates")
-    ends = candidates.select(F.col("u").alias("node")).unionByName(candidates.select(F.col("v").alias("node")))
-    sets = settle(_full_sets(stored, ends), "near-sets")
+    discard(*band_tables)
+    pairs = settle(
+        buckets.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct(),
+        "near-pairs",
+    )
+
+    def both_ends(links: DataFrame) -> DataFrame:
+        return links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node")))
+
+    some = _sketches(representatives, both_ends(pairs))
+    candidates = settle(_estimated(_with_both(pairs, some, ["size", "sketch"]), least), "near-candidates")
+    discard(pairs, some)
+    sets = _full_sets(stored, both_ends(candidates), "near-sets")
     links = settle(_verified(_with_both(candidates, sets, ["set"]), percent), "near-links")
     discard(candidates, sets)
-    labels = settle(components(links), "near-labels")
-    more = settle(
-        _finish(
-            buckets, labels, representatives, stored,
-            least=least, rows=rows, percent=percent, block_shingles=block_shingles,
-        ),
-        "near-more-links",
+    labels = components(links)
+    more = _finish(
+        buckets, labels, representatives, stored,
+        least=least, rows=rows, percent=percent, block_shingles=block_shingles,
     )
-    if more.isEmpty():
-        final = labels
-    else:
-        final = settle(components(links.unionByName(more)), "near-final-labels")
+    discard(buckets, representatives)
+    final = labels if more.isEmpty() else components(links.unionByName(more))
+    discard(links, more)
     # Of every component the first head names it.
     named = (
         classes.select("set_key", "head", F.col("head.row_key").alias("node"))

@@ -232,6 +232,8 @@ def test_near_dedup_finishes_chains_and_large_buckets(spark):
     want = brute_groups(made, 85)
     assert near(frame) == want
     assert near(frame, block_shingles=600) == want
+    # Bands worked through in ranges, one filter after the other.
+    assert near(frame, most_bits=10_000) == want
 
 
 def test_sketch_estimates_and_merges():
