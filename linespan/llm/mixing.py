@@ -2,16 +2,19 @@
 
 Sources are weighted in code-point order (null last). Targets share a budget
 by weight; a target stops at ``repeats`` times its source's size and the
-excess is shared again by weight. Documents are dealt to shards by a seeded
-hash. In a shard the words of each source form one stream in seeded order, cut
-into blocks of equal words. Blocks are allocated to the sources by highest
-quotients (target / (2k - 1)), which gives integer quotas, and a seeded run of
+excess is shared again by weight. Blocks of equal words are allocated to the sources by
+highest quotients (target / (2k - 1)). A source's documents are dealt to shards by
+a seeded hash, as many shards as its documents fill, and its blocks are allocated to its shards, by way of groups
+of shards, in the same manner: the integer quotas of the shards sum to the source's
+blocks, so rounding does not add up over shards and a thin source is not lost. In a shard the
+words form one stream in seeded order, cut into blocks, and a seeded run of
 blocks is taken: whole passes over the stream first, then one run from a
 seeded start. So a document on the edge of a run is taken in part, and none
 is taken more than ``repeats`` times.
 
 A null text has size 0; documents of size 0 are never taken. Repeated rows lie
-side by side in a stream and count each for itself. Everything depends on
+side by side in a stream and count each for itself. Very long texts count with all their words; a shard
+may hold one alone. Equal quotients go to the source or shard that comes first. Everything depends on
 content and seed only, so reruns agree. An empty table gives no rows. Only the
 named columns are read, so further columns cannot clash.
 """
@@ -29,6 +32,8 @@ BUDGET_PERCENT = 150
 REPEATS = 2
 BLOCK_WORDS = 16
 SHARD_ROWS = 4_096
+# Shards of a group, which bounds the rows compared at a time.
+GROUP_SHARDS = 4_096
 SEED = "mix-1"
 
 
@@ -77,29 +82,22 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return levels.select("source_key", "place", "weight", "source_size", target.alias("target"))
 
 
-def shard_quotas(supply: DataFrame) -> DataFrame:
-    """Add ``quota``, the blocks each source gets in its shard.
+def highest_quotients(offers: DataFrame, parent: list[str], child: list[str]) -> DataFrame:
+    """Allocate the seats of each parent to its children: parent, child and quota.
 
-    ``supply``: shard, source_key, place, share (the source's target there, in
-    blocks). A shard's seats are the rounded sum of its shares. The divisor
-    that fills N seats differs from 1 by at most S / 2N for S sources, so a
+    ``offers``: parent, child, place, share (the child's exact part of the seats) and seats. The divisor
+    that fills N seats differs from 1 by at most S / 2N for S children, so a
     quota is within share / N * S / 2 + 1/2 of the share. Seats below that range
     are certain and only the quotients inside it compete, about 4 S rows.
     """
-    shard = Window.partitionBy("shard")
+    own = Window.partitionBy(*parent)
     bounded = (
-        # Sums of whole thousandths do not depend on the order of adding.
-        supply.withColumn("thousandths", F.floor(F.col("share") * 1000).cast("long"))
-        .withColumn("all_thousandths", F.sum("thousandths").over(shard))
-        .withColumn("seats", F.floor((F.col("all_thousandths") + 500) / 1000).cast("long"))
-        .withColumn(
+        offers.withColumn(
             "slack",
-            F.ceil(
-                F.col("share") * 1000 / F.greatest("all_thousandths", F.lit(1)) * F.count(F.lit(1)).over(shard) / 2
-            ).cast("long") + 2,
+            F.ceil(F.col("share") / F.greatest("seats", F.lit(1)) * F.count(F.lit(1)).over(own) / 2).cast("long") + 2,
         )
         .withColumn("certain", F.greatest(F.lit(0), F.floor("share").cast("long") - F.col("slack")))
-        .withColumn("open", F.col("seats") - F.sum("certain").over(shard))
+        .withColumn("open", F.col("seats") - F.sum("certain").over(own))
     )
     competing = bounded.select(
         "*",
@@ -107,16 +105,52 @@ def shard_quotas(supply: DataFrame) -> DataFrame:
             F.sequence(F.col("certain") + 1, F.floor("share").cast("long") + 1 + F.col("slack"))
         ).alias("seat"),
     ).withColumn("quotient", F.col("share") / (2 * F.col("seat") - 1))
-    order = Window.partitionBy("shard").orderBy(F.desc("quotient"), "place", "seat")
+    order = own.orderBy(F.desc("quotient"), "place", "seat")
     won = (
         competing.withColumn("rank", F.row_number().over(order))
-        .groupBy("shard", "source_key")
+        .groupBy(*parent, *child)
         .agg(
             F.first("certain").alias("certain"),
             F.count(F.when(F.col("rank") <= F.col("open"), 1)).alias("won"),
         )
     )
-    return won.select("shard", "source_key", (F.col("certain") + F.col("won")).alias("quota"))
+    return won.select(*parent, *child, (F.col("certain") + F.col("won")).alias("quota"))
+
+
+def source_blocks(targets: DataFrame, block_words: int) -> DataFrame:
+    """Blocks of each source: source_key and quota. ``targets`` has one small row a source."""
+    shares = targets.where("target > 0").withColumn("share", F.col("target") / block_words)
+    # Sums of whole thousandths do not depend on the order of adding.
+    thousandths = F.sum(F.floor(F.col("share") * 1000).cast("long")).over(Window.partitionBy("mix"))
+    seats = F.floor((thousandths + 500) / 1000).cast("long")
+    return highest_quotients(
+        shares.withColumn("mix", F.lit(0)).withColumn("seats", seats).select("mix", "source_key", "place", "share", "seats"),
+        ["mix"], ["source_key"],
+    ).drop("mix")
+
+
+def shard_quotas(supply: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Blocks of each shard: source_key, shard and quota.
+
+    ``supply``: source_key, shard and supply (words, above 0); ``blocks``: source_key and quota.
+    """
+    grouped = supply.withColumn("group", F.expr(f"shard div {GROUP_SHARDS}"))
+    groups = grouped.groupBy("source_key", "group").agg(F.sum("supply").alias("supply"))
+
+    def shares(children: DataFrame, parent: list[str], place: str) -> DataFrame:
+        whole = F.sum("supply").over(Window.partitionBy(*parent))
+        return children.withColumn("place", F.col(place)).withColumn(
+            "share", F.col("seats").cast("double") * F.col("supply") / whole
+        )
+
+    by_group = highest_quotients(
+        shares(groups.join(blocks.withColumnRenamed("quota", "seats"), "source_key"), ["source_key"], "group"),
+        ["source_key"], ["group"],
+    )
+    parent = ["source_key", "group"]
+    return highest_quotients(
+        shares(grouped.join(by_group.withColumnRenamed("quota", "seats"), parent), parent, "shard"), parent, ["shard"]
+    ).drop("group")
 
 
 def mix(
@@ -138,42 +172,37 @@ def mix(
         ),
         "mix-sizes",
     )
-    shards = max(1, -(-measured.count() // shard_rows))
-    rows = measured.withColumn("shard", F.pmod(_number(F.col("draw")), F.lit(shards)))
-    supply = settle(
-        rows.groupBy("shard", "source_key").agg(
-            F.first("mix_source").alias("source"), F.sum("size").alias("supply")
-        ),
-        "mix-supply",
-    )
-    targets = source_targets(
-        supply.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("supply").alias("source_size"))
+    sources = measured.groupBy("source_key").agg(
+        F.first("mix_source").alias("source"), F.sum("size").alias("source_size"),
+        F.count_if(F.col("size") > 0).alias("filled"),
     )
-    offered = supply.drop("source").join(targets, "source_key")
-    shares = offered.where("supply > 0").withColumn(
-        "share", F.col("target") * F.col("supply") / F.col("source_size") / block_words
+    shards = F.greatest(F.lit(1), F.ceil(F.col("filled") / shard_rows).cast("long"))
+    filled = sources.select("source_key", shards.alias("shards"))
+    targets = settle(source_targets(sources.drop("filled")).join(filled, "source_key"), "mix-targets")
+    rows = measured.join(targets, "source_key").withColumn("shard", F.pmod(_number(F.col("draw")), F.col("shards")))
+    supply = settle(
+        rows.where("size > 0").groupBy("source_key", "shard").agg(F.sum("size").alias("supply")), "mix-supply"
     )
-    quotas = shard_quotas(shares.select("shard", "source_key", "place", "share"))
+    quotas = shard_quotas(supply, source_blocks(targets, block_words))
     drawn = _number(F.md5(F.concat_ws(":", F.lit(seed), "source_key", F.col("shard").cast("string"))))
     plan = settle(
-        offered.join(quotas, ["shard", "source_key"], "left")
+        supply.join(quotas, ["source_key", "shard"], "left")
         .withColumn("quota", F.coalesce("quota", F.lit(0)))
         .withColumn("words", F.least(F.col("quota") * block_words, F.col("supply") * REPEATS))
         .select(
-            "shard", "source_key", "source_size", "target", "quota", "supply",
-            F.when(F.col("supply") > 0, F.expr("words div supply")).otherwise(0).alias("passes"),
-            F.when(F.col("supply") > 0, F.expr("words % supply")).otherwise(0).alias("run"),
-            (
-                F.pmod(drawn, F.greatest(F.ceil(F.col("supply") / block_words), F.lit(1))) * block_words
-            ).alias("start"),
+            "source_key", "shard", "quota", "supply",
+            F.expr("words div supply").alias("passes"), F.expr("words % supply").alias("run"),
+            (F.pmod(drawn, F.ceil(F.col("supply") / block_words)) * block_words).alias("start"),
         ),
         "mix-plan",
     )
     stream = (
-        Window.partitionBy("shard", "source_key").orderBy("draw", "size")
+        Window.partitionBy("source_key", "shard").orderBy("draw", "size")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = rows.withColumn("end", F.sum("size").over(stream)).withColumn("begin", F.col("end") - F.col("size"))
+    placed = rows.where("size > 0").withColumn("end", F.sum("size").over(stream)).withColumn(
+        "begin", F.col("end") - F.col("size")
+    )
     run_end = F.col("start") + F.col("run")
 
     def overlap(low: Column, high: Column) -> Column:
@@ -184,9 +213,13 @@ def mix(
         + overlap(F.col("start"), F.least(run_end, F.col("supply")))
         + overlap(F.lit(0), run_end - F.col("supply"))
     )
-    return placed.join(plan, ["shard", "source_key"]).select(
-        *key, "size", "source_size", "target", "shard", "quota", taken.cast("long").alias("taken")
+    columns = [*key, "size", "source_size", "target", "shard"]
+    used = placed.join(plan, ["source_key", "shard"]).select(*columns, "quota", taken.cast("long").alias("taken"))
+    # Documents without words have no place in a stream.
+    empty = rows.where("size = 0").select(
+        *columns, F.lit(0).cast("long").alias("quota"), F.lit(0).cast("long").alias("taken")
     )
+    return used.unionByName(empty)
 
 
 def mixed_rows(docs: DataFrame, *, text: str = "text", source: str = "source", identifier: str = "doc_id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linespan.llm import line_dedup, mixing, near_dedup, quality_rules, url_filter
+from linespan.llm import line_dedup, near_dedup, quality_rules, url_filter
 
 WS = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -176,59 +176,64 @@ SELECT *, n_words < {quality_rules.MIN_WORDS} OR n_repeat_words * 100 > n_words
 FROM counts
 """
 
-_M = mixing
+# Weights 5, 2, 1, budget 150 %, at most 2 times, blocks of 16 words, shards of 4,096 filled documents. A source
+# has one group of shards up to 16 million documents, so its blocks are allocated to its shards directly.
 OP10 = f"""
 WITH sized AS (
   SELECT doc_id, source, coalesce('s' || source, 'none') AS source_key,
          len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
-         md5('{_M.SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS draw
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS draw
   FROM documents),
-dealt AS (
-  SELECT *, ('0x' || draw[1:8])::BIGINT % (SELECT greatest(1, ceil(count(*) / {_M.SHARD_ROWS}))::BIGINT FROM documents)
-              AS shard FROM sized),
-supply AS (SELECT shard, source_key, any_value(source) AS source, sum(size)::BIGINT AS supply FROM dealt GROUP BY ALL),
 ranked AS (
-  SELECT source_key, sum(supply)::BIGINT AS source_size,
+  SELECT source_key, sum(size)::BIGINT AS source_size,
+         greatest(1, ceil(count(*) FILTER (size > 0) / 4096))::BIGINT AS shards,
          row_number() OVER (ORDER BY any_value(source) IS NULL, any_value(source)) AS place,
-         [{", ".join(map(str, _M.WEIGHTS))}][((place - 1) % {len(_M.WEIGHTS)} + 1)::INT]::BIGINT AS weight,
-         source_size * {_M.REPEATS} AS cap, cap::DOUBLE / weight::DOUBLE AS ratio
-  FROM supply GROUP BY source_key),
+         [5, 2, 1][((place - 1) % 3 + 1)::INT]::BIGINT AS weight,
+         source_size * 2 AS cap, cap::DOUBLE / weight::DOUBLE AS ratio
+  FROM sized GROUP BY source_key),
 levels AS (
-  SELECT *, (sum(source_size) OVER ())::DOUBLE * {_M.BUDGET_PERCENT} / 100.0::DOUBLE AS budget,
+  SELECT *, (sum(source_size) OVER ())::DOUBLE * 150 / 100.0::DOUBLE AS budget,
          coalesce(sum(cap) OVER before, 0)::DOUBLE AS cap_before,
          (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS weight_left,
          (budget - cap_before) / weight_left AS level, ratio <= level AS is_full
   FROM ranked WINDOW before AS (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (
-  SELECT source_key, place, source_size,
+  SELECT source_key, place, source_size, shards,
          CASE WHEN is_full OR final IS NULL THEN cap::DOUBLE ELSE least(cap::DOUBLE, weight * final) END AS target
   FROM (SELECT *, max(level) FILTER (NOT is_full) OVER () AS final FROM levels)),
-offered AS (
-  SELECT s.shard, s.source_key, t.place, s.supply, t.source_size, t.target,
-         t.target * s.supply / t.source_size / {_M.BLOCK_WORDS} AS share
-  FROM supply s JOIN targets t USING (source_key)),
 seats AS (
-  SELECT shard, floor((sum(floor(share * 1000)::BIGINT) + 500) / 1000)::BIGINT AS n
-  FROM offered WHERE supply > 0 GROUP BY shard),
-quotients AS (
-  SELECT shard, source_key, row_number() OVER (PARTITION BY shard ORDER BY share / (2 * seat - 1) DESC, place, seat) AS r
-  FROM (SELECT *, unnest(range(1, floor(share)::BIGINT + 100)) AS seat FROM offered WHERE supply > 0)),
+  SELECT floor((sum(floor(target / 16 * 1000)::BIGINT) + 500) / 1000)::BIGINT AS n FROM targets WHERE target > 0),
+blocks AS (
+  SELECT source_key, count(*) AS b FROM (
+    SELECT source_key, row_number() OVER (ORDER BY target / 16 / (2 * seat - 1) DESC, place, seat) AS r
+    FROM (SELECT *, unnest(range(1, floor(target / 16)::BIGINT + 100)) AS seat FROM targets WHERE target > 0)), seats
+  WHERE r <= n GROUP BY source_key),
+dealt AS (
+  SELECT s.*, t.source_size, t.target, ('0x' || draw[1:8])::BIGINT % t.shards AS shard
+  FROM sized s JOIN targets t USING (source_key)),
+supply AS (SELECT source_key, shard, sum(size)::BIGINT AS supply FROM dealt WHERE size > 0 GROUP BY ALL),
+shares AS (
+  SELECT *, b::DOUBLE * supply / sum(supply) OVER (PARTITION BY source_key) AS share
+  FROM supply JOIN blocks USING (source_key)),
 quotas AS (
-  SELECT q.shard, source_key, count(*) AS quota FROM quotients q JOIN seats s ON s.shard = q.shard AND r <= n GROUP BY ALL),
+  SELECT source_key, shard, count(*) AS quota FROM (
+    SELECT source_key, shard, b,
+           row_number() OVER (PARTITION BY source_key ORDER BY share / (2 * seat - 1) DESC, shard, seat) AS r
+    FROM (SELECT *, unnest(range(1, floor(share)::BIGINT + 100)) AS seat FROM shares))
+  WHERE r <= b GROUP BY ALL),
 plan AS (
-  SELECT o.*, least(coalesce(quota, 0) * {_M.BLOCK_WORDS}, supply * {_M.REPEATS})::BIGINT AS words,
-         CASE WHEN supply > 0 THEN words // supply ELSE 0 END AS passes,
-         CASE WHEN supply > 0 THEN words % supply ELSE 0 END AS run,
-         ('0x' || md5('{_M.SEED}:' || o.source_key || ':' || o.shard)[1:8])::BIGINT
-           % greatest(ceil(supply / {_M.BLOCK_WORDS})::BIGINT, 1) * {_M.BLOCK_WORDS} AS begins
-  FROM offered o LEFT JOIN quotas q ON q.shard = o.shard AND q.source_key = o.source_key),
+  SELECT s.source_key, s.shard, supply, least(coalesce(quota, 0) * 16, supply * 2)::BIGINT AS words,
+         words // supply AS passes, words % supply AS run,
+         ('0x' || md5('mix-1:' || s.source_key || ':' || s.shard)[1:8])::BIGINT % ceil(supply / 16)::BIGINT * 16 AS begins
+  FROM supply s LEFT JOIN quotas q ON q.source_key = s.source_key AND q.shard = s.shard),
 placed AS (
-  SELECT *, (sum(size) OVER (PARTITION BY shard, source_key ORDER BY draw, size ROWS UNBOUNDED PRECEDING))::BIGINT AS e,
-         e - size AS b FROM dealt)
-SELECT d.doc_id, d.size, p.source_size, p.target,
+  SELECT *, (sum(size) OVER (PARTITION BY source_key, shard ORDER BY draw, size ROWS UNBOUNDED PRECEDING))::BIGINT AS e,
+         e - size AS b FROM dealt WHERE size > 0)
+SELECT d.doc_id, d.size, d.source_size, d.target,
        (passes * size + greatest(0, least(e, begins + run, supply) - greatest(b, begins))
          + greatest(0, least(e, begins + run - supply) - greatest(b, 0)))::BIGINT AS taken
 FROM placed d JOIN plan p ON p.shard = d.shard AND p.source_key = d.source_key
+UNION ALL SELECT doc_id, size, source_size, target, 0 FROM dealt WHERE size = 0
 """
 
 ORACLE = {

@@ -360,16 +360,57 @@ def test_targets_share_the_excess(spark):
 def test_quotas_follow_the_highest_quotients(spark):
     rng = random.Random(4)
     made = [(shard, f"k{i}", i, rng.random() ** 3 * 200) for shard in range(3) for i in range(25)]
-    frame = spark.createDataFrame(made, "shard long, source_key string, place int, share double")
-    got = {(r["shard"], r["source_key"]): r["quota"] for r in mixing.shard_quotas(frame).collect()}
+    seats = {k: round(sum(share for s, *_, share in made if s == k)) for k in range(3)}
+    offers = spark.createDataFrame(
+        [(*m, seats[m[0]]) for m in made], "shard long, source_key string, place int, share double, seats long"
+    )
+    got = {
+        (r["shard"], r["source_key"]): r["quota"]
+        for r in mixing.highest_quotients(offers, ["shard"], ["source_key"]).collect()
+    }
     for shard in range(3):
         own = [(k, place, share) for s, k, place, share in made if s == shard]
-        seats = int((sum(int(share * 1000) for *_, share in own) + 500) // 1000)
-        bids = sorted((-share / (2 * n - 1), place, n, k) for k, place, share in own for n in range(1, 400))[:seats]
+        bids = sorted((-share / (2 * n - 1), place, n, k) for k, place, share in own for n in range(1, 400))[: seats[shard]]
         want = Counter(k for *_, k in bids)
         assert all(got[(shard, k)] == want[k] for k, _, _ in own)
 
 
+def test_shard_quotas_sum_to_the_blocks_of_their_source(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP_SHARDS", 8)
+    rng = random.Random(6)
+    made = [(f"s{i}", k, rng.randint(1, 900)) for i in range(4) for k in range(1 + 13 * i)]
+    blocks = {f"s{i}": rng.randint(0, 700) for i in range(4)}
+    got = mixing.shard_quotas(
+        spark.createDataFrame(made, "source_key string, shard long, supply long"),
+        spark.createDataFrame(list(blocks.items()), "source_key string, quota long"),
+    ).collect()
+    total = Counter()
+    for r in got:
+        total[r["source_key"]] += r["quota"]
+    assert {k: total[k] for k in blocks} == blocks
+    supply = {(s, k): n for s, k, n in made}
+    whole = {s: sum(n for (t, _), n in supply.items() if t == s) for s in blocks}
+    assert all(
+        abs(r["quota"] - blocks[r["source_key"]] * supply[r["source_key"], r["shard"]] / whole[r["source_key"]]) <= 4
+        for r in got
+    )
+
+
+def test_thin_sources_reach_their_targets(spark):
+    """The law itself, apart from the rounding: a source's taken words are within a block of its target."""
+    made = [(i, "w " * 12, "a") for i in range(6_000)] + [(10_000 + i, "one", "b") for i in range(40)]
+    made += [(20_000 + i, "two words", "c") for i in range(40)] + [(30_000 + i, "", "b") for i in range(5_000)]
+    frame = spark.createDataFrame(made, "doc_id long, text string, source string")
+    got = mixing.mix(
+        frame, key=["doc_id"], text=F.col("text"), source=F.col("source"), identifier=F.col("doc_id"), shard_rows=200
+    ).withColumn("source", F.expr("CASE WHEN doc_id < 10000 THEN 'a' WHEN doc_id < 20000 OR doc_id >= 30000 THEN 'b' ELSE 'c' END"))
+    assert got.select("shard").distinct().count() >= 25
+    sums = got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n"))
+    rows = {r["source"]: r for r in sums.collect()}
+    assert rows["b"]["target"] == 80 and rows["c"]["target"] == 160 and rows["b"]["n"] == 5_040
+    assert all(abs(r["taken"] - r["target"]) <= mixing.BLOCK_WORDS for r in rows.values())
+
+
 def test_url_edges(spark):
     made = [
         (1, "http://WWW.Example.com/en/1"), (2, "https://example.com/en/2"), (3, "http://a.b.net/fr/x?y"),

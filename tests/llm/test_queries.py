@@ -133,13 +133,21 @@ def mixed_by_hand(rows):
     """Copies of each document by plain Python: targets, quotas by highest quotients, seeded runs, whole documents."""
     white = re.compile("[ \t\n\x0b\f\r]+")
     first = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
-    shards = max(1, -(-len(rows) // mixing.SHARD_ROWS))
-    streams, sizes = defaultdict(list), Counter()
-    for r in rows:
-        size = len([w for w in white.split(r["text"] or "") if w])
-        draw = hashlib.md5(f"{mixing.SEED}:{r['doc_id']}:{r['text'] or ''}".encode()).hexdigest()
-        streams[(int(draw[:8], 16) % shards, r["source"])].append((draw, size, r["doc_id"]))
-        sizes[r["source"]] += size
+    measured = [
+        (
+            hashlib.md5(f"{mixing.SEED}:{r['doc_id']}:{r['text'] or ''}".encode()).hexdigest(),
+            len([w for w in white.split(r["text"] or "") if w]), r["doc_id"], r["source"],
+        )
+        for r in rows
+    ]
+    filled, sizes, streams = Counter(), Counter(), defaultdict(list)
+    for _, size, _, source in measured:
+        sizes[source] += size
+        filled[source] += size > 0
+    for draw, size, doc_id, source in measured:
+        if size:
+            shards = max(1, -(-filled[source] // mixing.SHARD_ROWS))
+            streams[(int(draw[:8], 16) % shards, source)].append((draw, size, doc_id))
     place = {source: i for i, source in enumerate(sorted(sizes))}
     weight = {source: mixing.WEIGHTS[i % len(mixing.WEIGHTS)] for source, i in place.items()}
     # A target is full at its cap; what is left is shared by weight again until no other target passes its cap.
@@ -153,24 +161,30 @@ def mixed_by_hand(rows):
             break
         full |= over
     target = {s: cap[s] if s in full else weight[s] * level for s in sizes}
-    copies = Counter()
-    for shard in range(shards):
-        supply = {s: sum(size for _, size, _ in d) for (k, s), d in streams.items() if k == shard}
-        share = {s: target[s] * n / sizes[s] / mixing.BLOCK_WORDS for s, n in supply.items() if n}
+
+    def highest(share, seats):
+        """Seats by highest quotients; of equal ones the first child's."""
         quota = Counter()
-        for _ in range((sum(int(x * 1000) for x in share.values()) + 500) // 1000):
-            quota[min(share, key=lambda s: (-share[s] / (2 * quota[s] + 1), place[s]))] += 1
-        for s in share:
-            n = supply[s]
-            passes, run = divmod(min(quota[s] * mixing.BLOCK_WORDS, n * mixing.REPEATS), n)
-            start = first(f"{mixing.SEED}:s{s}:{shard}") % -(-n // mixing.BLOCK_WORDS) * mixing.BLOCK_WORDS
+        for _ in range(seats):
+            quota[max(sorted(share), key=lambda c: share[c] / (2 * quota[c] + 1))] += 1
+        return quota
+
+    share = {place[s]: target[s] / mixing.BLOCK_WORDS for s in sizes if target[s] > 0}
+    blocks = highest(share, (sum(int(x * 1000) for x in share.values()) + 500) // 1000)
+    copies = Counter()
+    for s in sizes:
+        supply = {k: sum(size for _, size, _ in d) for (k, t), d in streams.items() if t == s}
+        own = blocks[place[s]]
+        quota = highest({k: own * n / sizes[s] for k, n in supply.items()}, own if supply else 0)
+        for k, n in supply.items():
+            passes, run = divmod(min(quota[k] * mixing.BLOCK_WORDS, n * mixing.REPEATS), n)
+            start = first(f"{mixing.SEED}:s{s}:{k}") % -(-n // mixing.BLOCK_WORDS) * mixing.BLOCK_WORDS
             inside = np.full(n, passes)
             inside[np.arange(start, start + run) % n] += 1
             at = 0
-            for _, size, doc_id in sorted(streams[(shard, s)]):
-                if size:
-                    taken = int(inside[at : at + size].sum())
-                    copies[doc_id] += (2 * taken + size) // (2 * size)
+            for _, size, doc_id in sorted(streams[(k, s)]):
+                taken = int(inside[at : at + size].sum())
+                copies[doc_id] += (2 * taken + size) // (2 * size)
                 at += size
     return +copies
 
