@@ -7,6 +7,7 @@ shared folder one by one, so lost executors cost a re-read.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from functools import wraps
 
@@ -15,26 +16,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linespan.llm import byte_bpe, exact_dedup, mixing, near_dedup, quality_rules
-from linespan.llm.common import collecting, delete_folder, documents, settle
+from linespan.llm.common import collecting, delete_folder, discard, documents, settle
 from linespan.llm.queries import VOCABULARY
 
 
-# Folders of the stage called last. They feed its lazy result, so they stay until the next stage.
-_left: list[str] = []
+# Folders whose stage result nobody holds any more.
+_released: list[str] = []
 
 
 def stage(work: Callable) -> Callable:
-    """Delete what the stage before has left, unless the documents still read from it."""
+    """Tie the folders a stage writes to the frame it returns.
+
+    They are deleted by the first stage called after that frame is gone; so keep it while frames made
+    from it are read. Results of other calls, over the same or other documents, are not touched.
+    """
 
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        read = docs.inputFiles()
-        used = [folder for folder in _left if any(folder.rsplit("/", 1)[-1] in file for file in read)]
-        for folder in set(_left) - set(used):
-            delete_folder(spark, folder)
+        while _released:
+            delete_folder(spark, _released.pop())
         with collecting() as made:
             rows = work(spark, docs, sf_dir)
-        _left[:] = [*used, *made]
+        # A lazy result may still read the documents.
+        rows.read_from = docs
+        weakref.finalize(rows, _released.extend, tuple(made))
         return rows
 
     return run_stage
@@ -92,7 +97,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir)
     for number, (_, work) in enumerate(STAGES, 1):
-        rows = work(spark, rows, sf_dir)
+        before, rows = rows, work(spark, rows, sf_dir)
         if number < len(STAGES):
             rows = settle(rows, f"pipeline-{number}")
+            if number > 1:
+                discard(before)
     return rows
