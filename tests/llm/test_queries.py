@@ -196,3 +196,22 @@ def test_pipeline_mixes_as_often_as_by_hand(spark, small):
     want = mixed_by_hand(rows.collect())
     assert want and max(want.values()) > 1
     assert Counter(r["doc_id"] for r in corpus_pipeline.run(spark, small).collect()) == want
+
+
+def test_stages_leave_other_results_alone(spark, small):
+    """One stage over two corpora, then both are read; folders of results nobody holds are deleted later."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    even, odd = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")
+    first = corpus_pipeline.quality(spark, even, small)
+    second = corpus_pipeline.quality(spark, odd, small)
+    third = corpus_pipeline.exact(spark, second, small)
+    assert {r["doc_id"] % 2 for r in first.collect()} == {0}
+    assert {r["doc_id"] for r in third.collect()} <= {r["doc_id"] for r in second.collect()}
+    assert not corpus_pipeline._released
+    del first
+    left = list(corpus_pipeline._released)
+    assert left and all(spark.read.parquet(f).schema for f in left)
+    again = corpus_pipeline.exact(spark, second, small)
+    assert not corpus_pipeline._released and second.count() and third.count() == again.count()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(left[0])
+    assert not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
