@@ -6,9 +6,14 @@ per bucket. Each round looks up the rank of every adjacent pair in a hash
 table, every row merges its leftmost pair of minimum rank, and the columns
 behind it move up. Rows without a known pair leave the matrix.
 
+A piece of ``WIDE`` bytes or more has a row of its own, cut into blocks that keep their
+minima, so a round costs the same at any length.
+
 Null and empty texts give no ids and decode to no bytes. Repeated rows are
 encoded alike. Texts of any length are encoded whole: a piece's row is as long
-as the piece, and only rows of like length share a matrix.
+as the piece, and only rows of like length share a matrix. Of equal ranks the leftmost pair
+merges first. An empty table gives no rows. All columns of the documents are kept; ``ids`` and
+``decoded`` take the place of columns of that name.
 """
 
 from __future__ import annotations
@@ -26,7 +31,8 @@ from pyspark.sql import functions as F
 
 from linespan.llm.common import tidy
 
-NO_PAIR = np.int32(2**31 - 1)
+NO_PAIR_ID = 2**31 - 1
+NO_PAIR = np.int32(NO_PAIR_ID)
 CACHED_PIECES = 250_000
 MATRIX_CELLS = 1 << 20
 WIDE = 512
@@ -74,6 +80,16 @@ class PairTable:
         mixed = keys * np.uint64(0x9E3779B97F4A7C15)
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def one(self, left: int, right: int) -> int:
+        """Merged id of one pair, NO_PAIR where there is none."""
+        key = left << 32 | right
+        slot = ((key * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
+        while (value := self.values.item(slot)) != NO_PAIR_ID:
+            if self.keys.item(slot) == key:
+                return value
+            slot = (slot + 1) & int(self.mask)
+        return NO_PAIR_ID
+
     def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merged id of each pair, NO_PAIR where there is none. Ids below 0 never pair."""
         keys = ((left.astype(np.uint64) << np.uint64(32)) | (right.astype(np.uint64) & np.uint64(0xFFFFFFFF))).ravel()
@@ -133,24 +149,16 @@ class Encoder:
                 ids, merged = ids[:, :used], merged[:, : used - 1]
             every = np.arange(len(rows))
             ids[every, at] = best
-            if len(rows) == 1:
-                # One long row: move the tail in place.
-                j = int(at[0])
-                ids[0, j + 1 : -1] = ids[0, j + 2 :]
-                merged[0, j:-1] = merged[0, j + 1 :]
-                ids[0, -1] = -1
-                merged[0, -1] = NO_PAIR
-            else:
-                columns = np.arange(ids.shape[1] - 1)
-                source = columns + (columns > at[:, None])
-                ids = np.concatenate(
-                    [np.take_along_axis(ids, source, 1), np.full((len(rows), 1), -1, np.int32)], axis=1
-                )
-                columns = np.arange(merged.shape[1] - 1)
-                source = columns + (columns >= at[:, None])
-                merged = np.concatenate(
-                    [np.take_along_axis(merged, source, 1), np.full((len(rows), 1), NO_PAIR)], axis=1
-                )
+            columns = np.arange(ids.shape[1] - 1)
+            source = columns + (columns > at[:, None])
+            ids = np.concatenate(
+                [np.take_along_axis(ids, source, 1), np.full((len(rows), 1), -1, np.int32)], axis=1
+            )
+            columns = np.arange(merged.shape[1] - 1)
+            source = columns + (columns >= at[:, None])
+            merged = np.concatenate(
+                [np.take_along_axis(merged, source, 1), np.full((len(rows), 1), NO_PAIR)], axis=1
+            )
             # Only the pairs that hold the new token change.
             merged[every, at] = np.where(
                 at + 1 < ids.shape[1],
@@ -163,6 +171,40 @@ class Encoder:
             )
         return results
 
+    def _merge_wide(self, piece: bytes) -> bytes:
+        """Ids of one long piece: the same rounds over a row cut into blocks.
+
+        Each block keeps its minimum, so a round looks at the minima and at the blocks of the pairs it
+        changes. Merged places stay as gaps that neighbours skip.
+        """
+        n = len(piece)
+        start = self.byte_ids[np.frombuffer(piece, np.uint8)]
+        ids, after, before = start.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        merged = np.full(-(-n // WIDE) * WIDE, NO_PAIR)
+        merged[: n - 1] = self.pairs.lookup(start[:-1], start[1:])
+        blocks = merged.reshape(-1, WIDE)
+        least = blocks.min(axis=1)
+        none, find = int(NO_PAIR), self.pairs.one
+        while True:
+            block = int(least.argmin())
+            best = int(least[block])
+            if best == none:
+                return np.array([i for i in ids if i >= 0], np.int32).tobytes()
+            at = block * WIDE + int(blocks[block].argmin())
+            gone = after[at]
+            following, previous = after[gone], before[at]
+            ids[at], ids[gone], after[at] = best, -1, following
+            merged[gone] = none
+            if following < n:
+                before[following] = at
+                merged[at] = find(best, ids[following])
+            else:
+                merged[at] = none
+            if previous >= 0:
+                merged[previous] = find(ids[previous], best)
+            for changed in {block, gone // WIDE, max(previous, 0) // WIDE}:
+                least[changed] = blocks[changed].min()
+
     def _learn(self, pieces: list[str]) -> None:
         raw = [p.encode() for p in pieces]
         buckets: dict[int, list[int]] = {}
@@ -171,12 +213,15 @@ class Encoder:
             if whole is not None:
                 self.known[pieces[number]] = np.int32(whole).tobytes()
             else:
-                # Lengths within an eighth of each other share a bucket.
                 size = len(piece)
+                if size >= WIDE:
+                    self.known[pieces[number]] = self._merge_wide(piece)
+                    continue
+                # Lengths within an eighth of each other share a bucket.
                 step = 1 << max(0, size.bit_length() - 4)
-                buckets.setdefault(size if size >= WIDE else -(-size // step) * step, []).append(number)
+                buckets.setdefault(-(-size // step) * step, []).append(number)
         for width, numbers in buckets.items():
-            rows = 1 if width >= WIDE else max(1, MATRIX_CELLS // width)
+            rows = max(1, MATRIX_CELLS // width)
             for start in range(0, len(numbers), rows):
                 part = numbers[start : start + rows]
                 for number, ids in zip(part, self._merge_matrix([raw[n] for n in part]), strict=True):

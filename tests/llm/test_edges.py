@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from linespan.llm import (
@@ -256,6 +258,23 @@ def test_components_of_a_path_and_a_hub(spark):
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100)}
 
 
+def test_bpe_of_long_pieces_in_seconds():
+    ranks = byte_bpe.read_ranks(VOCABULARY)
+    encoder = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzé"
+    texts = ["".join(rng.choices(letters, k=k)) for k in (510, 511, 512, 513, 1024, 1025, 30_000)]
+    texts += ["a" * 60_000, "ab" * 5_000, "".join(rng.choices(letters, k=1_000_000))]
+    begun = time.monotonic()
+    got = encoder.encode(texts)
+    assert time.monotonic() - begun < 60
+    for text, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == library.encode_ordinary(text)
+
+
 def test_bpe_edges(spark, docs, nothing, rows):
     encoded = byte_bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN)
     assert encoded.columns == [*docs.columns, "ids"]
