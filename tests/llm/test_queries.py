@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from linespan.llm import byte_bpe, mixing
+from linespan.llm import byte_bpe, language_id, mixing, sharding
 from linespan.llm.common import settle
 from linespan.llm.queries import ORACLE, QUERIES, VOCABULARY
 from verification.compare import compare, connect
@@ -215,3 +218,51 @@ def test_stages_leave_other_results_alone(spark, small):
     assert not corpus_pipeline._released and second.count() and third.count() == again.count()
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(left[0])
     assert not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def differenced_by_hand(sizes, shards):
+    """Loads after differencing, by plain lists: always the two partial partitions of largest spread."""
+    parts = [(size, -k, [size] + [0] * (shards - 1)) for k, size in enumerate(sorted(sizes, reverse=True))]
+    number = len(parts)
+    while len(parts) > 1:
+        parts.sort()
+        (_, _, first), (_, _, second) = parts.pop(), parts.pop()
+        loads = sorted((a + b for a, b in zip(first, reversed(second), strict=True)), reverse=True)
+        parts.append((loads[0] - loads[-1], -number, loads))
+        number += 1
+    return parts[0][2]
+
+
+def test_shards_equal_differencing_by_hand(spark, small):
+    """Heavy groups and packs from the texts alone; loads, checksums and whole groups against brute force."""
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    rows = QUERIES["op1_differencing_shards"](spark, small).collect()
+    total, groups, items = sum(len(t) + 1 for t in texts.values()), Counter(), Counter()
+    for text in texts.values():
+        groups[hashlib.md5(text).hexdigest()] += len(text) + 1
+    for group, size in groups.items():
+        heavy = size * sharding.PACKS >= total
+        items[group if heavy else xxhash.xxh64_intdigest(group.encode(), 42) % sharding.PACKS] += size
+    loads = Counter()
+    for r in rows:
+        loads[r["shard"]] += r["size"]
+        assert r["text_crc32"] == zlib.crc32(texts[r["doc_id"]])
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    want = differenced_by_hand(items.values(), sharding.SHARDS)
+    assert max(loads.values()) - min(loads.values()) <= max(want) - min(want) + 1
+    assert sorted(loads.values()) == sorted(want)
+
+
+def test_language_depends_on_the_text_alone(spark, small):
+    """Other ids, languages and sources, repeated rows and rows in another order leave predictions unchanged."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    training = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("label"))
+    model = language_id.trained(training, per_language=100)
+    plain = language_id.predict(docs, model, key=["doc_id"], text=F.col("text")).collect()
+    moved = docs.unionByName(docs.limit(50)).select(
+        (F.col("doc_id") * -7 + 13).alias("doc_id"), "text", F.lit("xx").alias("lang"), F.lit(None).cast("string").alias("source"),
+    ).repartition(5)
+    other = language_id.predict(moved, model, key=["doc_id"], text=F.col("text")).collect()
+    assert len(other) == len(plain) + 50
+    want = {r["doc_id"] * -7 + 13: (r["lang_pred"], r["score"]) for r in plain}
+    assert all(want[r["doc_id"]][0] == r["lang_pred"] and abs(want[r["doc_id"]][1] - r["score"]) < 1e-12 for r in other)
