@@ -62,8 +62,13 @@ PIECE_BYTES = 1 << 20
 # Words whose ids a worker keeps, and words tokenised at once.
 REMEMBERED, WORDS_AT_ONCE = 800_000, 500
 # Words that are one piece: letters without combining marks, or marks. A border lies between the two.
-PLAIN_WORD = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[.,;:!?]+")
-MARK_AFTER_LETTER = re.compile(rb"(?<=[A-Za-z])(?=[.,;:!?])")
+LATER_LETTER = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+PLAIN_WORD = re.compile(rb"(?:[A-Za-z]|" + LATER_LETTER + rb")+|[.,;:!?#$%&*]+")
+MARK_AFTER_LETTER = re.compile(
+    rb"[.,;:!?#$%&*](?:(?<=[A-Za-z].)|(?<=" + LATER_LETTER + rb".))", re.DOTALL
+)
+# First byte of the combining marks that join ASCII letters to one letter.
+JOINING_MARK = b"\xcc"
 KEPT_MODULE = "token_words_of_this_worker"
 FILES = "path string, part int, number int, n_docs long, n_ids long"
 
@@ -243,7 +248,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.end, self.drops_white = np.array([end_id], "<u4"), drops_white
-        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        stated = json.loads(definition)
+        suffix = stated["model"].get("end_of_word_suffix")
+        normalizer = stated.get("normalizer") or {}
+        self.lowers = any(n["type"] == "Lowercase" for n in normalizer.get("normalizers", [normalizer]) if n)
         self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if suffix:
             self.closes[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
@@ -255,20 +263,29 @@ class Encoder:
     def _learn(self, words: list[bytes]) -> None:
         together = self.closes.any()
         plain = [w for w in words if together and PLAIN_WORD.fullmatch(w)]
-        for start in range(0, len(plain), WORDS_AT_ONCE):
-            part = plain[start : start + WORDS_AT_ONCE]
-            ids = self.whole(b" ".join(part))
+        parts = [plain[start : start + WORDS_AT_ONCE] for start in range(0, len(plain), WORDS_AT_ONCE)]
+        for part, ids in zip(parts, self._each([b" ".join(part) for part in parts]), strict=True):
             ends = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
             if len(ends) != len(part):
                 raise ValueError("a word has several end-of-word tokens")
             packed = ids.tobytes()
             self.known.update(zip(part, map(packed.__getitem__, map(slice, [0, *ends], ends)), strict=True))
-        for word in words:
-            if word not in self.known:
-                self.known[word] = self.whole(word).tobytes()
+        others = [word for word in words if word not in self.known]
+        self.known.update(zip(others, (ids.tobytes() for ids in self._each(others)), strict=True))
+
+    def _each(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of each text; offsets into the texts are not asked for."""
+        for start in range(0, len(texts), WORDS_AT_ONCE):
+            part = [text.decode() for text in texts[start : start + WORDS_AT_ONCE]]
+            for found in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
+                yield np.array(found.ids, "<u4")
+
+    def _lowered(self, text: bytes) -> bytes:
+        """ASCII letters lower-cased before the lookup, where the tokenizer does so itself."""
+        return text.lower() if self.lowers and JOINING_MARK not in text else text
 
     def _packed(self, texts: list[bytes]) -> list[bytes]:
-        lists = [MARK_AFTER_LETTER.sub(b" ", text).split() for text in texts]
+        lists = [MARK_AFTER_LETTER.sub(rb" \g<0>", self._lowered(text)).split() for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         self._learn(list(set().union(*lists).difference(self.known)))
