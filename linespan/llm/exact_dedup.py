@@ -6,7 +6,7 @@ keeps, per digest and without expiry, the number of rows and the identifier
 and locator of the row that stays. The state is on disk (RocksDB) and in the
 checkpoint, so a lost executor or a restart loses nothing. Where the state
 reports a hit, the full normalised bytes are compared with those the locator
-points to; rows whose bytes differ in spite of equal digests are grouped by
+points to (rows of a hot digest in several tasks, each with the head row); rows whose bytes differ in spite of equal digests are grouped by
 their bytes.
 
 The text with every character of ``[\\x20\\x09-\\x0D]`` deleted decides
@@ -28,7 +28,10 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 # An instance preallocates files; closed after its commit, only those at work hold any.
 UNLOAD = "spark.sql.streaming.stateStore.unloadOnCommit"
-BYTES_PER_TRIGGER = 256 << 30
+# Micro-batches a run takes, about, at every size; later ones meet the stored state.
+BATCHES = 4
+# Rows of one digest that meet their head in one task: this many, or this share of all rows.
+SALTED_ROWS, SALTED_SHARE = 100, 1 / 4096
 
 RANK = "struct<shorter: bigint, no_id: boolean, id: {id}, locator: bigint>"
 
@@ -61,14 +64,24 @@ def store(docs: DataFrame, digest, *, text: str = "text", identifier: str = "doc
     return folder
 
 
-def digest_state(spark, folder: str, bytes_per_trigger: int = BYTES_PER_TRIGGER) -> DataFrame:
+def trigger_bytes(stored: DataFrame, batches: int = BATCHES) -> int:
+    """Bytes of a micro-batch so that the stored files give about ``batches`` of them."""
+    files = stored.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return -(-(files.agg(F.sum("file_size")).first()[0] or 1 << 30) // batches)
+
+
+def digest_state(spark, folder: str, bytes_per_trigger: int | None = None) -> DataFrame:
     """Run the stream to the end of the stored copy; one row per digest.
 
+    Without ``bytes_per_trigger`` the copy is taken in about ``BATCHES`` parts.
+
     Every micro-batch adds the digests it changed, under its own number, so a
     batch that runs again replaces its rows. Counts only grow, so a digest's
     row with the highest count is its state.
     """
-    thin = spark.read.parquet(folder).select("digest", "points", "id", "locator")
+    stored = spark.read.parquet(folder)
+    thin = stored.select("digest", "points", "id", "locator")
+    bytes_per_trigger = bytes_per_trigger or trigger_bytes(stored)
     arriving = (
         spark.readStream.schema(thin.schema).option("maxBytesPerTrigger", str(bytes_per_trigger)).parquet(folder)
     )
@@ -95,13 +108,18 @@ def digest_state(spark, folder: str, bytes_per_trigger: int = BYTES_PER_TRIGGER)
     )
 
 
+def _to_salts(rows: DataFrame) -> DataFrame:
+    """Each row once for every salt of its digest."""
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+
+
 def sha256_digest(content: Column, hexed: Column) -> Column:
     return F.unhex(hexed)
 
 
 def deduplicate(
     docs: DataFrame, *, text: str = "text", identifier: str = "doc_id", digest=sha256_digest,
-    bytes_per_trigger: int = BYTES_PER_TRIGGER,
+    bytes_per_trigger: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Return the located copy of the documents and one verdict per row of it.
 
@@ -111,31 +129,47 @@ def deduplicate(
     folder = store(docs, digest, text=text, identifier=identifier)
     stored = spark.read.parquet(folder)
     state = digest_state(spark, folder, bytes_per_trigger)
-    # Written, as the groups below, so that the joins have shuffles of their own and hot digests can be split.
+    # A hot digest is dealt to several salts, and its one head row goes to each of them.
+    share = max(SALTED_ROWS, int(stored.count() * SALTED_SHARE))
     hits = settle(
-        state.where("seen > 1").select("digest", F.col("stays.locator").alias("head_locator")), "exact-heads"
+        state.where("seen > 1").select(
+            "digest", F.col("stays.locator").alias("head_locator"),
+            F.ceil(F.col("seen") / share).cast("int").alias("salts"),
+        ),
+        "exact-heads",
     )
+    # Fewer than 1 / SALTED_SHARE digests hold more rows than the share.
+    hot = F.broadcast(hits.where("salts > 1").select("digest", "salts"))
+    place = F.pmod(F.xxhash64("locator"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")
     members = settle(
         stored.select("digest", "locator", "id", "points", normalised(F.col(f"doc.`{text}`")).alias("content"))
-        .join(hits.hint("merge"), "digest"),
+        .join(hot, "digest", "left")
+        .select("digest", "locator", "id", "points", "content", place)
+        .join(_to_salts(hits), ["digest", "salt"]),
         "exact-hits",
     )
-    heads = members.where("locator = head_locator").select("digest", F.col("content").alias("head_content"))
+    heads = members.where("locator = head_locator").select(
+        "digest", "salts", F.col("content").alias("head_content")
+    )
     checked = settle(
-        members.join(heads, "digest").select(
-            "digest", "locator", "id", "points",
+        members.drop("salts").join(_to_salts(heads), ["digest", "salt"]).select(
+            "digest", "salt", "salts", "locator", "id", "points",
             F.when(F.col("content") != F.col("head_content"), F.col("content")).alias("variant"),
         ),
         "exact-checked",
     )
     groups = settle(
         checked.groupBy("digest", "variant").agg(
-            F.count(F.lit(1)).alias("group_size"), F.min(_rank()).alias("stays")
+            F.count(F.lit(1)).alias("group_size"), F.min(_rank()).alias("stays"), F.max("salts").alias("salts")
         ),
         "exact-groups",
     )
-    same = checked["digest"].eqNullSafe(groups["digest"]) & checked["variant"].eqNullSafe(groups["variant"])
-    assigned = checked.join(groups.hint("merge"), same).select(
+    dealt = _to_salts(groups)
+    same = (
+        (checked["digest"] == dealt["digest"]) & (checked["salt"] == dealt["salt"])
+        & checked["variant"].eqNullSafe(dealt["variant"])
+    )
+    assigned = checked.join(dealt, same).select(
         checked["locator"], "group_size",
         F.col("stays.id").alias("keep_id"), F.col("stays.locator").alias("keep_locator"),
     )
@@ -157,4 +191,4 @@ def kept_rows(docs: DataFrame, *, text: str = "text", identifier: str = "doc_id"
     return stored.join(verdicts.where("kept"), "locator", "left_semi").select("doc.*")
 
 
-__all__ = ["deduplicate", "digest_state", "kept_rows", "normalised", "sha256_digest", "store"]
+__all__ = ["deduplicate", "digest_state", "kept_rows", "normalised", "sha256_digest", "store", "trigger_bytes"]

@@ -116,6 +116,24 @@ def test_exact_dedup_over_several_batches(docs):
     assert Counter(map(tuple, whole.select(*pick).collect())) == Counter(map(tuple, split.select(*pick).collect()))
 
 
+def test_exact_dedup_meets_stored_state_and_salts_hot_digests(spark, monkeypatch):
+    rows = [(i, "hot" if i % 3 else f"text {i % 60}") for i in range(600)] + [(None, "hot"), (7, "ho t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    monkeypatch.setattr(exact_dedup, "SALTED_ROWS", 20)
+    stored = spark.read.parquet(exact_dedup.store(docs, exact_dedup.sha256_digest))
+    limit = exact_dedup.trigger_bytes(stored)
+    total = stored.select("_metadata.file_path", "_metadata.file_size").distinct().agg({"file_size": "sum"}).first()[0]
+    assert total / 5 < limit <= total / 4 + 1
+    verdicts = exact_dedup.deduplicate(docs)[1].collect()
+    groups = {}
+    for number, text in rows:
+        groups.setdefault(text.replace(" ", ""), []).append((-len(text), number is None, number or 0))
+    stays = {text: min(ids)[2] for text, ids in groups.items()}
+    sizes = {hashlib.sha256(text.encode()).hexdigest(): (len(ids), stays[text]) for text, ids in groups.items()}
+    assert len(verdicts) == len(rows) and sum(v.kept for v in verdicts) == len(groups)
+    assert all((v.group_size, v.keep_id) == sizes[v.text_sha256] for v in verdicts)
+
+
 def line_cut(rows, least, keep):
     keys = lambda t: [line.strip().lower() for line in (t or "").encode().split(b"\n")]
     counts = Counter(k for _, t, *_ in rows for k in set(keys(t)) if k)
