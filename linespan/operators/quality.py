@@ -2,7 +2,8 @@
 
 Each ``dq_*`` function returns one row per rule, shaped like the quality log.
 All row rules of a table are counted in one pass over it; uniqueness and
-reference rules add one aggregate or anti-join each.
+reference rules add one aggregate or anti-join each, those over calls share
+two aggregates.
 """
 
 from __future__ import annotations
@@ -501,6 +502,90 @@ def dq_shapes(
     )
 
 
+# Sequence numbers of one trip that are counted together; a longer trip is dealt to several tasks.
+SEQUENCE_BLOCK_BITS = 10
+
+
+def call_rules(calls: DataFrame, trips: DataFrame, stop_versions: DataFrame) -> DataFrame:
+    """Rules over staged calls, from two scans.
+
+    One aggregate by stop counts rows, bad values and unknown stops and combines before its
+    shuffle. The other places the calls by trip once: calls of equal sequence, then of one trip,
+    are counted there, and only counts by trip meet the known trips.
+    """
+    table = "gtfs_stop_times"
+    bad = (
+        is_blank("trip_id")
+        | is_blank("stop_id")
+        | ~F.coalesce(whole_number("stop_sequence") >= 0, F.lit(False))
+        | call_seconds("arrival_time").isNull()
+        | call_seconds("departure_time").isNull()
+        | _coded_bad("pickup_type", 3)
+        | _coded_bad("drop_off_type", 3)
+        | _bad_distance("shape_dist_traveled")
+        | _coded_bad("timepoint", 1)
+    )
+    by_stop = _with_known(
+        calls.select(
+            trimmed("stop_id").alias("_key"), F.lit(1).cast("bigint").alias("_rows"),
+            bad.cast("bigint").alias("_bad"),
+        ),
+        stop_versions.select(F.col("stop_id").alias("_key")),
+    )
+    placed = calls.select(
+        trimmed("trip_id").alias("_key"), whole_number("stop_sequence").alias("_sequence")
+    ).withColumn("_block", F.shiftright("_sequence", SEQUENCE_BLOCK_BITS))
+    of_trip = (
+        placed.repartition("_key", "_block")
+        .groupBy("_key", "_block", "_sequence").agg(F.count("*").alias("_rows"))
+        .groupBy("_key", "_block")
+        .agg(F.sum("_rows").alias("_rows"), F.count_if(F.col("_rows") > 1).alias("_bad"))
+    )
+    by_trip = _with_known(
+        of_trip.select("_key", "_rows", "_bad"), trips.select(F.col("trip_id").alias("_key"))
+    )
+    rows, unknown = F.col("_rows"), F.col("_unknown")
+    empty = F.when(rows == 0, 1).otherwise(0)
+    return by_stop.select(
+        F.inline(
+            F.array(
+                _result("50503 call rows are staged", "COMPLETENESS", table, F.greatest(rows, F.lit(1)), empty),
+                _result("50504 call values are valid", "VALIDITY", table, rows, F.col("_bad")),
+                _result("50507 stop version resolves", "REFERENCE", table, rows, unknown),
+            )
+        )
+    ).unionByName(
+        by_trip.select(
+            F.inline(
+                F.array(
+                    _result("50505 trip sequence is unique", "UNIQUENESS", table, rows, F.col("_bad")),
+                    _result("50506 trip resolves", "REFERENCE", table, rows, unknown),
+                )
+            )
+        )
+    )
+
+
+def _with_known(counted: DataFrame, known: DataFrame) -> DataFrame:
+    """Totals of counted rows and of those under no known key; a NULL key is never known.
+
+    Both sides meet in one aggregate by key, which combines before its shuffle.
+    """
+    zero = F.lit(0).cast("bigint")
+    marks = known.where("_key IS NOT NULL").select(
+        "_key", zero.alias("_rows"), zero.alias("_bad"), F.lit(True).alias("_known")
+    )
+    by_key = counted.withColumn("_known", F.lit(False)).unionByName(marks).groupBy("_key").agg(
+        F.sum("_rows").alias("_rows"), F.sum("_bad").alias("_bad"), F.bool_or("_known").alias("_known")
+    )
+    nothing = F.lit(0)
+    return by_key.agg(
+        F.coalesce(F.sum("_rows"), nothing).alias("_rows"),
+        F.coalesce(F.sum("_bad"), nothing).alias("_bad"),
+        F.coalesce(F.sum(F.when(~F.col("_known"), F.col("_rows"))), nothing).alias("_unknown"),
+    )
+
+
 def dq_stop_times(
     snapshots: DataFrame,
     runs: DataFrame,
@@ -516,34 +601,7 @@ def dq_stop_times(
         [
             snapshot_loaded(snapshots, snapshot_key, "50501 snapshot is loaded"),
             stage_succeeded(runs, snapshot_key, ENTITY_STAGES[3], "50502 trip stage succeeded"),
-            rows_rules(
-                stop_times,
-                "gtfs_stop_times",
-                {
-                    "50504 call values are valid": is_blank("trip_id")
-                    | is_blank("stop_id")
-                    | ~F.coalesce(whole_number("stop_sequence") >= 0, F.lit(False))
-                    | call_seconds("arrival_time").isNull()
-                    | call_seconds("departure_time").isNull()
-                    | _coded_bad("pickup_type", 3)
-                    | _coded_bad("drop_off_type", 3)
-                    | _bad_distance("shape_dist_traveled")
-                    | _coded_bad("timepoint", 1)
-                },
-                present="50503 call rows are staged",
-            ),
-            unique_rule(
-                stop_times, "gtfs_stop_times", "50505 trip sequence is unique",
-                [trimmed("trip_id"), whole_number("stop_sequence")],
-            ),
-            resolves_rule(
-                stop_times, "gtfs_stop_times", "50506 trip resolves", trimmed("trip_id"),
-                own_trips, "trip_id",
-            ),
-            resolves_rule(
-                stop_times, "gtfs_stop_times", "50507 stop version resolves", trimmed("stop_id"),
-                stop_versions, "stop_id",
-            ),
+            call_rules(stop_times, own_trips, stop_versions),
             agrees_rule(
                 stored_events, source_events, EVENT_KEYS, EVENT_COMPARE,
                 "fact_scheduled_stop_event", "50511 stored events agree",

@@ -17,8 +17,9 @@ MANIFEST = "export_manifest"
 METADATA = "serving_metadata"
 POINTER = "published_versions"
 
-# Serving tables with their lookup columns. Rows are sorted by
-# the first lookup inside each file, so readers skip files by statistics.
+# Serving tables with their lookup columns. Rows are placed in
+# ranges of the first lookup and sorted, so readers skip files by statistics;
+# columns of the other lookups carry Bloom filters (see write_served).
 SERVING_LOOKUPS: dict[str, tuple[tuple[str, ...], ...]] = {
     "dashboard_kpis": (),
     "platform_summary": (),
@@ -93,6 +94,24 @@ def check_lookups(rows: DataFrame, table: str) -> None:
         raise ExportError(f"Lookup columns missing from {table}: {missing}")
 
 
+def write_served(rows: DataFrame, path: str, lookups: tuple[tuple[str, ...], ...]) -> int:
+    """Write one table so that each lookup opens few row groups; return its number of rows.
+
+    A file holds a range of the first lookup, so its statistics decide. Values of the other
+    lookups lie anywhere: a reader asks the dictionary of a column chunk, or the Bloom filter
+    written where the values are too many for a dictionary.
+    """
+    ordered = rows
+    if lookups:
+        ordered = rows.repartitionByRange(*lookups[0]).sortWithinPartitions(*lookups[0])
+    written, observation = counted(ordered)
+    writer = written.write.mode("overwrite")
+    for column in sorted({column for lookup in lookups[1:] for column in lookup}):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
+    return observation.get["rows"]
+
+
 def serving_export(
     w: Warehouse, spark: SparkSession, root: str, version: str, as_of: str
 ) -> DataFrame:
@@ -107,12 +126,8 @@ def serving_export(
     for table in EXPORT_ORDER:
         rows = makers[table](done)
         check_lookups(rows, table)
-        lookups = SERVING_LOOKUPS[table]
-        ordered = rows.sortWithinPartitions(*lookups[0]) if lookups else rows
-        written, observation = counted(ordered)
         path = f"{root}/{version}/{table}"
-        written.write.mode("overwrite").parquet(path)
-        counts[table] = observation.get["rows"]
+        counts[table] = write_served(rows, path, SERVING_LOOKUPS[table])
         done[table] = spark.read.schema(rows.schema).parquet(path)
     manifest = export_manifest(spark, counts, as_of)
     manifest.write.mode("overwrite").parquet(f"{root}/{version}/{MANIFEST}")
@@ -155,6 +170,23 @@ def served_row_counts(spark: SparkSession, root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def served_lookup_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Rows per value of every lookup of the published version; tables without one in one row."""
+    version = published_version(spark, root)
+    parts = []
+    for table, lookups in SERVING_LOOKUPS.items():
+        rows = spark.read.parquet(f"{root}/{version}/{table}")
+        for lookup in lookups or ((),):
+            value = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in lookup])
+            parts.append(
+                rows.groupBy(value.alias("lookup_value")).agg(F.count("*").alias("row_count")).select(
+                    F.lit(table).alias("table_name"), F.lit(",".join(lookup)).alias("lookup"),
+                    "lookup_value", "row_count",
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def serving_metadata(manifest: DataFrame, exported_at: str) -> DataFrame:
     """Key and value rows that describe one export."""
     totals = manifest.agg(
