@@ -145,7 +145,7 @@ def deduplicate(
         stored.select("digest", "locator", "id", "points", normalised(F.col(f"doc.`{text}`")).alias("content"))
         .join(hot, "digest", "left")
         .select("digest", "locator", "id", "points", "content", place)
-        .join(_to_salts(hits), ["digest", "salt"]),
+        .join(_to_salts(hits).hint("merge"), ["digest", "salt"]),
         "exact-hits",
     )
     heads = members.where("locator = head_locator").select(
@@ -164,7 +164,7 @@ def deduplicate(
         ),
         "exact-groups",
     )
-    dealt = _to_salts(groups)
+    dealt = _to_salts(groups).hint("merge")
     same = (
         (checked["digest"] == dealt["digest"]) & (checked["salt"] == dealt["salt"])
         & checked["variant"].eqNullSafe(dealt["variant"])
