@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from linespan.llm import bloom
 from linespan.llm.common import discard, settle, tidy, words_of
+from linespan.llm.exact_dedup import SALTED_ROWS, SALTED_SHARE
 from linespan.llm.near_dedup import mixed, windows
 
 WINDOW = 20
@@ -234,11 +235,14 @@ def deduplicate(docs: DataFrame, *, identifier: Column, text: Column) -> DataFra
     named = docs.select(identifier.alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     named = named.withColumn("digest", F.md5("text"))
     order = F.struct(F.col("id").isNull().alias("no_id"), "id")
-    heads = settle(named.groupBy("digest").agg(F.min(order).getField("id").alias("head")), "passage-heads")
+    heads = settle(
+        named.groupBy("digest").agg(F.min(order).getField("id").alias("head"), F.count(F.lit(1)).alias("copies")),
+        "passage-heads",
+    )
     same = (named["digest"] == heads["digest"]) & named["id"].eqNullSafe(heads["head"])
     stored = settle(
         named.join(heads, same).select(
-            F.monotonically_increasing_id().alias("row_key"), "id", named["digest"], "text"
+            F.monotonically_increasing_id().alias("row_key"), "id", named["digest"], "copies", "text"
         ),
         "passage-docs",
     )
@@ -257,14 +261,24 @@ def deduplicate(docs: DataFrame, *, identifier: Column, text: Column) -> DataFra
     starts = settle(repeated_starts(found), "passage-starts")
     discard(found)
     cut = _cut(stored, starts).select("id", "n_words", "n_removed", "kept_text")
-    # Later copies repeat their head from the first word to the last.
+    # Later copies repeat their head from the first word to the last. A hot text is dealt to several
+    # salts by identifier, and the one row of its class goes to each of them.
     words = words_of(F.col("text"))
     short = F.when(F.size(words) < WINDOW, F.array_join(words, " ")).otherwise("")
-    of_class = settle(
-        stored.select("digest", F.size(words).cast("long").alias("n_words"), short.alias("short_text")), "passage-classes"
+    share = max(SALTED_ROWS, int((heads.agg(F.sum("copies")).first()[0] or 0) * SALTED_SHARE))
+    classes = settle(
+        stored.where("copies > 1").select(
+            "digest", F.col("id").alias("head"), F.size(words).cast("long").alias("n_words"),
+            short.alias("short_text"), F.ceil(F.col("copies") / share).cast("int").alias("salts"),
+        ),
+        "passage-classes",
     ).dropDuplicates(["digest"])
-    later = named.select("id", "digest").join(heads, "digest").where(~F.col("id").eqNullSafe(F.col("head")))
-    copies = later.join(of_class, "digest").select(
+    # Fewer than 1 / SALTED_SHARE texts have more copies than the share.
+    hot = F.broadcast(classes.where("salts > 1").select("digest", "salts"))
+    salt = F.pmod(F.xxhash64("id"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")
+    later = named.select("id", "digest").join(hot, "digest", "left").select("id", "digest", salt)
+    dealt = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    copies = later.join(dealt.hint("merge"), ["digest", "salt"]).where(~F.col("id").eqNullSafe(F.col("head"))).select(
         "id", "n_words",
         F.when(F.col("n_words") < WINDOW, 0).otherwise(F.col("n_words")).cast("long").alias("n_removed"),
         F.col("short_text").alias("kept_text"),

@@ -194,6 +194,18 @@ def test_substring_dedup_of_shifted_passages(spark):
     assert Counter(map(tuple, got)) == brute_passages(made)
 
 
+def test_substring_dedup_deals_hot_texts(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SALTED_ROWS", 20)
+    rng = random.Random(12)
+    passage, short = words(rng, 45), "one  two\tthree"
+    texts = [passage] * 130 + [short] * 90 + [None, ""] * 15 + [words(rng, 30) for _ in range(25)]
+    rng.shuffle(texts)
+    made = [*enumerate(texts), (None, passage), (None, short), (3, texts[3])]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    got = substring_dedup.deduplicate(frame, identifier=F.col("doc_id"), text=F.col("text"))
+    assert Counter(map(tuple, got.collect())) == brute_passages(made)
+
+
 def brute_groups(rows, percent):
     def shingles(text):
         w = (text or "").encode().lower().split()
