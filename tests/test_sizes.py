@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from linespan.session import bound_tasks
+from linespan.session import bound_tasks, settled
 from verification.world import World
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -25,3 +25,8 @@ def test_rows_of_a_task_do_not_grow_with_the_input(spark, small):
         assert largest_task(1_200_000) < 1.6 * largest_task(300_000)
     finally:
         bound_tasks(spark, 0)
+
+
+def test_written_tables_are_compressed_with_zstd(spark):
+    path = settled(spark.range(9), "codec").inputFiles()[0]
+    assert path.endswith(".zstd.parquet")
