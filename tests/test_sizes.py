@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 
 from pyspark.sql import functions as F
 
+from linespan.plans import views
+from linespan.plans.warehouse import Warehouse
 from linespan.session import bound_tasks, settled
 from verification.world import World
 
@@ -30,3 +33,47 @@ def test_rows_of_a_task_do_not_grow_with_the_input(spark, small):
 def test_written_tables_are_compressed_with_zstd(spark):
     path = settled(spark.range(9), "codec").inputFiles()[0]
     assert path.endswith(".zstd.parquet")
+
+
+def test_active_operators_are_distinct_without_a_row_per_operator_and_day(spark):
+    days = [dt.date(1969, 12, 30), dt.date(1969, 12, 31), dt.date(1970, 1, 1), dt.date(1970, 3, 7)]
+    # Route, operator, indexes of its days; routes 4 and 5 repeat an operator, 6 has none.
+    served = [("r1", "o1", (0, 1)), ("r2", "o2", (1, 2, 3)), ("r4", "o1", (1, 2)), ("r5", "o2", (3,)), ("r6", None, (0, 2))]
+    facts = [(1, days[i], r, o, 2, 5, 3) for r, o, at in served for i in at]
+    facts.append(facts[0])
+    modes = {"r1": 3, "r2": 3, "r4": 0, "r5": 3, "r6": 0}
+    nothing = spark.createDataFrame([], "x int")
+    route_days = spark.createDataFrame(
+        facts,
+        "snapshot_key bigint, full_date date, route_key string, operator_key string, "
+        "scheduled_trip_count bigint, scheduled_stop_event_count bigint, unique_stop_count bigint",
+    ).withColumn("service_span_minutes", F.lit(1.5).cast("decimal(18,2)")).withColumn(
+        "average_headway_minutes", F.lit(None).cast("decimal(18,2)")
+    )
+    tables = {
+        "snapshots": spark.createDataFrame(
+            [(1, dt.datetime(2024, 1, 1), "LOADED")],
+            "snapshot_key bigint, downloaded_at_utc timestamp_ntz, snapshot_status string",
+        ),
+        "route_days": route_days,
+        "dim_route": spark.createDataFrame(list(modes.items()), "route_key string, route_type int"),
+        "dim_date": spark.createDataFrame([(d,) for d in days], "full_date date").select(
+            "full_date", F.lit("d").alias("day_name"), F.lit(False).alias("is_weekend"),
+            F.lit("m").alias("month_name"), F.lit(1).alias("calendar_year"),
+        ),
+        "quality": nothing,
+    }
+    summary = views.network_daily_summary(Warehouse({k: lambda v=v: v for k, v in tables.items()}))
+    got = {
+        (r.service_date, r.transport_mode): (r.active_route_count, r.active_operator_count, r.scheduled_trip_count)
+        for r in summary.collect()
+    }
+    wanted: dict = {}
+    for _, day, route, operator, trips, _, _ in facts:
+        rows = wanted.setdefault((day, "Bus" if modes[route] == 3 else "Tram"), [0, set(), 0])
+        rows[0] += 1
+        rows[1] |= {operator} - {None}
+        rows[2] += trips
+    assert got == {key: (n, len(operators), trips) for key, (n, operators, trips) in wanted.items()}
+    assert summary.columns[6:9] == ["transport_mode", "active_route_count", "active_operator_count"]
+    assert "count(distinct" not in summary._jdf.queryExecution().optimizedPlan().toString()
