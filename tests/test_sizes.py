@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from linespan.plans import views
+from linespan.plans import serving, views
 from linespan.plans.warehouse import Warehouse
-from linespan.session import bound_tasks, settled
+from linespan.session import bound_tasks, run_folder, settled
 from verification.world import World
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -77,3 +77,21 @@ def test_active_operators_are_distinct_without_a_row_per_operator_and_day(spark)
     assert got == {key: (n, len(operators), trips) for key, (n, operators, trips) in wanted.items()}
     assert summary.columns[6:9] == ["transport_mode", "active_route_count", "active_operator_count"]
     assert "count(distinct" not in summary._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_day_of_a_served_table_is_cut_into_several_files(spark):
+    rows = spark.range(40_000, numPartitions=3).select(
+        F.lit("2024-01-01").alias("service_date"), F.sha2(F.col("id").cast("string"), 256).alias("route_id")
+    )
+    path = run_folder(spark, "one-day") + "/t"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lookups = (("service_date",), ("route_id", "service_date"))
+        assert serving.write_served(rows, path, lookups) == 40_000
+        assert serving.write_served(rows, path + "2", lookups[:1], ("route_id",)) == 40_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for written in (path, path + "2"):
+        stored = spark.read.parquet(written)
+        files = [r[1] for r in stored.groupBy(F.input_file_name()).count().collect()]
+        assert len(files) > 2 and max(files) < 25_000
