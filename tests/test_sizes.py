@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from linespan.operators import quality
+from linespan.operators.daily import ROUTE_DAY_COMPARE, STOP_DAY_COMPARE, Window
 from linespan.plans import serving, views
 from linespan.plans.warehouse import Warehouse
 from linespan.session import bound_tasks, run_folder, settled
@@ -95,3 +97,29 @@ def test_one_day_of_a_served_table_is_cut_into_several_files(spark):
         stored = spark.read.parquet(written)
         files = [r[1] for r in stored.groupBy(F.input_file_name()).count().collect()]
         assert len(files) > 2 and max(files) < 25_000
+
+
+def test_fact_rules_join_the_stored_facts_once(spark):
+    window = Window(dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+
+    def facts(key: str, compare: tuple, rows: list):
+        made = spark.createDataFrame(
+            [(s, int(d.strftime("%Y%m%d")), d, k, n) for s, d, k, n in rows],
+            f"snapshot_key bigint, date_key int, full_date date, {key} string, scheduled_trip_count bigint",
+        )
+        return made.select("*", *[F.lit(1).alias(c) for c in compare if c != "scheduled_trip_count"])
+
+    day, late = dt.date(2024, 1, 5), dt.date(2024, 3, 1)
+    derived = [(2, day, "a", 3), (2, day, "b", 3), (2, day, "c", 3)]
+    # a agrees, b counts otherwise, x and a row without key are not derived; one lies beyond the window, one elsewhere.
+    stored = [(2, day, "a", 3), (2, day, "b", 4), (2, day, "x", 3), (2, day, None, 3), (2, late, "y", 3), (1, day, "z", 3)]
+    results = quality.dq_fact_agreement(
+        window, facts("route_key", ROUTE_DAY_COMPARE, stored), facts("route_key", ROUTE_DAY_COMPARE, derived),
+        facts("stop_key", STOP_DAY_COMPARE, derived), facts("stop_key", STOP_DAY_COMPARE, derived), 2,
+    )
+    got = {r.check_name[:5]: (r.check_status, r.records_checked, r.failed_records) for r in results.collect()}
+    assert got == {
+        "50610": ("FAIL", 1, 1), "50611": ("FAIL", 2, 2), "50614": ("FAIL", 1, 1),
+        "50612": ("PASS", 1, 0), "50613": ("PASS", 1, 0), "50615": ("PASS", 1, 0),
+    }
+    assert results._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
