@@ -33,10 +33,12 @@ from linespan.llm.common import tidy
 
 NO_PAIR_ID = 2**31 - 1
 NO_PAIR = np.int32(NO_PAIR_ID)
-CACHED_PIECES = 250_000
-MATRIX_CELLS = 1 << 20
+CACHED_PIECES = 120_000
+MATRIX_CELLS = 1 << 18
 WIDE = 512
 IDS_AT_ONCE = 200_000
+# Bytes of text encoded at once.
+TEXT_AT_ONCE = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -307,7 +309,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(read_ranks(SparkFiles.get(name)), pattern)
         for whole in batches:
-            for batch in _slices(whole, text, 4 << 20):
+            for batch in _slices(whole, text, TEXT_AT_ONCE):
                 ids = _lists(encoder.encode(batch.column(text).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in columns), ids], names=[*columns, "ids"]
