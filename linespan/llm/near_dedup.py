@@ -5,7 +5,8 @@ registers K = floor(1 - log_b(min of exponential values over the set)),
 truncated to 16 bits; the maximum of two sketches is the sketch of the union.
 
 1. Documents with equal sets form a class, counted before the shuffle; one
-   representative goes on, so groups of copies cost nothing further.
+   representative goes on, so groups of copies cost nothing further. A filter of the
+   other rows spares the sketches of representatives the move.
 2. Bands of registers are hashed. A filter of the hashes seen twice leaves out most
    bands that stand alone before any is moved. Each band bucket links its members to the
    bucket's first member by a fixed random order: as many candidates as members.
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linespan.llm import bloom
-from linespan.llm.common import discard, keyed, settle, tidy, whole_rows
+from linespan.llm.common import CODEC, discard, keyed, settle, tidy, whole_rows
 from linespan.llm.components import components
 
 SHINGLE = 5
@@ -296,6 +297,22 @@ class _Nodes:
         self.filter = nodes.sparkSession.sparkContext.broadcast(bloom.gathered(filters, "once", bits))
         discard(filters)
 
+    def others(self, table: DataFrame, purpose: str) -> DataFrame:
+        """Write the rows of ``table`` whose node is not in the set; only those that hit the filter are moved."""
+        shared, bits = self.filter, self.bits
+
+        def passing(hit: bool) -> DataFrame:
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    keys = mixed(batch.column("node").to_numpy().view(np.uint64))
+                    yield batch.filter(pa.array(bloom.contains(shared.value, keys, bits, FILTER_PROBES) == hit))
+
+            return table.mapInArrow(tidy(run), table.schema)
+
+        return settle(
+            passing(False).unionByName(passing(True).join(self.wanted, "node", "left_anti")), purpose
+        )
+
     def rows(self, table: DataFrame, column: str, make, schema: str, purpose: str) -> DataFrame:
         """Write what ``make`` gives for the batches of rows of ``table`` whose node is in the set."""
         shared, bits = self.filter, self.bits
@@ -323,6 +340,22 @@ def _sketches(representatives: DataFrame, nodes: DataFrame) -> DataFrame:
     return found
 
 
+def _representatives(all_sketches: DataFrame, classes: DataFrame) -> DataFrame:
+    """node, size and sketch of the first row of every class.
+
+    Rows without copies stay where they are: a join of all rows with the first rows
+    would move every sketch as soon as the classes are too many to broadcast.
+    """
+    table = all_sketches.where("n_shingles > 0").select(
+        F.col("row_key").alias("node"), F.col("n_shingles").alias("size"), "sketch"
+    )
+    heads = classes.select(F.col("head.row_key").alias("node"))
+    copies = _Nodes(table.select("node").join(heads, "node", "left_anti"))
+    found = copies.others(table, "near-representatives")
+    discard(copies.wanted)
+    return found
+
+
 def _full_sets(stored: DataFrame, nodes: DataFrame, purpose: str) -> DataFrame:
     """node and its full set, as packed 64-bit hashes: sets are moved and texts are not."""
     members = _Nodes(nodes)
@@ -524,17 +557,13 @@ def near_groups(
     """
     least = least_estimate(percent, rows * bands)
     all_sketches = settle(sketched(stored, rows, bands), "near-sketches")
+    all_rows = settle(all_sketches.drop("sketch"), "near-rows")
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")
     classes = settle(
-        all_sketches.where("n_shingles > 0").groupBy("set_key").agg(F.min(rank).alias("head")), "near-classes"
-    )
-    # A representative is the first row of its class.
-    representatives = settle(
-        all_sketches.join(classes.select(F.col("head.row_key").alias("row_key")), "row_key", "left_semi").select(
-            F.col("row_key").alias("node"), F.col("n_shingles").alias("size"), "sketch"
-        ),
-        "near-representatives",
+        all_rows.where("n_shingles > 0").groupBy("set_key").agg(F.min(rank).alias("head")), "near-classes"
     )
+    representatives = _representatives(all_sketches, classes)
+    discard(all_sketches)
     band_tables = repeated_bands(representatives, rows, bands, most_bits)
     bucketed = reduce(DataFrame.unionByName, band_tables)
     order = F.struct(F.xxhash64("node").alias("draw"), F.col("node").alias("leader"))
@@ -576,7 +605,7 @@ def near_groups(
     heads = named.groupBy("component").agg(F.min("head").alias("first"))
     of_class = named.join(heads, "component").select("set_key", "first")
     alone = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")
-    grouped = all_sketches.drop("sketch").join(of_class, "set_key", "left").withColumn(
+    grouped = all_rows.join(of_class, "set_key", "left").withColumn(
         "first", F.when(F.col("n_shingles") == 0, alone).otherwise(F.col("first"))
     )
     return grouped.select(
@@ -586,7 +615,7 @@ def near_groups(
 
 def kept_rows(docs: DataFrame, *, text: str = "text", identifier: str = "doc_id", percent: int = 80, bands: int = 40) -> DataFrame:
     """Return one row of each group, the first, with the columns of ``docs``."""
-    stored = keyed(docs, "near-docs")
+    stored = keyed(docs, "near-docs", codec=CODEC)
     view = stored.select("row_key", F.col(f"doc.`{identifier}`").alias("id"), F.col(f"doc.`{text}`").alias("text"))
     groups = near_groups(view, percent=percent, bands=bands)
     return whole_rows(stored, groups.where("row_key = head"))
