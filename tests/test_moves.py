@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 from linespan.functions.columns import packed_hash, unpacked_hash
 from linespan.functions.measures import average_2dp
-from linespan.operators import daily, dimensions, schedule
+from linespan.operators import changes, daily, dimensions, history, quality, schedule
+from linespan.operators.daily import ROUTE_DAY_COMPARE, STOP_DAY_COMPARE
 from linespan.session import bound_tasks, settled
+from linespan.sources.store import Store
+from verification import intake_checks
+from verification.projection import projected
+from verification.world import World
 
 EVENTS = "trip_key string, stop_key string, route_key string, service_key string, departure_seconds int"
 
@@ -106,3 +111,61 @@ def test_averages_sum_whole_numbers(spark):
     result = rows.agg(average_2dp("v").alias("v"), average_2dp("n").alias("n"))
     assert tuple(result.first()) == (Decimal("2499999998.17"), Decimal("3.00"))
     assert "decimal(22,2)" not in result._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_of_an_order_move_once_to_their_calls(spark, small):
+    calls = projected(spark, small, "p2_stop_times")
+    assert physical(calls).count("Exchange hashpartitioning") == 1
+
+
+def test_compared_hashes_are_packed_and_compared_exactly(spark):
+    schema = "k int, row_hash string, v int"
+    same, other = "ab" * 32, "cd" * 32
+    stored = [(1, same, 1), (2, same, 1), (3, "h", 1), (4, None, 1), (5, same.upper(), 1), (6, same, 1), (7, same, 1)]
+    source = [(1, same, 1), (2, other, 1), (3, "H", 1), (4, None, 1), (5, same, 1), (6, same, 2)]
+    frames = [spark.createDataFrame(rows, schema) for rows in (stored, source)]
+    wrong = history.conflicting_rows(*frames, ("k",), ("row_hash", "v"), missing_conflicts=True)
+    assert wrong.columns == ["k", "row_hash", "v"]
+    assert {tuple(r) for r in wrong.collect()} == {row for row in stored if row[0] in (2, 3, 5, 6, 7)}
+    assert "_packed_hash" in physical(wrong)
+    states = [f.select(F.lit("TRIP").alias("entity_type"), F.col("k").cast("string").alias("entity_id"), "row_hash") for f in frames]
+    found = changes.publication_changes(*states)
+    assert {tuple(r)[1:] for r in found.collect()} == {
+        ("2", "MODIFIED", same, other), ("3", "MODIFIED", "h", "H"), ("5", "MODIFIED", same.upper(), same),
+        ("7", "REMOVED", same, None),
+    }
+    assert "_packed_hash" in physical(found)
+
+
+def test_slices_of_days_share_out_all_stored_facts(spark):
+    window = daily.Window(dt.date(2024, 1, 10), dt.date(2024, 3, 20))
+    days = [dt.date(2024, 1, 1) + dt.timedelta(n) for n in range(100)]
+
+    def facts(key: str, compare: tuple, trips: int, beyond: bool):
+        rows = [(2, int(d.strftime("%Y%m%d")), d, "a", trips if d.day != 7 else 3) for d in days if beyond or d in (days[20], days[45])]
+        rows += [(2, None, days[30], "a", 1), (1, 20240203, days[33], "a", 1)] if beyond else []
+        made = spark.createDataFrame(
+            rows, f"snapshot_key bigint, date_key int, full_date date, {key} string, scheduled_trip_count bigint"
+        )
+        return made.select("*", *[F.lit(1).alias(c) for c in compare if c != "scheduled_trip_count"])
+
+    route = [facts("route_key", ROUTE_DAY_COMPARE, n, b) for n, b in ((4, True), (5, False))]
+    stop = [facts("stop_key", STOP_DAY_COMPARE, n, b) for n, b in ((5, True), (5, False))]
+    slices = quality.day_slices(window)
+    assert len(slices) == 3
+    assert sum(route[0].where(s).count() for s in slices) == route[0].count()
+    whole, cut = (
+        sorted(map(tuple, quality.dq_fact_agreement(window, *route, *stop, 2, s).collect())) for s in ((), slices)
+    )
+    assert whole == cut and any(row[3] == "FAIL" for row in cut)
+
+
+def test_staging_keeps_no_replaced_parts(spark, small, monkeypatch):
+    stores = []
+    monkeypatch.setattr(intake_checks, "Store", lambda *a: stores.append(Store(*a)) or stores[-1])
+    rows = intake_checks.stage_replace(World(spark, small))
+    store = stores[0]
+    for table in ("stops", "stop_times"):
+        live = {part.folder.split("/")[1] for part in store.parts(table)}
+        assert set(store._children(f"{store.path(table)}/parts")) == live
+    assert rows.where("table_name = 'stops'").select("snapshot_key").distinct().count() == 2
