@@ -8,9 +8,10 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from linespan.functions.columns import packed_hash, unpacked_hash
-from linespan.functions.measures import average_2dp
+from linespan.functions.measures import average_2dp, ratio_2dp
 from linespan.operators import changes, daily, dimensions, history, quality, schedule
 from linespan.operators.daily import ROUTE_DAY_COMPARE, STOP_DAY_COMPARE
+from linespan.plans import serving
 from linespan.session import bound_tasks, settled
 from linespan.sources.store import Store
 from verification import intake_checks
@@ -169,3 +170,31 @@ def test_staging_keeps_no_replaced_parts(spark, small, monkeypatch):
         live = {part.folder.split("/")[1] for part in store.parts(table)}
         assert set(store._children(f"{store.path(table)}/parts")) == live
     assert rows.where("table_name = 'stops'").select("snapshot_key").distinct().count() == 2
+
+
+def test_ratios_stay_whole_numbers_until_they_are_decimals(spark):
+    rows = spark.createDataFrame([(7, 60), (-7, 60), (1, 8), (-1, 8), (0, 3), (None, 3)], "n int, d int")
+    result = rows.select(ratio_2dp(F.col("n"), F.col("d")).alias("r"))
+    assert [r.r for r in result.collect()] == [
+        Decimal("0.12"), Decimal("-0.12"), Decimal("0.13"), Decimal("-0.13"), Decimal("0.00"), None,
+    ]
+    assert "double" not in result._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "signum" not in result._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_lookup_values_are_texts_made_once_a_value(spark):
+    day = dt.date(2024, 1, 2)
+    rows = spark.createDataFrame(
+        [("a", day, "x"), ("a", day, "x"), ("a|", None, "y"), (None, day, None), ("", day, ""), (None, None, "")],
+        "route_id string, service_date date, kind string",
+    )
+
+    def counted(*lookup):
+        return {r.lookup_value: r.row_count for r in serving.lookup_counts(rows, lookup).collect()}
+
+    assert counted("route_id", "service_date") == {"a|2024-01-02": 2, "a||": 1, "|2024-01-02": 2, "|": 1}
+    assert counted("service_date") == {"2024-01-02": 4, "": 2}
+    assert counted("route_id", "kind") == {"a|x": 2, "a||y": 1, "|": 3}
+    assert counted() == {"": 6}
+    plan = physical(serving.lookup_counts(rows, ("service_date",)))
+    assert "concat_ws" not in plan[plan.index("HashAggregate"):]
